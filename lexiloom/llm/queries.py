@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.llm.bpe import decode, encode
 from lexiloom.llm.exact_dedup import exact_dedup
 from lexiloom.llm.line_dedup import line_dedup
+from lexiloom.llm.pretok import vocab_path
+from lexiloom.llm.simhash import near_dedup
+from lexiloom.llm.store import small_batches
+from lexiloom.llm.token_counts import token_count
+from lexiloom.llm.token_store import crc_of, read_tokens, token_file
+
+#: Tokens that a document may have before it is said to be over the limit.
+TOKEN_LIMIT = 512
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +29,31 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__lines.n_lines").alias("n_lines"), F.col("__lines.n_dropped").alias("n_dropped"), F.sha2(F.col("__lines.text"), 256).alias("kept_sha256"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_file(documents(spark, sf_dir), vocab_path(), end_id=2)
+    return read_tokens(spark, path, crc_of, "long").withColumnRenamed("made", "ids_crc32")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    out = documents(spark, sf_dir).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), token_count(F.col("text"), vocab_path()).alias("n_tokens"))
+    return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    path = vocab_path()
+    out = documents(spark, sf_dir).select("doc_id", encode(F.col("text"), path).alias("ids"))
+    out = out.select("doc_id", "ids", decode(F.col("ids"), path).alias("decoded"))
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +64,25 @@ class Shelf:
         place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_lexiloom_shipped", False):
+        return
+    top = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="lexiloom-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w") as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(f"{folder}/{top.name}.zip")
+    context._lexiloom_shipped = True
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds what a Python worker holds: fewer rows to an Arrow batch, never more."""
+    """Readies a session for the Python operators: ships the package, and bounds what a
+    Python worker holds: fewer rows to an Arrow batch, never more."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
