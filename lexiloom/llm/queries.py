@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lexiloom.llm.bpe import decode, encode
 from lexiloom.llm.exact_dedup import exact_dedup
 from lexiloom.llm.line_dedup import line_dedup
+from lexiloom.llm.packing import pack_documents
 from lexiloom.llm.pretok import vocab_path
+from lexiloom.llm.quality import quality
 from lexiloom.llm.simhash import near_dedup
 from lexiloom.llm.store import small_batches
 from lexiloom.llm.token_counts import token_count
@@ -40,6 +42,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     path = vocab_path()
@@ -54,6 +61,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), vocab_path(), end_id=0, capacity=2048)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
