@@ -22,37 +22,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import Shelf, ascii_lower, is_set
-
-#: Bits of a run's filter: so many for each digest, within these bounds (64 MB at most).
-FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+from lexiloom.llm.store import Shelf, ascii_lower, build_filter, filter_bits, passing
 
 
 def text_digest(normal: Column) -> Column:
     return F.unhex(F.sha2(normal, 256))
 
 
-def filter_bits(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (FILTER_BITS * max(1, n) - 1).bit_length()))
-
-
-def _place(digest: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(bits)) + 1
-
-
-def build_filter(digests: DataFrame, bits: int) -> DataFrame:
-    """(bucket, bits): a bitmap over the hashed digests, of bits / 8 bytes in all."""
-    at = _place(F.col("digest"), bits)
-    return digests.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-
-
-def passing(rows: DataFrame, filters: DataFrame, bits: int, how: str = "left_semi") -> DataFrame:
-    """The rows whose digest's bit is set. The filter has bits / 8 bytes, MOST_BITS / 8 at most, so it is broadcast."""
-    at = _place(F.col("digest"), bits)
-    f = F.broadcast(filters.withColumnRenamed("bucket", "f_bucket"))
-    return rows.join(f, (F.bitmap_bucket_number(at) == F.col("f_bucket")) & is_set(F.col("bits"), F.bitmap_bit_position(at)), how)
-
-
 class DigestIndex:
     """Levels of sorted runs (digest, keep_id, n)."""
 

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import BLANKS, Shelf, ascii_lower
+from lexiloom.llm.store import BLANKS, Shelf, ascii_lower, build_filter, filter_bits, passing
 
 #: Bytes of SHA-256 that a line is known by.
 HASH_BYTES = 16
@@ -95,12 +95,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     common = shelf.put(index.merged(index.runs()).where(F.col("n_docs") >= min_docs).select("hash", "last"), "common")
     go = found.select("id", "hash").join(common, "hash").where(~F.col("id").eqNullSafe(F.col("last")) & F.col("last").isNotNull())
     go = shelf.put(go.groupBy(F.col("id").alias("__id")).agg(F.collect_set("hash").alias("__go")), "go")
-    lines = lines_of(F.col(text_col))
+    # only documents that may lose a line meet their decisions; a filter lets the others pass where they are
+    bits = filter_bits(go.count())
+    filters = shelf.put(build_filter(go, bits, "__id"), "filter")
+    touched = passing(docs, filters, bits, id_col)
+    untouched = passing(docs, filters, bits, id_col, "left_anti")
+    return _apply(touched, go.hint("merge"), id_col, text_col, min_chars, out).unionByName(_apply(untouched, None, id_col, text_col, min_chars, out))
+
+
+def _apply(docs: DataFrame, go: DataFrame | None, id_col: str, text_col: str, min_chars: int, out: str) -> DataFrame:
+    lines, whole = lines_of(F.col(text_col)), F.coalesce(F.col(text_col), F.lit(""))
+    n = F.size(lines).cast("long").alias("n_lines")
+    if go is None:
+        return docs.withColumn(out, F.struct(n, F.lit(0).cast("long").alias("n_dropped"), whole.alias("text")))
     joined = docs.join(go, docs[id_col].eqNullSafe(go["__id"]), "left")
     stay = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("__go"), line_hash(line_key(x)))))
-    n = F.size(lines)
     # every dropped line takes its \n with it; a text that loses all its lines is empty
-    joined = joined.withColumn("__stay", F.when(F.col("__go").isNotNull(), stay)).withColumn("__text", F.when(F.col("__go").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join("__stay", "\n")))
-    dropped = F.when(F.col("__go").isNull(), F.lit(0)).otherwise(n - F.size("__stay"))
-    row = F.struct(n.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"), F.col("__text").alias("text"))
-    return joined.select(*[docs[c] for c in docs.columns], row.alias(out))
+    joined = joined.withColumn("__stay", F.when(F.col("__go").isNotNull(), stay))
+    text = F.when(F.col("__go").isNull(), whole).otherwise(F.array_join("__stay", "\n")).alias("text")
+    dropped = F.when(F.col("__go").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("__stay")).cast("long").alias("n_dropped")
+    return joined.withColumn(out, F.struct(n, dropped, text)).select(*docs.columns, out)

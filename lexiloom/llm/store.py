@@ -18,6 +18,8 @@ BATCH_ROWS = 256
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Bits of a filter: so many for each key, within these bounds (64 MB at most).
+FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -97,3 +99,25 @@ def is_set(bits: Column, position: Column) -> Column:
     """Whether a bitmap (of bitmap_construct_agg) has the bit."""
     byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return F.getbit(byte, (position % 8).cast("int")) == 1
+
+
+def filter_bits(n: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (FILTER_BITS * max(1, n) - 1).bit_length()))
+
+
+def _place(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+
+
+def build_filter(rows: DataFrame, bits: int, key: str = "digest") -> DataFrame:
+    """(bucket, bits): a bitmap over the hashed keys, of bits / 8 bytes in all."""
+    at = _place(F.col(key), bits)
+    return rows.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+
+
+def passing(rows: DataFrame, filters: DataFrame, bits: int, key: str = "digest", how: str = "left_semi") -> DataFrame:
+    """The rows whose key's bit is set (left_anti: is not). The filter has bits / 8 bytes,
+    MOST_BITS / 8 at most, so it is broadcast."""
+    at = _place(rows[key], bits)
+    f = F.broadcast(filters.toDF("__bucket", "__bits"))
+    return rows.join(f, (F.bitmap_bucket_number(at) == f["__bucket"]) & is_set(f["__bits"], F.bitmap_bit_position(at)), how)
