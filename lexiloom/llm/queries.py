@@ -11,6 +11,7 @@ from lexiloom.llm.bpe import decode, encode
 from lexiloom.llm.exact_dedup import exact_dedup
 from lexiloom.llm.line_dedup import line_dedup
 from lexiloom.llm.packing import pack_documents
+from lexiloom.llm.pii import KINDS, find_spans
 from lexiloom.llm.pretok import vocab_path
 from lexiloom.llm.quality import quality
 from lexiloom.llm.simhash import near_dedup
@@ -47,6 +48,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    out = documents(spark, sf_dir).select("doc_id", find_spans(F.col("text")).alias("found"))
+    base = F.filter("found", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     path = vocab_path()
