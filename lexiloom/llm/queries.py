@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.bpe import decode, encode
 from lexiloom.llm.exact_dedup import exact_dedup
+from lexiloom.llm.language_id import language_id
 from lexiloom.llm.line_dedup import line_dedup
 from lexiloom.llm.packing import pack_documents
 from lexiloom.llm.pii import KINDS, find_spans
@@ -43,6 +44,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+    return out.withColumnRenamed("id", "page_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality(documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -81,7 +87,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    import corpus_pipeline
+
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)} | {"pipeline": corpus_pipeline.run}
 
 
 OP1_SQL = r"""
