@@ -59,7 +59,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = documents(spark, sf_dir).select("doc_id", find_spans(F.col("text")).alias("found"))
     base = F.filter("found", lambda s: s["base"])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of_kind = lambda k: F.filter(base, lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 
