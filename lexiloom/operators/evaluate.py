@@ -115,3 +115,22 @@ def unlisted_mentions(docs: DataFrame, body: str, names: Sequence[str], listed:
     """(key, name) of names that a body has and the list column hasn't."""
     found = F.filter(F.array(*map(F.lit, names)), lambda n: F.contains(F.col(body), n) & ~F.array_contains(F.coalesce(F.col(listed), F.array().cast("array<string>")), n))
     return docs.select(F.col(key).alias("key"), F.explode(found).alias("name"))
+
+
+def ground_truth(truth: DataFrame, published: DataFrame, key: str = "id") -> DataFrame:
+    """Labelled documents with the page that each was published as; null where it wasn't."""
+    return truth.join(published.select(key, "page_id"), key, "left")
+
+
+def registry(parts: Sequence[DataFrame], key: str = "id") -> DataFrame:
+    """The union of a corpus's modules, in the order of their ids."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.orderBy(key)
+
+
+def share_present(docs: DataFrame, column: str) -> DataFrame:
+    """(n, present, share): documents whose list column isn't empty."""
+    has = F.coalesce(F.size(column), F.lit(0)) > 0
+    return docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(has).alias("present")).withColumn("share", F.round(F.try_divide("present", "n"), 4))

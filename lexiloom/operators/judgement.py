@@ -148,3 +148,24 @@ def dictionary(terms: DataFrame, relations: DataFrame, statuses: tuple[str, ...]
     out = terms.join(lists, "term", "left").where(F.col("relations").isNotNull() | (F.col("term_type") != "UNKNOWN")).withColumn("display", tx.display_term(F.col("term")))
     last = Window.partitionBy("display").orderBy("frequency", F.desc("term"))
     return out.withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n").withColumn("relations", F.coalesce("relations", F.array().cast(lists.schema["relations"].dataType)))
+
+
+def involved(terms: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Terms that are in a candidate pair."""
+    return terms.join(pairs.select(F.explode(F.array("a", "b")).alias("term")).distinct(), "term", "left_semi")
+
+
+def proposal_terms(terms: DataFrame, most: int, least: int = 1) -> DataFrame:
+    """The most frequent eligible terms: the limit is the feature."""
+    return terms.where((F.col("frequency") >= least) & (F.col("excluded_reason") == "")).orderBy(F.desc("frequency"), "term").limit(most)
+
+
+def answered_only(pairs: DataFrame, answers: DataFrame, key: str = "pair_key") -> DataFrame:
+    """Pairs that have an answer; all pairs, if none has."""
+    kept = pairs.join(answers.select(key).distinct(), key, "left_semi")
+    return pairs if kept.isEmpty() else kept
+
+
+def cascaded(evidence: DataFrame, contexts: DataFrame, relations: DataFrame) -> DataFrame:
+    """Evidence rows (context_id, relation_id) whose context and relation are still there."""
+    return evidence.join(contexts.select("context_id"), "context_id", "left_semi").join(relations.select("relation_id"), "relation_id", "left_semi")

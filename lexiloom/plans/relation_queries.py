@@ -452,3 +452,50 @@ def context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CONTEXT_COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {n}" for n in ("documents", "pages", "part", "lineitem", "orders"))
+
+
+# ---------------------------------------------------------------- selections
+def terms_in_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = table(spark, sf_dir, "part").where("p_size <= 10").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("a"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("b"))
+    return ju.involved(part_terms(spark, sf_dir), pairs)
+
+
+TERMS_IN_CANDIDATES = f"WITH {TERMS} SELECT * FROM terms WHERE term IN (SELECT unnest(string_split(p_name, ' ')) FROM part WHERE p_size <= 10)"
+
+
+def proposal_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k selection: the limit is the feature."""
+    return ju.proposal_terms(part_terms(spark, sf_dir).withColumn("excluded_reason", F.lit("")), 20, 10)
+
+
+PROPOSAL_TERMS = f"WITH {TERMS} SELECT term, frequency, '' AS excluded_reason FROM terms WHERE frequency >= 10 ORDER BY frequency DESC, term LIMIT 20"
+
+
+def answered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return ju.answered_only(orders.select("o_orderkey", "o_custkey"), orders.where("o_orderstatus = 'F'"), "o_orderkey")
+
+
+ANSWERED_PAIRS = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'"
+
+
+def evidence_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("context_id"), F.col("l_orderkey").alias("relation_id")).distinct()
+    contexts = table(spark, sf_dir, "part").where("p_size > 25").select(F.col("p_partkey").alias("context_id"))
+    relations = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("relation_id"))
+    return ju.cascaded(lines, contexts, relations)
+
+
+EVIDENCE_CASCADE = "SELECT DISTINCT l_partkey AS context_id, l_orderkey AS relation_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_size > 25 AND o_orderstatus = 'O'"
+
+
+def text_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexiloom.functions.variants import Variant, apply_variants, word_start
+
+    rules = [Variant("the", F.col("lang") == "en", [(word_start("the"), "teh")]), Variant("de", F.col("lang") == "fr", [(word_start("de"), "von")])]
+    text, counts = apply_variants(F.col("text"), rules)
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), counts["the"].alias("n_the"), counts["de"].alias("n_de"))
+
+
+TEXT_VARIANTS = r"""SELECT doc_id, CASE lang WHEN 'en' THEN regexp_replace(text, '(^|[^0-9A-Za-z가-힣])the', '\1teh', 'g') WHEN 'fr' THEN regexp_replace(text, '(^|[^0-9A-Za-z가-힣])de', '\1von', 'g') ELSE text END AS text,
+CASE WHEN lang = 'en' THEN len(regexp_extract_all(text, '(?:^|[^0-9A-Za-z가-힣])the')) ELSE 0 END::INT AS n_the, CASE WHEN lang = 'fr' THEN len(regexp_extract_all(text, '(?:^|[^0-9A-Za-z가-힣])de')) ELSE 0 END::INT AS n_de FROM documents"""
