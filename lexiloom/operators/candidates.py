@@ -32,8 +32,9 @@ def word_order_pairs(terms: DataFrame) -> DataFrame:
 
 
 def squash_pairs(terms: DataFrame) -> DataFrame:
-    """Terms that differ in blanks, marks or case only."""
-    return _bucket_pairs(terms, tx.squashed(F.col("term")), 1.0)
+    """Terms that differ in blanks, marks or case only. Terms of marks alone have no key (they are never eligible)."""
+    key = tx.squashed(F.col("term"))
+    return _bucket_pairs(terms, F.when(key != "", key), 1.0)
 
 
 def acronym_pairs(terms: DataFrame, score: float = 0.9) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import policy as po
 from lexiloom.functions import text as tx
+from lexiloom.session import written
 
 #: Schemas of answers, for from_json.
 JUDGED = "results array<struct<pairId:string,termA:string,termB:string,termAType:string,termBType:string,termAEntityType:string,termBEntityType:string,relationType:string,confidence:string,safeAToB:boolean,safeBToA:boolean,reason:string,evidenceContextIds:array<long>>>"
@@ -26,9 +27,11 @@ def batched(rows: DataFrame, size: int, order: list[Column], within: list[Column
 
 
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Row numbers from 1 over all rows in an order, by range partitions and their sizes. Ties must be
-    broken by the order, so that a range has the same rows each time it is read."""
-    ranged = rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    """Row numbers from 1 over all rows in an order, by range partitions and their sizes. The ranges are
+    written, so that sizes and places are of the same ranges. Ties must be broken by the order."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(spark)(rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))  # one row for each partition
     place = F.row_number().over(Window.partitionBy("__p").orderBy(*order))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,31 +9,12 @@ from lexiloom.functions import text as tx
 from lexiloom.operators import candidates as ca
 from lexiloom.operators import evaluate as ev
 from lexiloom.plans.inputs import BASKET, TERMS, baskets, part_terms, table, token_frequency
+from lexiloom.session import written
 
 _PARTS = "list_filter(regexp_split_to_array(replace(term, '_', ' '), '[^0-9A-Za-z가-힣]+'), lambda x: x <> '')"
 _P = f"{TERMS}, p AS (SELECT term, {_PARTS} AS parts, list_transform({_PARTS}, lambda x: lower(x)) AS low FROM terms)"
 
 
-def _put(spark: SparkSession):
-    """Writes a round's tables in the shared folder (spark.checkpoint.dir; a folder of its own in tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='lexiloom-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    folder = f"{root.rstrip('/')}/rounds-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-
-    def put(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-    return put
-
-
 def lexical_word_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("term")).distinct()
     turned = names.select(F.concat_ws("_", F.split_part("term", F.lit("_"), F.lit(2)), F.split_part("term", F.lit("_"), F.lit(1))).alias("term"))
@@ -207,7 +185,7 @@ TOP_CANDIDATES = f"WITH {_FUSED} SELECT a, b, priority FROM fp ORDER BY priority
 
 def degree_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = ca.neighbor_pairs(vector_neighbors(spark, sf_dir), "FASTTEXT", 0.0).groupBy("a", "b").agg(F.max("similarity").alias("priority"))
-    put = _put(spark)
+    put = written(spark)
     return ca.degree_capped(put(pairs, "pairs"), 3, put)
 
 

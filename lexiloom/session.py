@@ -5,10 +5,40 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared folder, spark.checkpoint.dir. Where it is unset (tests, one
+    machine) a folder of its own is made, set, and removed at exit."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="lexiloom-")
+        atexit.register(shutil.rmtree, folder, True)
+        root = f"file://{folder}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def written(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+    """``put(df, name)``: writes a table in a folder of this call under the shared folder, and reads it.
+    The folder goes when the application ends."""
+    folder = f"{shared_root(spark)}/tables-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return put
 
 
 def ship(spark: SparkSession) -> None:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lexiloom.operators import candidates as ca
-from lexiloom.plans.candidate_queries import _put
+from lexiloom.session import written
 
 
 def terms(spark, *names):
@@ -105,5 +105,5 @@ def test_degree_cap_is_the_scan(spark):
     data = [(f"t{a:02}", f"t{b:02}", s) for (a, b), s in pairs.items()]
     df = spark.createDataFrame(data, "a string, b string, priority double")
     for cap in (1, 3):
-        assert rows(ca.degree_capped(df, cap, _put(spark)), "a", "b") == scan(data, cap)
-    assert ca.degree_capped(df, 0, None).count() == len(data) and ca.degree_capped(df.limit(0), 2, _put(spark)).count() == 0
+        assert rows(ca.degree_capped(df, cap, written(spark)), "a", "b") == scan(data, cap)
+    assert ca.degree_capped(df, 0, None).count() == len(data) and ca.degree_capped(df.limit(0), 2, written(spark)).count() == 0
