@@ -122,6 +122,8 @@ def test_quality(spark):
     fill = lambda n: " ".join(rng.choice([*quality.COMMON["en"][:12], f"some{rng.randint(0, 99)}", "words", "other"]) for _ in range(n)) + "."
     rows = [(i, fill(150), "en") for i in range(120)]
     rows += [(200, "%%% ".join(fill(150).split(" ")), "en"), (201, " | ".join(f"x{rng.randint(0, 9999)}" for _ in range(200)), "en"), (202, "few words", "en"), (203, None, None), (204, "", "en"), (205, fill(30) * 9, "en"), (206, fill(25), "xx"), (207, fill(25), None), (208, fill(20_000), "en")]
+    german = lambda: " ".join(rng.choice([*quality.COMMON["de"][:12], f"etwas{rng.randint(0, 99)}", "wort", "ander"]) for _ in range(150)) + "."
+    rows += [(300 + i, german(), "de") for i in range(60)] + [(209, german(), "en")]  # the last says another language
     docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, lang string, n_words string")
     got = {r["id"]: r for r in quality.quality(docs).collect()}
     assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 203, 204, 205} and len(got) == len(rows)
