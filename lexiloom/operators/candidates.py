@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
+from lexiloom.session import written
 
 ACRONYM = "^[A-Z][A-Z0-9]{1,7}$"
 DISTRIBUTIONAL = ("FASTTEXT", "CONTEXT_PROFILE")
@@ -78,6 +79,7 @@ def ppmi(counts: DataFrame, frequency: DataFrame, min_count: int = 1) -> DataFra
     """(term, ctx, weight > 0) of terms found min_count times. Column and grand totals are of those
     terms' rows only; the row total is of all contexts."""
     rows = counts.join(frequency.where(F.col("n") >= min_count).select("term"), "term", "left_semi")
+    rows = written(counts.sparkSession)(rows, "counts")  # read four times
     by_row = rows.groupBy("term").agg(F.sum("n").alias("row"))
     by_ctx = rows.groupBy("ctx").agg(F.sum("n").alias("col"))
     total = rows.agg(F.sum("n").alias("total"))  # one row
@@ -88,6 +90,7 @@ def ppmi(counts: DataFrame, frequency: DataFrame, min_count: int = 1) -> DataFra
 
 def profile_neighbors(weights: DataFrame, top: int = 10, rounded: int = 6) -> DataFrame:
     """(term, other, similarity, rank) by cosine of sparse profiles: an equi-join on the context."""
+    weights = written(weights.sparkSession)(weights, "weights")
     norm = weights.groupBy("term").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
     unit = weights.join(norm, "term").select("term", "ctx", (F.col("weight") / F.col("norm")).alias("u"))
     other = unit.select(F.col("term").alias("other"), "ctx", F.col("u").alias("v"))

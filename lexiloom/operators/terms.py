@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
+from lexiloom.session import written
 
 # --- Fixed values: what disqualifies a term, and why ---
 REASONS = {"placeholder": "placeholder", "stopword": "stopword", "meaning": "no meaning", "ratio": "no sentence", "verb": "verb stem", "malformed": "malformed", "measure": "measure", "short": "too short"}
@@ -61,9 +62,11 @@ def bigrams(tokens: Column) -> Column:
 
 def phrase_scores(rows: DataFrame, tokens: str = "tokens", min_count: int = 5, threshold: float = 10.0, rounded: int = 6) -> DataFrame:
     """(a, b, n, score) of pairs found often enough and scoring above the threshold.
-    score = (n - min_count) / (n(a) n(b)) * (distinct words + distinct pairs)."""
-    words = word_counts(rows, tokens)
-    pairs = rows.select(F.explode(bigrams(F.col(tokens))).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    score = (n - min_count) / (n(a) n(b)) * (distinct words + distinct pairs). Both counts are written once,
+    for they are read several times: the sentences are gone through twice and not once for each use."""
+    put = written(rows.sparkSession)
+    words = put(word_counts(rows, tokens), "words")
+    pairs = put(rows.select(F.explode(bigrams(F.col(tokens))).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")), "pairs")
     size = words.agg(F.count(F.lit(1)).alias("v")).crossJoin(pairs.agg(F.count(F.lit(1)).alias("w"))).select((F.col("v") + F.col("w")).alias("size"))  # one row
     often = pairs.where(F.col("n") >= min_count)
     joined = often.join(words.select(F.col("word").alias("a"), F.col("n").alias("na")), "a").join(words.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b").crossJoin(F.broadcast(size))

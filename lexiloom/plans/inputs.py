@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.operators import terms as te
+from lexiloom.session import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def page_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return te.tokenized(page_sentences(spark, sf_dir))
 
 
+def stored_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_tokens, written: for queries that go through them several times."""
+    return written(spark)(page_tokens(spark, sf_dir).select("page_id", "sentence_index", "tokens"), "tokens")
+
+
 def part_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names and their initials as a small catalogue: (term, frequency)."""
     names = table(spark, sf_dir, "part").groupBy(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("term")).agg(F.count(F.lit(1)).alias("frequency"))

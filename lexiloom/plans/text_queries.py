@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
 from lexiloom.operators import terms as te
-from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, table
+from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, stored_tokens, table
 from lexiloom.sources.readers import url_parameter
 
 
@@ -155,7 +155,7 @@ VERB_ONLY_TOKENS = "SELECT json_extract_string(props, '$.k') AS token FROM event
 
 
 def bigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return te.phrase_scores(page_tokens(spark, sf_dir), min_count=5, threshold=10.0, rounded=4)
+    return te.phrase_scores(stored_tokens(spark, sf_dir), min_count=5, threshold=10.0, rounded=4)
 
 
 _BIGRAM = """, nx AS (SELECT *, lead(term) OVER (PARTITION BY doc_id, idx ORDER BY pos) AS nxt FROM tok),
@@ -167,7 +167,7 @@ BIGRAM_SCORES = f"WITH {TOK}{_BIGRAM} SELECT * FROM phrase"
 
 
 def phrase_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = page_tokens(spark, sf_dir)
+    rows = stored_tokens(spark, sf_dir)
     words = rows.select("page_id", "sentence_index", F.posexplode("tokens").alias("pos", "word"))
     return te.merge_phrases(words, te.phrase_scores(rows, min_count=5, threshold=10.0), ["page_id", "sentence_index"])
 
