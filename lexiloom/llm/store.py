@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.session import ship
+from lexiloom.session import shared_root, ship
 
 #: Rows of one Arrow batch: texts of 100,000 characters then stay under some 50 MB.
 BATCH_ROWS = 256
@@ -22,21 +19,6 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir. Where it is unset (tests, one
-    machine) a folder of its own is made, set, and removed at exit."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="lexiloom-")
-        atexit.register(shutil.rmtree, root, True)
-        spark.conf.set("spark.checkpoint.dir", f"file://{root}")
-        root = f"file://{root}"
-    return root
-
-
 class Shelf:
     """Tables of one call, in a folder of their own under the shared folder.
 
@@ -45,7 +27,7 @@ class Shelf:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.path = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         jvm = spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(self.path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
