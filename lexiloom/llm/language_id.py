@@ -77,6 +77,12 @@ def trigram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 own = sums.setdefault(lang, np.zeros(GRAMS + 1, np.int64))
                 own[:-1] += np.bincount(grams(text or ""), minlength=GRAMS)
                 own[-1] += 1
+            if len(sums) > 64:  # what a task holds is bounded, however many codes there are
+                yield from rows(sums)
+                sums.clear()
+        yield from rows(sums)
+
+    def rows(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, own in sums.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(np.where(at == GRAMS, -1, at).astype(np.int32)), pa.array(own[at])], ["lang", "gram", "n"])
@@ -125,8 +131,10 @@ def language_id(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_
     spark = pages.sparkSession
     small_batches(spark)
     shelf = Shelf(spark, "language")
-    # GRAMS + 1 rows for each language code at most, whatever the input
-    model = TextModel([tuple(r) for r in trigram_counts(docs, text_col, lang_col).collect()])
+    counts = shelf.put(trigram_counts(docs, text_col, lang_col), "counts")
+    often = counts.where((F.col("gram") < 0) & (F.col("n") >= LEAST_DOCS)).select("lang")
+    # GRAMS + 1 rows for each language that has enough documents, whatever the input
+    model = TextModel([tuple(r) for r in counts.join(often, "lang", "left_semi").select("lang", "gram", "n").collect()])
     langs, n = model.langs, len(model.langs)
     if not n:
         return pages.select(F.col(id_col).alias("id"), *(F.lit(None).cast("string").alias(c) for c in ("host", "declared", "text_lang", "lang")), F.lit(None).cast("double").alias("confidence"))
