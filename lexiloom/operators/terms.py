@@ -42,7 +42,8 @@ def verb_only(tagged: DataFrame, token: str, is_verb: Column) -> DataFrame:
 def term_statistics(rows: DataFrame, tokens: str = "tokens", shown: str = "sentence") -> DataFrame:
     """(term, frequency, document_frequency, sentence_ratio). A sentence gives a row for each distinct
     token with its count, so nothing is deduplicated by a shuffle; sums go page first, then term."""
-    each = rows.select("page_id", F.explode(F.array_distinct(tokens)).alias("term"), F.col(tokens).alias("all"), tx.looks_like_sentence(F.col(shown)).cast("long").alias("good"))
+    told = rows.select("page_id", F.col(tokens).alias("all"), tx.looks_like_sentence(F.col(shown)).cast("long").alias("good"))  # once for a sentence
+    each = told.select("page_id", "all", "good", F.explode(F.array_distinct("all")).alias("term"))
     each = each.withColumn("n", F.size("all") - F.size(F.array_remove("all", F.col("term"))))
     page = each.groupBy("term", "page_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("found"), F.sum("good").alias("good"))
     term = page.groupBy("term").agg(F.sum("n").alias("frequency"), F.count(F.lit(1)).alias("document_frequency"), F.sum("good").alias("good"), F.sum("found").alias("found"))

@@ -6,16 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.operators import terms as te
-from lexiloom.session import written
+from lexiloom.session import spread, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of texts, whose transformations take time: over all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def page_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences of documents without guards and length limit (what both regex dialects share)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir).select("doc_id", "text")
     return te.sentences(docs, "doc_id", None, "text", max_length=1 << 30, guards=())
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
 from lexiloom.operators import terms as te
-from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, stored_tokens, table
+from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, stored_tokens, table, texts
 from lexiloom.sources.readers import url_parameter
 
 
@@ -24,7 +24,7 @@ SELECT term, frequency, document_frequency, sentence_ratio FROM freq JOIN ratio
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = tx.clean_text(F.col("html"), all_entities=False)
-    return table(spark, sf_dir, "pages").select("page_id", text.alias("clean_text")).where(F.length("clean_text") >= 10)
+    return texts(spark, sf_dir, "pages").select("page_id", text.alias("clean_text")).where(F.length("clean_text") >= 10)
 
 
 _DROP = "html"
@@ -40,32 +40,32 @@ SELECT page_id, array_to_string(ls, chr(10)) AS clean_text FROM l WHERE length(a
 
 
 def pages_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", tx.html_to_markdown(F.col("html")).alias("markdown"))
+    return texts(spark, sf_dir, "pages").select("page_id", tx.html_to_markdown(F.col("html")).alias("markdown"))
 
 
 def pages_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", tx.clean_text(F.col("html")).alias("clean_text"))
+    return texts(spark, sf_dir, "pages").select("page_id", tx.clean_text(F.col("html")).alias("clean_text"))
 
 
 def documents_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", tx.markdown_to_storage(F.col("text")).alias("storage"))
+    return texts(spark, sf_dir, "documents").select("doc_id", tx.markdown_to_storage(F.col("text")).alias("storage"))
 
 
 def page_url_param(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", url_parameter(F.col("url"), "page").alias("page"))
+    return texts(spark, sf_dir, "pages").select("page_id", url_parameter(F.col("url"), "page").alias("page"))
 
 
 PAGE_URL_PARAM = r"""SELECT page_id, CASE WHEN regexp_matches(url, '\?([^#]*&)?page=') THEN regexp_extract(url, '\?(?:[^#]*&)?page=([^&#]*)', 1) END AS page FROM pages"""
 
 
 def _replaced(spark: SparkSession, sf_dir: str, made) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", made(F.col("text")).alias("normalized"))
+    return texts(spark, sf_dir, "documents").select("doc_id", made(F.col("text")).alias("normalized"))
 
 
 def normalize_url_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The patterns' sets of word characters differ between the dialects, so the count and the rest are held apart."""
     text = tx.normalize_emails(tx.normalize_urls(F.col("text")))
-    return table(spark, sf_dir, "documents").select("doc_id", *[F.regexp_count(text, F.lit(p)).alias(n) for n, p in (("urls", "<URL>"), ("emails", "<EMAIL>"))])
+    return texts(spark, sf_dir, "documents").select("doc_id", *[F.regexp_count(text, F.lit(p)).alias(n) for n, p in (("urls", "<URL>"), ("emails", "<EMAIL>"))])
 
 
 NORMALIZE_URL_EMAIL = r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\bhttps?://[^\s<>"'']+|\bwww\.[^\s<>"'']+', '<URL>', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '<EMAIL>', 'g') AS x FROM documents)
@@ -98,7 +98,7 @@ def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def placeholder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = tx.normalize_times(tx.normalize_emails(tx.normalize_urls(F.col("text"))))
-    rows = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(text, F.lit("(<(?:URL|EMAIL|TIME)>)"), F.lit(1))).alias("placeholder"))
+    rows = texts(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(text, F.lit("(<(?:URL|EMAIL|TIME)>)"), F.lit(1))).alias("placeholder"))
     return rows.groupBy("placeholder").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -116,11 +116,11 @@ SENTENCES = f"WITH {SENT} SELECT doc_id AS page_id, idx::INT AS sentence_index,
 
 def sentence_guard_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guards that the texts have, so that pieces are put back."""
-    return te.sentences(table(spark, sf_dir, "documents"), "doc_id", None, "text", guards=("the", "la", "de", "der"))
+    return te.sentences(texts(spark, sf_dir, "documents"), "doc_id", None, "text", guards=("the", "la", "de", "der"))
 
 
 def sentence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return te.sentences(table(spark, sf_dir, "documents"), "doc_id", None, "text", max_length=80)
+    return te.sentences(texts(spark, sf_dir, "documents"), "doc_id", None, "text", max_length=80)
 
 
 def sentence_likeness_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +223,7 @@ SELECT term, is_stopword, CASE WHEN term IN ('<DATE>', '<TIME>', '<NUMBER>', '<U
 
 
 def labels_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     date = F.concat((F.col("doc_id") % 5 + 2020).cast("string"), F.lit("-01-01"))
     labels = tx.label_list(F.lit("Wiki Page"), F.col("source"), F.array(F.lower("lang"), F.col("source"), F.lit("X y")), date, F.col("doc_id") % 7 == 0)
     return docs.select("doc_id", F.array_join(labels, ",").alias("labels"))
