@@ -19,13 +19,14 @@ from lexiloom.llm.simhash import near_dedup
 from lexiloom.llm.store import small_batches
 from lexiloom.llm.token_counts import token_count
 from lexiloom.llm.token_store import crc_of, read_tokens, token_file
+from lexiloom.session import spread
 
 #: Tokens that a document may have before it is said to be over the limit.
 TOKEN_LIMIT = 512
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = language_id(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+    out = language_id(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")), documents(spark, sf_dir))
     return out.withColumnRenamed("id", "page_id")
 
 
