@@ -132,6 +132,26 @@ def test_quality(spark):
     assert quality.quality(docs.limit(0)).count() == 0
 
 
+def test_sampling_limit():
+    draw = np.random.default_rng(5)
+    reference = np.array([*range(40, 0, -1), 1500])
+    for n in (20, 60, 400):
+        told = np.array([quality.distance(draw.multinomial(n, reference / reference.sum()), reference) for _ in range(2000)])
+        assert 0.98 < (told <= quality.sampling_limit(n, reference)).mean() < 1 and quality.sampling_limit(n, reference) < 1.8 * told.mean()
+
+
+def test_short_texts_have_a_word_distance(spark):
+    rng = random.Random(4)
+    common = lambda n: [rng.choice(quality.COMMON["en"][:12]) for _ in range(n)]
+    fill = lambda n: " ".join(x for w in common(n // 2) for x in (w, f"some{rng.randint(0, 99)}")) + "."
+    odd = lambda n: " ".join(f"some{rng.randint(0, 99)}" for _ in range(n)) + "."
+    rows = [(i, fill(150)) for i in range(60)] + [(100 + n, fill(n)) for n in range(20, 100, 2)] + [(300 + n, odd(n)) for n in range(24, 100, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    gone = {r["id"]: r for r in quality.quality(docs).where("NOT kept").collect()}
+    assert set(gone) == {i for i, _ in rows if i >= 300} and all(r["char_distance"] <= quality.MOST_CHAR for r in gone.values())
+    assert {r["doc_id"] for r in docs.where(~quality.kept(docs)).collect()} == set(gone)
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
