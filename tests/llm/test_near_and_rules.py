@@ -152,6 +152,20 @@ def test_short_texts_have_a_word_distance(spark):
     assert {r["doc_id"] for r in docs.where(~quality.kept(docs)).collect()} == set(gone)
 
 
+def test_every_language_has_its_characters(spark):
+    rng = random.Random(6)
+    say = lambda words, n: " ".join(rng.choice(words) for _ in range(n)) + "."
+    english = [*quality.COMMON["en"][:12], *(f"some{x}" for x in "abcdefghijklmnopqrst")]
+    arabic = ["".join(rng.choice("ابتثجحخدذرزسشصضطظعغفقكلمنهوي") for _ in range(rng.randint(2, 8))) for _ in range(200)]
+    rows = [(i, say(english, 150), "en") for i in range(120)] + [(200 + i, say(arabic, 120), "ar") for i in range(60)]
+    rows += [(300, "%%% ".join(say(arabic, 120).split(" ")), "ar"), (301, say(arabic, 120), "fa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["id"]: r for r in quality.quality(docs).collect()}
+    assert {i for i, r in got.items() if not r["kept"]} == {300, 301} and len(got) == len(rows)  # too few in fa: the reference of all
+    assert all(got[200 + i]["char_distance"] < 0.1 and got[200 + i]["word_distance"] == 0 for i in range(60))
+    assert {r["doc_id"] for r in docs.where(~quality.kept(docs)).collect()} == {300, 301}
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
