@@ -82,7 +82,7 @@ def base_spans(text: str) -> list[Span]:
 def shape(token: str) -> str:
     """Letters as a or A, digits as d, runs shortened; other characters as they are."""
     out: list[str] = []
-    for c in token[:40]:
+    for c in token:
         s = "d" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c
         if not out or out[-1] != s:
             out.append(s)
@@ -90,7 +90,7 @@ def shape(token: str) -> str:
 
 
 def groups(token: str) -> str:
-    return "-".join(str(len(g)) for g in re.findall("[0-9]+", token[:60]))
+    return "-".join(str(len(g)) for g in re.findall("[0-9]+", token))
 
 
 def features(tokens: list[str], k: int) -> list[str]:
@@ -99,7 +99,7 @@ def features(tokens: list[str], k: int) -> list[str]:
     core = t.strip(".,;:!?()[]{}<>\"'")
     before = tokens[k - 1] if k else "^"
     after = tokens[k + 1] if k + 1 < len(tokens) else "$"
-    d = digits_of(t[:200])
+    d = digits_of(t)
     near = lambda w: w.strip(".,;:!?()\"'").lower()[:12] if not TRIGGER.search(w) else shape(w)
     out = [
         "bias", f"s={shape(t)}", f"c={shape(core)}", f"g={groups(t)}", f"n={min(len(d), 20)}", f"b={near(before)}", f"a={near(after)}",

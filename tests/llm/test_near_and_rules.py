@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -212,6 +213,16 @@ def test_held_out_accuracy(field):
     assert right / (right + wrong) > 0.95 and right / (right + missed) > 0.95
 
 
+def test_features_read_whole_tokens():
+    head = "https://a.example/" + "k=v&" * 60
+    for one, other in (("ip=2001:db8::1", "ip=none"), ("tel=(415)555-2671", "tel=415"), ("12", "1234")):
+        assert pii.shape(head + one) != pii.shape(head + other) or pii.groups(head + one) != pii.groups(head + other)
+        assert pii.features([head + one], 0) != pii.features([head + other], 0)
+    began = time.time()
+    pii.features(["1a." * 100_000] * 3, 1)
+    assert time.time() - began < 10
+
+
 def test_viterbi_is_the_best_path(field):
     import itertools
 
