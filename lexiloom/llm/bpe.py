@@ -8,7 +8,9 @@ takes logarithmic time. It ends when the root is a pair that doesn't merge.
 Cases: null and empty texts have no ids; no ids decode to the empty text; null ids
 decode as none; special strings of the vocabulary inside a text are their own id;
 bytes that aren't UTF-8 decode to U+FFFD, as the library has it; ids beyond the
-vocabulary are left out; texts of any length are taken whole.
+vocabulary are left out; a text's bytes that aren't UTF-8 are encoded as U+FFFD; texts
+of any length are taken whole; an empty table gives an empty result; repeated rows are
+rows of their own; further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexiloom.llm.pretok import PieceMemo, Pretokenizer, load_ranks
+from lexiloom.llm.store import whole_text
 
 NONE = 1 << 62
 
@@ -130,7 +133,7 @@ def encode(text: Column, path: str) -> Column:
         flat, counts = _memo(path)(texts.to_pylist())
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat.astype(np.int32)))
 
-    return ids(text)
+    return ids(whole_text(text))
 
 
 def decode(ids: Column, path: str) -> Column:

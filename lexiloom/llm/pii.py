@@ -372,7 +372,7 @@ def find_spans(text: Column, field: Field | None = None) -> Column:
         kind = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
         return pa.array([[{"kind": KINDS[k], "start": a, "end": b, "base": p} for k, a, b, p in r] for r in rows], pa.list_(kind))
 
-    return of(text)
+    return of(whole_text(text))
 
 
 def redact(text: Column, spans: Column) -> Column:

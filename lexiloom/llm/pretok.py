@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 
@@ -85,7 +86,10 @@ class Pretokenizer:
         self.library = Tokenizer.from_file(path)
         self._find = re.compile(PIECES).findall
         self._odd = re.compile(plain_class()).search
+        own = rf"(?:(?!{plain_class()})\S)"
+        self._safe = re.compile(rf"(?<={own})[ \n](?={own})").finditer
         names = sorted(self.special, key=len, reverse=True)
+        self._marked = all(s.startswith("<|") for s in names)
         self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def _plain(self, text: str) -> list[str]:
@@ -95,7 +99,7 @@ class Pretokenizer:
         return [text[a:b] for _, (a, b) in at]
 
     def split(self, text: str) -> list[str]:
-        if self._cut is None or "<|" not in text and not any(s in text for s in self.special):
+        if not self._special(text):
             return self._plain(text)
         out: list[str] = []
         for i, part in enumerate(self._cut.split(text)):
@@ -105,9 +109,34 @@ class Pretokenizer:
                 out.extend(self._plain(part))
         return out
 
-    def simple(self, text: str) -> bool:
-        """Only plain characters, and no special string: PieceMemo can split it."""
-        return self._odd(text) is None and ("<|" not in text and all(s.startswith("<|") for s in self.special) or not any(s in text for s in self.special))
+    def segments(self, text: str, most: int) -> list[tuple[str, bool]]:
+        """(part, whether it is simple) of a text whose pieces are those of its parts. Simple: of
+        plain characters only, without special strings, and of ``most`` characters at most. A text
+        is cut at special strings, and before a single blank or newline between plain characters that
+        are no white space: a piece always begins there, whatever lies around."""
+        if self._odd(text) is None and len(text) <= most and not self._special(text):
+            return [(text, True)]
+        out: list[tuple[str, bool]] = []
+        parts = self._cut.split(text) if self._special(text) else [text]
+        for i, part in enumerate(parts):
+            if i % 2:
+                out.append((part, False))
+                continue
+            if not part:
+                continue
+            cuts = [0, *(m.start() for m in self._safe(part)), len(part)]
+            begin = 0
+            kind = self._odd(part, 0, cuts[1]) is None
+            for a, b in pairwise(cuts[1:]):
+                own = self._odd(part, a, b) is None
+                if own != kind or b - begin > most:
+                    out.append((part[begin:a], kind and a - begin <= most))
+                    begin, kind = a, own
+            out.append((part[begin:], kind and len(part) - begin <= most))
+        return out
+
+    def _special(self, text: str) -> bool:
+        return self._cut is not None and (not self._marked or "<|" in text) and any(s in text for s in self.special)
 
 
 def load_ranks(path: str) -> tuple[dict[bytes, int], dict[tuple[int, int], tuple[int, int]], list[int]]:
@@ -141,6 +170,7 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 LONGEST = 64
 #: Characters handled at a time.
 CHUNK = 1 << 19
+NOTHING = np.zeros(0, np.uint32)
 
 
 @lru_cache(maxsize=1)
@@ -171,16 +201,20 @@ def powers() -> tuple[np.ndarray, np.ndarray]:
 class PieceMemo:
     """Values of pieces, computed once for each distinct piece.
 
-    ``fill(pieces)`` gives (flat uint32 values, number of values of each piece).
+    ``fill(pieces)`` gives (flat uint32 values, number of values of each piece); without
+    ``values``, the numbers only.
     Whole chunks of text are split and looked up with numpy: class boundaries give
     the pieces, a prefix sum of a polynomial hash gives each piece's key, and an
-    open-addressing table gives its values. The memo holds at most ``most`` pieces
-    and starts anew when it is full. Texts with characters that are not plain and
-    pieces longer than LONGEST take the plain way; the values are the same.
+    open-addressing table gives its entry. An entry keeps the piece's characters,
+    and every hit is compared with them: a piece whose key is taken by another piece,
+    or that is longer than LONGEST, is computed for its chunk only. The memo holds at
+    most ``most`` pieces and starts anew when it is full. Parts of texts with
+    characters that are not plain are split by the library, and their pieces are
+    kept by a dictionary.
     """
 
-    def __init__(self, pre: Pretokenizer, fill: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 700_000):
-        self.pre, self.fill, self.most = pre, fill, most
+    def __init__(self, pre: Pretokenizer, fill: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 700_000, values: bool = True):
+        self.pre, self.fill, self.most, self.values = pre, fill, most, values
         self.slots = 1 << int(2 * most - 1).bit_length()
         self.shift = np.uint64(64 - self.slots.bit_length() + 1)
         self.mix = np.uint64(0xD6E8FEB86659FD93)
@@ -189,10 +223,11 @@ class PieceMemo:
     def reset(self) -> None:
         self.keys = np.zeros(self.slots, np.uint64)
         self.vals = np.zeros(self.slots, np.int32)
-        self.at = np.zeros(1024, np.int64)
-        self.size = np.zeros(1024, np.int32)
-        self.pool = np.zeros(4096, np.uint32)
-        self.n = self.used = 0
+        # of an entry: place and number of its values, place and number of its characters
+        self.at, self.size, self.text_at, self.text_size = (np.zeros(1024, np.int64) for _ in range(4))
+        self.pool, self.chars = np.zeros(4096, np.uint32), np.zeros(4096, np.uint16)
+        self.n = self.used = self.spelt = 0
+        self.odd: dict[str, tuple[np.ndarray, int]] = {}
 
     def _first(self, h: np.ndarray) -> np.ndarray:
         return ((h * self.mix) >> self.shift).astype(np.int64)
@@ -211,18 +246,20 @@ class PieceMemo:
             rest = rest[~hit & (key != 0)]
         return out
 
-    def _insert(self, h: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+    def _insert(self, h: np.ndarray, flat: np.ndarray, size: np.ndarray, spelling: np.ndarray, length: np.ndarray) -> None:
         m = len(h)
         while self.n + m > len(self.at):
-            self.at, self.size = np.resize(self.at, 2 * len(self.at)), np.resize(self.size, 2 * len(self.size))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
+            self.at, self.size, self.text_at, self.text_size = (np.resize(x, 2 * len(x)) for x in (self.at, self.size, self.text_at, self.text_size))
+        self._room(len(flat))
+        while self.spelt + len(spelling) > len(self.chars):
+            self.chars = np.resize(self.chars, 2 * len(self.chars))
         self.pool[self.used : self.used + len(flat)] = flat
-        self.size[self.n : self.n + m] = size
-        if len(flat):
-            self.at[self.n : self.n + m] = self.used + np.cumsum(size) - size
+        self.chars[self.spelt : self.spelt + len(spelling)] = spelling
+        new = slice(self.n, self.n + m)
+        self.size[new], self.text_size[new] = size, length
+        self.at[new], self.text_at[new] = self.used + np.cumsum(size) - size, self.spelt + np.cumsum(length) - length
         entry = np.arange(self.n, self.n + m, dtype=np.int32)
-        self.n, self.used = self.n + m, self.used + len(flat)
+        self.n, self.used, self.spelt = self.n + m, self.used + len(flat), self.spelt + len(spelling)
         slot, rest = self._first(h), np.arange(m)
         while rest.size:
             s = slot[rest]
@@ -233,6 +270,10 @@ class PieceMemo:
             rest = rest[~mine]
             slot[rest] = (slot[rest] + 1) & (self.slots - 1)
 
+    def _room(self, n: int) -> None:
+        while self.used + n > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+
     def _cut(self, cp: np.ndarray) -> np.ndarray:
         """Places where pieces and the gaps between texts begin."""
         kind = char_classes()[cp]
@@ -260,92 +301,124 @@ class PieceMemo:
                         break
         return np.flatnonzero(start)
 
+    @staticmethod
+    def _keys(cp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        up, down = powers()
+        total = np.zeros(len(cp) + 1, np.uint64)
+        np.cumsum(cp * up[: len(cp)], dtype=np.uint64, out=total[1:])
+        h = (total[end] - total[begin]) * down[begin]
+        h[h == 0] = 1
+        return h
+
+    @staticmethod
+    def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The places at[k], at[k] + 1 ... (size[k] of them) of all k, one after the other."""
+        ends = np.cumsum(size)
+        return np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+    def _verified(self, entry: np.ndarray, cp: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The entries, -2 where an entry's characters are not those of the piece (and where there is none)."""
+        sure = (entry >= 0) & (self.text_size[entry] == length)
+        own = np.flatnonzero(sure)
+        if own.size:
+            n = length[own]
+            same = self.chars[self._spread(self.text_at[entry[own]], n)] == cp[self._spread(begin[own], n)]
+            sure[own] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+        return np.where(sure, entry, np.int32(-2))
+
     def _chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(flat values, number of values) of simple texts; the texts have CHUNK characters at most."""
         joined = "\0".join(texts) + "\0"
-        cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        cp = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), "<u2")
         begin = self._cut(cp)
         end = np.append(begin[1:], len(cp))
         real = cp[begin] != 0
         begin, end = begin[real], end[real]
-        up, down = powers()
-        total = np.zeros(len(cp) + 1, np.uint64)
-        np.cumsum(cp * up[: len(cp)], dtype=np.uint64, out=total[1:])
-        h = (total[end] - total[begin]) * down[begin]
-        h[h == 0] = 1
-        long = end - begin > LONGEST
+        length = end - begin
+        h = self._keys(cp, begin, end)
         entry = self._find(h)
-        entry[long] = -2
+        entry[length > LONGEST] = -2
         new = np.flatnonzero(entry == -1)
         if new.size:
             key, where = np.unique(h[new], return_index=True)
-            flat, size = self.fill([joined[b:e] for b, e in zip(begin[new[where]].tolist(), end[new[where]].tolist(), strict=True)])
-            if self.n + len(key) > self.most:
+            if self.n + len(key) > self.most and self.n:
                 self.reset()
-                return self._chunk(texts) if len(key) < self.most // 2 else self._slow(texts)
-            self._insert(key, flat, size)
+                return self._chunk(texts)
+            first = new[where]
+            flat, size = self.fill([joined[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True)])
+            self._insert(key, flat, size, cp[self._spread(begin[first], length[first])], length[first])
             entry[new] = self._find(h[new])
-        texts_at = np.flatnonzero(cp == 0)
-        owner = np.searchsorted(texts_at, begin)
-        if long.any():
-            odd = np.unique(owner[long])
-            return self._patched(texts, set(odd.tolist()))
-        size = self.size[entry].astype(np.int64)
+        entry = self._verified(entry, cp, begin, length)
+        size, at = self.size[entry], self.at[entry]
+        other = np.flatnonzero(entry == -2)
+        if other.size:  # these have their values behind the pool's, for this chunk
+            pieces = [joined[b:e] for b, e in zip(begin[other].tolist(), end[other].tolist(), strict=True)]
+            own = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
+            flat, sizes = self.fill(list(own))
+            which = np.array([own[p] for p in pieces])
+            size[other] = sizes[which]
+            at[other] = self.used + (np.cumsum(sizes) - sizes)[which]
+            self._room(len(flat))
+            self.pool[self.used : self.used + len(flat)] = flat
+        owner = np.searchsorted(np.flatnonzero(cp == 0), begin)
         counts = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
-        if not self.used:
-            return np.zeros(0, np.uint32), counts
-        ends = np.cumsum(size)
-        index = np.repeat(self.at[entry] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.pool[index], counts
-
-    def _patched(self, texts: list[str], odd: set[int]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self._slow([t]) if i in odd else self._chunk([t]) for i, t in enumerate(texts)]
-        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-
-    def _slow(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Piece after piece, for texts that numpy's classes don't describe."""
-        flats, counts = [], []
-        for t in texts:
-            pieces = self.pre.split(t)
-            own = list(dict.fromkeys(p for p in pieces if p not in self.pre.special))
-            flat, size = self.fill(own)
-            ends = np.cumsum(size)
-            part = {p: (flat[e - s : e], int(s)) for p, e, s in zip(own, ends.tolist(), size.tolist(), strict=True)}
-            part |= {p: (np.array([i], np.uint32), 1) for p, i in self.pre.special.items()}
-            counts.append(sum(part[p][1] for p in pieces))
-            flats.append(np.concatenate([part[p][0] for p in pieces]) if pieces and len(flat) else np.array([self.pre.special[p] for p in pieces if p in self.pre.special], np.uint32))
-        return np.concatenate(flats), np.array(counts, np.int64)
+        return self.pool[self._spread(at, size)] if self.values else NOTHING, counts
+
+    def _slow(self, text: str) -> tuple[np.ndarray, int]:
+        """Values of a part of a text, and their number, piece after piece by the library's splitting."""
+        if text in self.pre.special:
+            return np.array([self.pre.special[text]], np.uint32), 1
+        pieces = self.pre.split(text)
+        own = {p: self.odd.get(p) for p in dict.fromkeys(pieces)}
+        missing = [p for p, v in own.items() if v is None]
+        if missing:
+            flat, size = self.fill(missing)
+            ends = np.cumsum(size).tolist() if self.values else [0] * len(missing)
+            made = {p: (flat[max(0, e - n) : e], n) for p, e, n in zip(missing, ends, size.tolist(), strict=True)}
+            own |= made
+            if len(self.odd) + len(made) > self.most // 4:
+                self.odd = {}
+            self.odd |= {p: (v.copy(), n) for p, (v, n) in made.items() if len(p) <= LONGEST}
+        return np.concatenate([NOTHING, *(own[p][0] for p in pieces)]), sum(own[p][1] for p in pieces)
+
+    def _simple(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same as __call__ of simple texts, a chunk at a time."""
+        flats, counts, begin, chars = [NOTHING], [np.zeros(0, np.int64)], 0, 0
+        for k, t in enumerate([*texts, None]):
+            if t is None or chars + len(t) + 1 > CHUNK:
+                if k > begin:
+                    f, c = self._chunk(texts[begin:k])
+                    flats.append(f)
+                    counts.append(c)
+                begin, chars = k, 0
+            chars += len(t or "") + 1
+        return np.concatenate(flats), np.concatenate(counts)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(flat values, number of values of each text)."""
-        flats, counts = [], []
-        held: list[str] = []
-        chars = 0
-
-        def flush() -> None:
-            nonlocal held, chars
-            if held:
-                f, c = self._chunk(held)
-                flats.append(f)
-                counts.append(c)
-            held, chars = [], 0
-
+        parts: list[str] = []
+        plain: list[bool] = []
+        stops = []
         for t in texts:
-            t = t or ""
-            if len(t) >= CHUNK or not self.pre.simple(t):
-                flush()
-                f, c = self._slow([t])
-                flats.append(f)
-                counts.append(c)
-                continue
-            if chars + len(t) + 1 > CHUNK:
-                flush()
-            held.append(t)
-            chars += len(t) + 1
-        flush()
-        if not counts:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        return np.concatenate(flats), np.concatenate(counts)
+            for part, simple in self.pre.segments(t or "", CHUNK - 1):
+                parts.append(part)
+                plain.append(simple)
+            stops.append(len(parts))
+        if not parts:
+            return NOTHING, np.zeros(len(texts), np.int64)
+        easy = np.array(plain)
+        counts = np.zeros(len(parts), np.int64)
+        flat, counts[easy] = self._simple([p for p, e in zip(parts, plain, strict=True) if e])
+        if not easy.all():
+            odd = [self._slow(parts[k]) for k in np.flatnonzero(~easy).tolist()]
+            counts[~easy] = [n for _, n in odd]
+            if self.values:
+                mine = np.repeat(easy, counts)
+                whole = np.empty(len(mine), np.uint32)
+                whole[mine], whole[~mine] = flat, np.concatenate([v for v, _ in odd])
+                flat = whole
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        return flat, np.diff(total[np.array([0, *stops])])
 
 
 class LibraryFill:

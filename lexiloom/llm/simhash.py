@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import Shelf, small_batches
+from lexiloom.llm.store import Shelf, small_batches, whole_text
 
 SEED = 42
 #: Buckets of up to so many fingerprints compare their members; larger ones go the exact other way.
@@ -60,9 +60,9 @@ def fingerprint(text: Column, words: int = 3) -> Column:
 
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint_of((t or "").encode(), words) for t in texts.to_pylist()], np.uint64).view(np.int64), pa.int64())
+        return pa.array(np.array([fingerprint_of(t.encode(), words) for t in texts.to_pylist()], np.uint64).view(np.int64), pa.int64())
 
-    return of(text)
+    return of(whole_text(text))
 
 
 def covering_masks(radius: int = 2, bits: int = 64) -> list[int]:

@@ -57,6 +57,12 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def whole_text(text: Column) -> Column:
+    """The text for a Python operator: null is the empty text, and bytes that aren't UTF-8 are U+FFFD
+    (Python can't take them)."""
+    return F.make_valid_utf8(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is; null is the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

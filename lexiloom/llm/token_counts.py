@@ -8,7 +8,9 @@ a token is given out. Distinct pieces are counted once for each worker's memo.
 
 Cases: null and empty texts have 0 tokens and 0 bytes; special strings of the
 vocabulary inside a text are one token each, as the library has it; a text of any
-length is counted whole; further columns don't matter.
+length is counted whole; bytes that aren't UTF-8 count as U+FFFD; an empty table gives
+an empty result; repeated rows are counted one by one; further columns don't matter,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexiloom.llm.pretok import PieceMemo, Pretokenizer, load_ranks
+from lexiloom.llm.store import whole_text
 
 
 class HeapCounter:
@@ -62,7 +65,7 @@ class HeapCounter:
 
 @lru_cache(maxsize=2)
 def _memo(path: str) -> PieceMemo:
-    return PieceMemo(Pretokenizer(path), HeapCounter(path))
+    return PieceMemo(Pretokenizer(path), HeapCounter(path), values=False)
 
 
 def token_count(text: Column, path: str) -> Column:
@@ -72,4 +75,4 @@ def token_count(text: Column, path: str) -> Column:
     def counts(texts: pa.Array) -> pa.Array:
         return pa.array(_memo(path)(texts.to_pylist())[1], pa.int64())
 
-    return counts(text)
+    return counts(whole_text(text))

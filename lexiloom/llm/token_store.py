@@ -15,8 +15,9 @@ numbers of table and block bytes, table, blocks. Block payload: header, document
 states, checkpoints, piece checksums, words (all little-endian). Parts and sequence
 numbers ascend with the document id.
 
-Cases: a null or empty text has its end id only; a null id comes first; rows with one
-id lie together, each with its own tokens; a text of any length makes one block; an
+Cases: a null or empty text has its end id only; bytes that aren't UTF-8 are encoded as
+U+FFFD; ids are integers (any other type is refused); a null id comes first; rows with
+one id lie together, each with its own tokens; a text of any length makes one block; an
 empty table makes an empty file; further columns are ignored.
 """
 
@@ -31,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lexiloom.llm.pretok import library_memo
-from lexiloom.llm.store import Shelf, small_batches
+from lexiloom.llm.store import Shelf, small_batches, whole_text
 
 SCALE, LANES, STEPS = 20, 512, 128
 LOW = np.uint64(1 << 31)
@@ -240,7 +242,9 @@ def write_tokens(docs: DataFrame, path: str, vocab: str, end_id: int, id_col: st
     spark = docs.sparkSession
     small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col}: the file's directory holds integers of 64 bits")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(F.col(text_col)).alias("text"))
     # equal ids (nulls, say) are dealt out by their texts
     rows = rows.repartitionByRange(parts, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
 

@@ -57,8 +57,49 @@ def test_full_memo(wanted):
     assert got == wanted
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_pieces_of_one_key(library, monkeypatch, weak):
+    """Pieces that share a key: a pair for the hash as it is, and all of a length for a weak one."""
+    if weak:
+        monkeypatch.setattr(pretok.PieceMemo, "_keys", staticmethod(lambda cp, begin, end: (end - begin).astype(np.uint64)))
+    pair = ["mnnpnqmnolmlmlqonpoo", "ooololonmppqopknnlnm"]
+    pre = pretok.Pretokenizer(PATH)
+    begin, end = np.array([0, 21]), np.array([20, 41])
+    key = pretok.PieceMemo._keys(np.frombuffer("\n".join(pair).encode("utf-16-le"), "<u2"), begin, end)
+    assert key[0] == key[1]
+    texts = ["\n".join(pair), pair[1], pair[0], " ".join(pair[::-1]) + " the end of it", *fuzz()]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    memo, tree = pretok.PieceMemo(pre, pretok.LibraryFill(pre)), pretok.PieceMemo(pre, bpe.TreeEncoder(PATH))
+    count = pretok.PieceMemo(pre, token_counts.HeapCounter(PATH), values=False)
+    for _ in range(2):
+        for m in (memo, tree):
+            flat, counts = m(texts)
+            assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+            assert [m([t])[0].tolist() for t in texts[:4]] == want[:4]
+        assert count(texts)[1].tolist() == [len(w) for w in want]
+
+
+def test_odd_characters_leave_the_rest_to_numpy(library):
+    rng = random.Random(8)
+    odd = ["👍🏽", "\x1c", "\x85", "²", "½", "<|endoftext|>", "<|end", "  ", "\n\n", "\u3000", "\u200b", "𝒳", "'s", "é́"]
+    texts = []
+    for _ in range(300):
+        words = [rng.choice(["the", "it's", "end.", "1234", "a-b", "日本", "x" * 80]) for _ in range(40)]
+        for _ in range(rng.randint(0, 6)):
+            k = rng.randrange(len(words))
+            words[k] = words[k][:1] + rng.choice(odd) + words[k][1:]
+        texts.append(rng.choice([" ", "\n"]).join(words))
+    texts.append("ab " * 300_000 + "👍")
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    memo = pretok.PieceMemo(pretok.Pretokenizer(PATH), pretok.LibraryFill(pretok.Pretokenizer(PATH)))
+    flat, counts = memo(texts)
+    assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+    parts = pretok.Pretokenizer(PATH).segments("one two 👍 three four", 1000)
+    assert parts == [("one", True), (" two 👍 three", False), (" four", True)]
+
+
 def test_counts(wanted):
-    assert pretok.PieceMemo(pretok.Pretokenizer(PATH), token_counts.HeapCounter(PATH))(fuzz())[1].tolist() == [len(w) for w in wanted]
+    assert pretok.PieceMemo(pretok.Pretokenizer(PATH), token_counts.HeapCounter(PATH), values=False)(fuzz())[1].tolist() == [len(w) for w in wanted]
 
 
 def test_decoding(library, wanted):
@@ -147,10 +188,43 @@ def test_genetic_solutions_are_whole():
         assert sorted(i for own in child.bins for i in own) == list(range(300)) and max(child.loads()) <= 100
 
 
-def test_crossover_beats_best_fit():
-    """Six items that best-fit decreasing puts in three bins, and a solution has in two."""
-    sizes = [45, 35, 30, 30, 30, 30] * 6
-    assert len(packing.evolve(sizes, 100, 3, generations=200, population=8).bins) <= len(packing.Bins(sizes, 100).decreasing(list(range(len(sizes)))).bins)
+def triplets(seed, n=20, capacity=1000):
+    """Items that fill n bins with three each, without a gap; best-fit decreasing takes more."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (capacity - a) // 2)
+        out += [a, b, capacity - a - b]
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_search_beats_best_fit(seed):
+    sizes = triplets(seed)
+    assert len(packing.evolve(sizes, 1000, seed, generations=100, population=12).bins) < len(packing.Bins(sizes, 1000).decreasing(list(range(len(sizes)))).bins) - 1
+
+
+def test_exchange_keeps_items_and_fills_better():
+    sizes = [60, 35, 30, 38, 2, 70]
+    bins = packing.Bins(sizes, 100, [[0, 1], [5]])
+    left = bins.exchange([2, 3, 4])
+    assert sorted([i for b in bins.bins for i in b] + left) == list(range(6)) and max(bins.loads()) <= 100
+    assert bins.loads()[0] == 100  # 35 went for 38 and 2
+
+
+def test_levels_take_no_more_bins(spark, monkeypatch):
+    """Shards of few items: what the first level leaves badly filled is packed by the next ones."""
+    monkeypatch.setattr(packing, "SHARD", 40)
+    from lexiloom.llm.store import Shelf
+
+    sizes = triplets(5, 60)
+    items = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "slot long, length long")
+    shelf = Shelf(spark, "test")
+    rows = packing.pack(items, shelf, 1000).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(len(sizes)))
+    first = shelf.get(spark.createDataFrame([], "slot long, length long, sequence_id long, load long, offset long"), "level0").select("sequence_id").distinct().count()
+    total = len({r["sequence_id"] for r in rows})
+    assert 60 <= total < first
 
 
 def test_packing(spark, wanted, monkeypatch):
@@ -179,3 +253,19 @@ def test_packing(spark, wanted, monkeypatch):
     assert packing.pack_documents(frame(spark, []), PATH).count() == 0
     same = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b")], "doc_id long, text string")
     assert packing.pack_documents(same, PATH).count() == 4
+    named = spark.createDataFrame([("a", "x"), ("b", None)], "doc_id string, text string")
+    assert sorted(r["doc_id"] for r in packing.pack_documents(named, PATH).collect()) == ["a", "b"]
+
+
+def test_bytes_that_are_no_text(spark, library):
+    """Bytes that aren't UTF-8 are U+FFFD, for every operator that takes texts to Python."""
+    bad = spark.createDataFrame([(1, bytearray(b"a\xff b"))], "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    want = library.encode("a\ufffd b", add_special_tokens=False).ids
+    r = bad.select(token_counts.token_count(F.col("text"), PATH).alias("n"), bpe.encode(F.col("text"), PATH).alias("ids")).first()
+    assert r["n"] == len(want) and r["ids"] == want
+    assert packing.pack_documents(bad, PATH).first()["length"] == len(want) + 1
+
+
+def test_token_file_refuses_other_ids(spark, tmp_path):
+    with pytest.raises(TypeError, match="doc_id"):
+        token_store.write_tokens(spark.createDataFrame([("a", "x")], "doc_id string, text string"), f"file://{tmp_path}/x", PATH, 2)
