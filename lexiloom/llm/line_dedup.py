@@ -1,18 +1,23 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-Documents arrive in batches. A batch's lines become rows (hash, n_docs, last): one
-for each distinct hash, sorted. The batch is merge-joined against the runs: hashes
-that no run holds (the anti-join) are its fresh entries, the others are updates,
-and both are added as the batch's own run. When a level has ``fanout`` runs, they
-are compacted into one of the next level. After the last batch the runs tell in
-how many documents a line is found, and in which it stays. Only DataFrame
-operations are used.
-
-Cases: a null or empty text is one empty line; a line that a document repeats
-counts once for it and all its copies share the verdict; documents are counted by
-row, so repeated rows count; rows with one id share the verdict; a null id is
-smaller than any other, and lines found under null ids only all stay; an empty
-table gives an empty result; further columns stay as they are.
+Documents arrive in batches, each as large as all before it. A batch's lines become
+rows (hash, n_docs, last): one for each distinct hash. The batch is merge-joined
+against the runs. Hashes that no run holds (the anti-join) are the batch's fresh
+entries: over all runs a hash has one fresh row. Hashes that a run holds are updates of
+that row. Both are written, sorted, as the batch's own run. When a level has ``fanout``
+runs and more batches come, they are compacted into one of the next level. At last the
+fresh entries are merged with the sums of their updates, which gives in how many
+documents a line is found, and in which it stays. Only DataFrame operations are used.
+
+Lines in very many documents (store.HEAVY) are looked up by a broadcast of bounded size,
+so no task has all documents of such a line; the others by a merge join.
+
+Cases: a null or empty text is one empty line; a line that a document repeats counts
+once for it and all its copies share the verdict; documents are counted by row, so
+repeated rows count; rows with one id share the verdict; ids may be of any type that has
+an order; a null id is smaller than any other, and lines found under null ids only all
+stay; an empty table gives an empty result; further columns stay as they are, whatever
+their names, but for one named as ``out``, whose place the result takes.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import BLANKS, Shelf, ascii_lower, build_filter, filter_bits, passing
+from lexiloom.llm.store import BLANKS, HEAVY, Shelf, ascii_lower, batch_of, batches_for, narrowed
 
 #: Bytes of SHA-256 that a line is known by.
 HASH_BYTES = 16
@@ -43,75 +48,100 @@ def line_hash(key: Column) -> Column:
 class LineIndex:
     """Levels of sorted runs (hash, n_docs, last, fresh)."""
 
-    def __init__(self, shelf: Shelf, fanout: int = 4):
+    def __init__(self, shelf: Shelf, fanout: int = 2):
         self.shelf, self.fanout = shelf, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[str]] = []
+        self.tables: dict[str, DataFrame] = {}
         self.made = 0
 
     def runs(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
+        return [self.tables[name] for level in self.levels for name in level]
 
-    def add(self, lines: DataFrame) -> None:
-        """lines: (id, hash), once for each document and hash."""
+    def add(self, lines: DataFrame, more: bool = True) -> None:
+        """lines: (id, hash), once for each document and hash. more: whether another batch will come."""
         own = lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("last"))
-        if runs := self.runs():
-            # of the runs' rows for a hash, one is fresh: so no row of the batch is doubled
-            held = reduce(DataFrame.union, [r.where("fresh").select("hash") for r in runs]).withColumn("held", F.lit(True))
-            own = own.join(held.hint("merge"), "hash", "left").select("hash", "n_docs", "last", F.col("held").isNull().alias("fresh"))
-        else:
-            own = own.withColumn("fresh", F.lit(True))
-        self._add(own, 0)
-
-    def _add(self, rows: DataFrame, level: int) -> None:
+        held = F.lit(False)
+        for k, run in enumerate(self.runs()):
+            entries = run.where("fresh").select("hash", F.lit(True).alias(f"in{k}"))
+            own = own.join(entries.hint("merge"), "hash", "left")
+            held = held | F.col(f"in{k}").isNotNull()
+        self._add(own.select("hash", "n_docs", "last", (~held).alias("fresh")), 0, more)
+
+    def _add(self, rows: DataFrame, level: int, more: bool) -> None:
         self.made += 1
-        run = self.shelf.put(rows.sortWithinPartitions("hash"), f"run{self.made}")
+        name = f"run{self.made}"
+        self.tables[name] = self.shelf.run(rows, name, "hash")
         if len(self.levels) == level:
             self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) >= self.fanout:
-            merged = self.merged(self.levels[level])
-            self.levels[level] = []
-            self._add(merged, level + 1)
-
-    def merged(self, runs: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.union, runs)
-        return rows.groupBy("hash").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last"), F.bool_or("fresh").alias("fresh"))
-
-
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 4, out: str = "__lines") -> DataFrame:
+        self.levels[level].append(name)
+        if more and len(self.levels[level]) >= self.fanout:
+            old, self.levels[level] = self.levels[level], []
+            rows = reduce(DataFrame.union, [self.tables[n] for n in old])
+            merged = rows.groupBy("hash").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last"), F.bool_or("fresh").alias("fresh"))
+            self._add(merged, level + 1, more)
+            for n in old:
+                self.shelf.drop(n)
+                del self.tables[n]
+
+    def totals(self) -> DataFrame:
+        """(hash, n_docs, last) of every hash: its fresh entry and its updates."""
+        runs = self.runs()
+        updates = reduce(DataFrame.union, [r.where("not fresh") for r in runs])
+        updates = updates.groupBy("hash").agg(F.sum("n_docs").alias("more"), F.max("last").alias("later"))
+        updates = self.shelf.run(updates, "updates", "hash")
+        each = [r.where("fresh").join(updates.hint("merge"), "hash", "left") for r in runs]
+        total = (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs")
+        return reduce(DataFrame.union, [e.select("hash", total, F.greatest("last", "later").alias("last")) for e in each])
+
+
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5,
+    batches: int | None = None, fanout: int = 2, out: str = "__lines",
+) -> DataFrame:
     """``docs`` with a column ``out``: struct of n_lines (before), n_dropped and text (what stays).
 
     A line is known by its trimmed, lower-cased text. Lines of at least ``min_chars``
     code points found in at least ``min_docs`` documents stay in the document with the
-    largest id only."""
+    largest id only. ``batches``: by the number of documents, if it isn't given."""
     shelf = Shelf(docs.sparkSession, "lines")
-    keys = F.filter(F.transform(lines_of(F.col(text_col)), line_key), lambda k: F.length(k) >= min_chars)
-    found = docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(keys)).alias("key"))
-    found = found.select("id", line_hash(F.col("key")).alias("hash"), F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"))
+    batches = batches or batches_for(docs.count())
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keys = F.filter(F.transform(lines_of(F.col("text")), line_key), lambda k: F.length(k) >= min_chars)
+    found = rows.select("id", F.explode(F.array_distinct(keys)).alias("key"))
+    found = found.select("id", line_hash(F.col("key")).alias("hash"), batch_of(F.col("id"), batches).alias("batch"))
     found = shelf.put(found, "found", ("batch",))
     index = LineIndex(shelf, fanout)
     for k in range(batches):
-        index.add(found.where(F.col("batch") == k).select("id", "hash"))
-    common = shelf.put(index.merged(index.runs()).where(F.col("n_docs") >= min_docs).select("hash", "last"), "common")
-    go = found.select("id", "hash").join(common, "hash").where(~F.col("id").eqNullSafe(F.col("last")) & F.col("last").isNotNull())
-    go = shelf.put(go.groupBy(F.col("id").alias("__id")).agg(F.collect_set("hash").alias("__go")), "go")
+        index.add(found.where(F.col("batch") == k).select("id", "hash"), more=k < batches - 1)
+    common = shelf.put(index.totals().where((F.col("n_docs") >= min_docs) & F.col("last").isNotNull()), "common")
+    go = shelf.put(_decisions(found.select("id", "hash"), common, shelf), "go")
     # only documents that may lose a line meet their decisions; a filter lets the others pass where they are
-    bits = filter_bits(go.count())
-    filters = shelf.put(build_filter(go, bits, "__id"), "filter")
-    touched = passing(docs, filters, bits, id_col)
-    untouched = passing(docs, filters, bits, id_col, "left_anti")
-    return _apply(touched, go.hint("merge"), id_col, text_col, min_chars, out).unionByName(_apply(untouched, None, id_col, text_col, min_chars, out))
-
-
-def _apply(docs: DataFrame, go: DataFrame | None, id_col: str, text_col: str, min_chars: int, out: str) -> DataFrame:
-    lines, whole = lines_of(F.col(text_col)), F.coalesce(F.col(text_col), F.lit(""))
-    n = F.size(lines).cast("long").alias("n_lines")
-    if go is None:
-        return docs.withColumn(out, F.struct(n, F.lit(0).cast("long").alias("n_dropped"), whole.alias("text")))
-    joined = docs.join(go, docs[id_col].eqNullSafe(go["__id"]), "left")
-    stay = F.filter(lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("__go"), line_hash(line_key(x)))))
+    touched, untouched = narrowed(rows, go, go.count(), shelf, "touched", "id")
+    result = _apply(touched.join(go.toDF("to", "go").hint("merge"), F.col("id").eqNullSafe(F.col("to")), "left"), min_chars, out)
+    if untouched is not None:
+        result = result.unionByName(_apply(untouched.withColumn("go", F.lit(None).cast("array<binary>")), min_chars, out))
+    stay = [F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() != out.lower()]
+    return result.select(*stay, out)
+
+
+def _decisions(found: DataFrame, common: DataFrame, shelf: Shelf) -> DataFrame:
+    """(id, go): the hashes of the common lines that a document loses."""
+    limit = found.count() // HEAVY
+    heavy = F.broadcast(common.where(F.col("n_docs") > limit).select("hash", "last"))  # HEAVY rows at most
+    light = common.where(F.col("n_docs") <= limit).select("hash", "last")
+    rest, _ = narrowed(found.join(heavy, "hash", "left_anti"), light, light.count(), shelf, "light", "hash")
+    each = found.join(heavy, "hash").unionByName(rest.join(light.hint("merge"), "hash"))
+    each = each.where(~F.col("id").eqNullSafe(F.col("last")))
+    return each.groupBy("id").agg(F.collect_set("hash").alias("go"))
+
+
+def _apply(rows: DataFrame, min_chars: int, out: str) -> DataFrame:
+    """rows: (doc, id, text, go)."""
+    lines, whole = lines_of(F.col("text")), F.coalesce(F.col("text"), F.lit(""))
+    gone = lambda x: (F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("go"), line_hash(line_key(x)))
+    rows = rows.withColumn("stay", F.when(F.col("go").isNotNull(), F.filter(lines, lambda x: ~gone(x))))
     # every dropped line takes its \n with it; a text that loses all its lines is empty
-    joined = joined.withColumn("__stay", F.when(F.col("__go").isNotNull(), stay))
-    text = F.when(F.col("__go").isNull(), whole).otherwise(F.array_join("__stay", "\n")).alias("text")
-    dropped = F.when(F.col("__go").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("__stay")).cast("long").alias("n_dropped")
-    return joined.withColumn(out, F.struct(n, dropped, text)).select(*docs.columns, out)
+    text = F.when(F.col("go").isNull(), whole).otherwise(F.array_join("stay", "\n"))
+    dropped = F.when(F.col("go").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("stay"))
+    made = F.struct(F.size(lines).cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"), text.alias("text"))
+    return rows.select("doc", made.alias(out))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Bits of a filter: so many for each key, within these bounds (64 MB at most).
 FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+#: Keys that hold more than 1 / HEAVY of all rows are joined by broadcast: there are HEAVY of them at most.
+HEAVY = 10_000
+#: Documents of the first batch of an index, at most; each later batch has as many as all before it.
+FIRST_BATCH, LEAST_BATCHES = 1 << 20, 3
 
 
 class Shelf:
@@ -28,12 +33,15 @@ class Shelf:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.tables: dict[str, str] = {}
+        self.names: set[str] = set()
         jvm = spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(self.path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
 
     def put(self, df: DataFrame, name: str, parts: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.path}/{name}"
+        self.names.add(name)
         out = df.write.option("compression", "zstd")
         (out.partitionBy(*parts) if parts else out).parquet(path)
         return self.get(df, name)
@@ -41,8 +49,28 @@ class Shelf:
     def get(self, df: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def run(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """A sorted run: a table in buckets by ``key``, each sorted by it. There are as many buckets as a
+        shuffle has partitions, so merge joins of runs with each other and with what was grouped by the
+        key need no exchange. The catalogue's entry goes with ``drop``, or at exit."""
+        table = f"lexiloom_{uuid.uuid4().hex}_{name}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        out = df.write.format("parquet").option("path", f"{self.path}/{name}").option("compression", "zstd")
+        out.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        if not self.tables:
+            atexit.register(self._forget)
+        self.tables[name] = table
+        return self.spark.table(table)
+
+    def _forget(self) -> None:
+        if self.spark.sparkContext._jsc is not None:
+            for name in list(self.tables):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
+
     def drop(self, name: str) -> None:
         """Deletes a table that no later step reads."""
+        if name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
         jvm = self.spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
@@ -94,3 +122,27 @@ def passing(rows: DataFrame, filters: DataFrame, bits: int, key: str = "digest",
     at = _place(rows[key], bits)
     f = F.broadcast(filters.toDF("__bucket", "__bits"))
     return rows.join(f, (F.bitmap_bucket_number(at) == f["__bucket"]) & is_set(f["__bits"], F.bitmap_bit_position(at)), how)
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, n: int, shelf: Shelf, name: str, key: str = "digest") -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose key may be one of the ``n`` keys, rows whose key is none of them). Where a filter of
+    bounded size would let most rows pass (fewer than 8 bits a key), all rows may and the second is None.
+    The filter is written as ``name``, once."""
+    if n * FILTER_BITS > 2 * MOST_BITS:
+        return rows, None
+    bits = filter_bits(n)
+    made = build_filter(keys, bits, key)
+    filters = shelf.get(made, name) if name in shelf.names else shelf.put(made, name)
+    return passing(rows, filters, bits, key), passing(rows, filters, bits, key, "left_anti")
+
+
+def batches_for(n: int) -> int:
+    """How many batches ``n`` rows make, where each batch is as large as all before it: merging every batch
+    with all that came before then reads twice the index in all, whatever its size."""
+    return max(LEAST_BATCHES, (max(1, n) // FIRST_BATCH).bit_length() + 1)
+
+
+def batch_of(row_id: Column, batches: int) -> Column:
+    """The batch (from 0) of a row: shares 1 : 1 : 2 : 4 ... by a hash of its id."""
+    at = F.pmod(F.xxhash64(row_id), F.lit(1 << (batches - 1)))
+    return F.when(at == 0, 0).otherwise(F.length(F.bin(at))).cast("int")

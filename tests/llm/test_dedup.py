@@ -7,8 +7,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom.llm import exact_dedup as exact_module
+from lexiloom.llm import line_dedup as line_module
 from lexiloom.llm.exact_dedup import DigestIndex, exact_dedup
-from lexiloom.llm.line_dedup import line_dedup
+from lexiloom.llm.line_dedup import LineIndex, line_dedup
+from lexiloom.llm.store import Shelf, batch_of, batches_for
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string, lang string, id string, digest int, keep_id int, n_lines string, hash string"
@@ -47,6 +50,78 @@ def test_exact_against_brute_force(spark, keep, weak):
     assert {(r["id"], r["keep_id"], r["group_size"]) for r in got} == want and len(got) == len(rows)
 
 
+def test_exact_answer_is_the_runs(spark, monkeypatch):
+    """What the runs hold is what comes out: with other identifiers in them, the result has those."""
+    merged = DigestIndex.merged
+    monkeypatch.setattr(DigestIndex, "merged", lambda self, rows: merged(self, rows).withColumn("keep_id", F.col("keep_id") + 1000).withColumn("n", F.col("n") + 0))
+    rows = [(i, "copy" if i % 3 else f"own {i}") for i in range(40)]
+    got = {r["id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup(docs(spark, rows)).collect()}
+    assert got[0] == (0, 1) and got[3] == (3, 1)
+    keep, size = got[1]
+    assert keep > 1000 and size == 26
+
+
+@pytest.mark.parametrize("heavy", [1, 20, 10_000])
+def test_hot_groups(spark, monkeypatch, heavy):
+    """The same result whether groups go by broadcast or by merge join."""
+    monkeypatch.setattr(exact_module, "HEAVY", heavy)
+    monkeypatch.setattr(line_module, "HEAVY", heavy)
+    rows = [(i, "" if i % 3 == 0 else f"a line in all of them\nown line {i % 7}\nown {i}") for i in range(120)]
+    got = exact_dedup(docs(spark, rows)).collect()
+    assert {(r["id"], r["keep_id"], r["group_size"]) for r in got} == {(i, 117, 40) if i % 3 == 0 else (i, i, 1) for i, _ in rows} and len(got) == 120
+    got = line_dedup(docs(spark, rows), min_chars=8, min_docs=3).collect()
+    want = brute(rows, 8, 3)
+    assert {r["doc_id"]: (r["__lines"]["n_lines"], r["__lines"]["n_dropped"], hashlib.sha256(r["__lines"]["text"].encode()).hexdigest()) for r in got} == want and len(got) == 120
+
+
+def test_batches(spark):
+    assert [batches_for(n) for n in (0, 10**6, 10**7, 5 * 10**10)] == [3, 3, 5, 17]
+    got = {r["b"]: r["count"] for r in spark.range(8000).select(batch_of(F.col("id"), 4).alias("b")).groupBy("b").count().collect()}
+    assert sorted(got) == [0, 1, 2, 3] and 900 < got[0] < 1100 and 900 < got[1] < 1100 and 3800 < got[3] < 4200
+
+
+def test_line_index(spark):
+    """A hash has one fresh row over all runs, and the totals need it: other marks give other totals."""
+    rng = random.Random(9)
+    batches = [[(i, bytes([rng.randrange(30)])) for i in range(k * 100, k * 100 + 60)] for k in range(4)]
+    index = LineIndex(Shelf(spark, "test"))
+    for k, b in enumerate(batches):
+        index.add(spark.createDataFrame(b, "id long, hash binary"), more=k < 3)
+    assert len(index.runs()) == 3  # the first two batches were compacted before the third came
+    fresh = [bytes(r["hash"]) for run in index.runs() for r in run.where("fresh").collect()]
+    assert sorted(fresh) == sorted({h for b in batches for _, h in b})
+    want = defaultdict(list)
+    for b in batches:
+        for i, h in b:
+            want[h].append(i)
+    got = {bytes(r["hash"]): (r["n_docs"], r["last"]) for r in index.totals().collect()}
+    assert got == {h: (len(v), max(v)) for h, v in want.items()}
+    index.shelf = Shelf(spark, "test")
+    index.tables = {k: t.withColumn("fresh", F.lit(True)) for k, t in index.tables.items()}
+    assert index.totals().count() > len(want)
+
+
+def test_runs_meet_without_exchange(spark):
+    """Merge joins of runs, and of a grouped batch with a run, shuffle no run."""
+    shelf = Shelf(spark, "test")
+    run = shelf.run(spark.range(1000).select(F.col("id").cast("string").cast("binary").alias("hash")), "run", "hash")
+    batch = spark.range(100).select(F.col("id").cast("string").cast("binary").alias("hash")).groupBy("hash").count()
+    plan = batch.join(run.hint("merge"), "hash", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+    shelf.drop("run")
+
+
+def test_lines_clashing_names(spark):
+    names = ["doc_id", "text", "__go", "__id", "go", "id", "doc", "stay", "to", "hash", "batch", "last"]
+    rows = [(i, "a common line\nown", *[f"{n}{i}" for n in names[2:]]) for i in range(6)]
+    got = line_dedup(spark.createDataFrame(rows, names), min_chars=5, min_docs=3, out="lines").orderBy("doc_id").collect()
+    assert got[0].asDict()["__go"] == "__go0" and got[0]["doc"] == "doc0" and [r["lines"]["text"] for r in got] == ["own"] * 5 + ["a common line\nown"]
+    got = line_dedup(spark.createDataFrame([(1, "x", "old")], ["doc_id", "text", "__lines"]))
+    assert got.columns == ["doc_id", "text", "__lines"] and got.first()["__lines"]["text"] == "x"
+    texts = line_dedup(spark.createDataFrame([(c, "a common line") for c in "abc"], ["doc_id", "text"]), min_chars=5, min_docs=3)
+    assert {r["doc_id"]: r["__lines"]["text"] for r in texts.collect()} == {"a": "", "b": "", "c": "a common line"}  # ids of any type
+
+
 def test_index_refuses(spark):
     with pytest.raises(ValueError, match="keep"):
         DigestIndex(None, keep="first")
