@@ -12,8 +12,9 @@ span of the field counts if its digits can be of its kind and if it meets no spa
 the patterns; theirs stay as they are.
 
 Cases: null and empty texts have no spans; places are code points, the end exclusive;
-texts of any length and with any characters are searched whole; further columns
-don't matter.
+texts of any length and with any characters are searched whole; bytes that aren't UTF-8
+are U+FFFD; an empty table gives an empty result; repeated rows are rows of their own;
+further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiloom.llm.store import whole_text
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: What the contract's patterns ask for. An address is found from its @,
@@ -100,7 +103,7 @@ def features(tokens: list[str], k: int) -> list[str]:
     before = tokens[k - 1] if k else "^"
     after = tokens[k + 1] if k + 1 < len(tokens) else "$"
     d = digits_of(t)
-    near = lambda w: w.strip(".,;:!?()\"'").lower()[:12] if not TRIGGER.search(w) else shape(w)
+    near = lambda w: w.strip(".,;:!?()\"'").lower() if not TRIGGER.search(w) else shape(w)
     out = [
         "bias", f"s={shape(t)}", f"c={shape(core)}", f"g={groups(t)}", f"n={min(len(d), 20)}", f"b={near(before)}", f"a={near(after)}",
         f"bg={groups(before)}|{groups(t)}", f"ag={groups(t)}|{groups(after)}", f"at={t.count('@')}", f"p={t[:1]}" if not t[:1].isalnum() else "p=w",
@@ -352,9 +355,15 @@ def all_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int,
     out = []
     for i, own in enumerate(base):
         more = []
-        if i in extra:
-            cover = sorted((s, e) for _, s, e in own)
-            more = [x for x in extra[i] if not any(s < x[2] and x[1] < e for s, e in cover)]
+        if i in extra:  # one walk along both, by start: how far the patterns' spans that begin before a span reach
+            starts = sorted((s, e) for _, s, e in own)
+            k = reach = 0
+            for x in sorted(extra[i], key=lambda x: x[1]):
+                while k < len(starts) and starts[k][0] <= x[1]:
+                    reach = max(reach, starts[k][1])
+                    k += 1
+                if reach <= x[1] and (k == len(starts) or starts[k][0] >= x[2]):
+                    more.append(x)
         out.append(sorted([(*s, True) for s in own] + [(*s, False) for s in more], key=lambda s: (s[1], s[0])))
     return out
 
@@ -393,4 +402,4 @@ def redact(text: Column, spans: Column) -> Column:
             out.append("".join(parts) + t[at:])
         return pa.array(out, pa.string())
 
-    return of(text, spans)
+    return of(F.make_valid_utf8(text), spans)
