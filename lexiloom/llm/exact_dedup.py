@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import HEAVY, Shelf, ascii_lower, batch_of, batches_for, narrowed
+from lexiloom.llm.store import Shelf, ascii_lower, batch_of, batches_for, looked_up, narrowed
 
 
 def text_digest(normal: Column) -> Column:
@@ -121,10 +121,7 @@ def exact_dedup(
         each = own.groupBy("digest", "normal").agg(index.best("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
         parts.append(own.join(each, ["digest", "normal"]).select("id", "digest", "keep_id", "n"))
         found, rows = found.join(mixed, "digest", "left_anti"), rows.join(mixed, "digest", "left_anti")
-    limit = max(1, docs.count() // HEAVY)
-    heavy = F.broadcast(found.where(F.col("n") > limit))  # HEAVY rows at most
-    parts.append(rows.join(heavy, "digest"))
-    parts.append(rows.join(heavy, "digest", "left_anti").join(found.where(F.col("n") <= limit).hint("merge"), "digest", "left"))
+    parts.append(looked_up(rows, found, "digest", "n", docs.count()))
     out = reduce(DataFrame.unionByName, parts)
     if alone is not None:
         out = out.unionByName(alone, allowMissingColumns=True)

@@ -9,12 +9,13 @@ the two fall into one bucket of that mask's table, with certainty.
 Rows are first aggregated to distinct fingerprints, so that copies never meet each
 other. Small buckets compare their members (a merge join on the bucket that keeps
 only verified pairs). The members of large buckets are linked exactly without
-pairs: two fingerprints within radius 2 share a fingerprint that is at most one bit
-from both, so each gives its 65 such keys, and each key (which 65 fingerprints can
-have at most) links its own to the smallest. Components are found by alternating
+pairs: two fingerprints within the radius r have one between them, at most r // 2 bits
+from the one and r - r // 2 from the other. So each gives all fingerprints that near as
+keys (65 for radius 2, which as many fingerprints can have at most), and a key links all
+that have it to the smallest of its nearest. Components are found by alternating
 large-star and small-star steps, each written to the shared folder.
 
-Cases: null, empty and blank texts have fingerprint zero and are linked like any
+Cases: bytes that aren't UTF-8 are U+FFFD; null, empty and blank texts have fingerprint zero and are linked like any
 other; fewer words than a shingle needs are one shingle; component_id is the smallest
 id that isn't null, null if there is none; rows with one id are rows of their own; an
 empty table gives an empty result; further columns are ignored.
@@ -22,18 +23,20 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import Shelf, small_batches, whole_text
+from lexiloom.llm.store import Shelf, looked_up, small_batches, whole_text
 
 SEED = 42
 #: Buckets of up to so many fingerprints compare their members; larger ones go the exact other way.
 SMALL = 24
+#: 31 masks, and 2081 keys of a fingerprint in a large bucket.
+MOST_RADIUS = 4
 
 
 def fingerprint_of(raw: bytes, words: int = 3) -> int:
@@ -76,8 +79,16 @@ def close(a: Column, b: Column, radius: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= radius
 
 
+def ball(radius: int, bits: int = 64) -> list[int]:
+    """What is XORed to a fingerprint to get all within ``radius`` bits, as signed longs."""
+    out = [sum(1 << i for i in places) for k in range(radius + 1) for places in combinations(range(bits), k)]
+    return [m - (1 << 64) if m >> 63 else m for m in out]
+
+
 def near_links(prints: DataFrame, shelf: Shelf, radius: int = 2, small: int = SMALL) -> DataFrame:
     """Links (a, b), a < b, that have the components of the distinct fingerprints ``fp``."""
+    if not 1 <= radius <= MOST_RADIUS:
+        raise ValueError(f"radius: 1 to {MOST_RADIUS}; masks and keys grow as its powers")
     masks = F.array(*[F.struct(F.lit(i).alias("mask"), F.lit(m).alias("bits")) for i, m in enumerate(covering_masks(radius))])
     keyed = prints.select("fp", F.explode(masks).alias("m")).select("fp", "m.mask", F.col("fp").bitwiseAND(F.col("m.bits")).alias("key"))
     full = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -85,26 +96,22 @@ def near_links(prints: DataFrame, shelf: Shelf, radius: int = 2, small: int = SM
     few = members.where(F.col("n") <= small).select("mask", "key", "fp")
     pairs = few.select("mask", "key", F.col("fp").alias("a")).join(few.select("mask", "key", F.col("fp").alias("b")), ["mask", "key"])
     pairs = pairs.where((F.col("a") < F.col("b")) & close(F.col("a"), F.col("b"), radius)).select("a", "b")
+    # a key within radius // 2 of one and within the rest of the other links both: so its nearest's smallest links all
     many = members.where(F.col("n") > small).select("fp").distinct()
-    if radius != 2 and not many.isEmpty():
-        raise ValueError("buckets beyond `small` are linked exactly for radius 2 only; give a larger `small`")
-    ball = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-    keys = many.select("fp", F.explode(F.transform(ball, lambda x: F.col("fp").bitwiseXOR(x))).alias("key"))
-    stars = keys.groupBy("key").agg(F.sort_array(F.collect_set("fp")).alias("all")).where(F.size("all") > 1)
-    stars = stars.select(F.col("all")[0].alias("a"), F.explode(F.slice("all", 2, 64)).alias("b"))
+    near, far = ball(radius // 2), ball(radius - radius // 2)
+    marks = F.transform(F.array(*[F.lit(m).cast("long") for m in far]), lambda x: F.col("fp").bitwiseXOR(x))
+    keys = many.select("fp", F.posexplode(marks).alias("at", "key")).withColumn("near", F.col("at") < len(near))
+    stars = keys.groupBy("key").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.collect_set("fp").alias("all"))
+    stars = stars.where(F.col("hub").isNotNull() & (F.size("all") > 1)).select("hub", F.explode("all").alias("fp")).where("hub <> fp")
+    stars = stars.select(F.least("hub", "fp").alias("a"), F.greatest("hub", "fp").alias("b"))
     return shelf.put(pairs.unionByName(stars).distinct(), "links")
 
 
 def components(links: DataFrame, shelf: Shelf) -> DataFrame:
     """(node, root) of every node of the links (a, b); the root is the smallest node."""
-
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("child", "root") % (1 << 40))).first())
-
     edges = links.select(F.col("b").alias("child"), F.col("a").alias("root"))
-    last = state(edges)
-    step = 0
-    while last[0]:
+    n, step = edges.count(), 0
+    while n:
         step += 1
         both = edges.union(edges.select("root", "child")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -112,14 +119,15 @@ def components(links: DataFrame, shelf: Shelf) -> DataFrame:
         large = shelf.put(large, f"large{step}")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         little = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("child"), F.col("m").alias("root")), F.struct(F.col("v").alias("child"), F.col("m").alias("root")))).alias("e")).select("e.*").where("child > root").distinct()
-        edges = shelf.put(little, f"small{step}")
+        little = shelf.put(little, f"small{step}")
         shelf.drop(f"large{step}")
+        now = little.count()
+        same = now == n and little.join(edges, ["child", "root"], "left_anti").isEmpty()
+        edges, n = little, now
         if step > 1:
             shelf.drop(f"small{step - 1}")
-        now = state(edges)
-        if now == last:
+        if same:
             break
-        last = now
     return edges.select(F.col("child").alias("node"), "root")
 
 
@@ -129,10 +137,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(spark)
     shelf = Shelf(spark, "simhash")
     rows = shelf.put(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp")), "prints")
-    prints = shelf.put(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    prints = shelf.put(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
     found = components(near_links(prints, shelf, radius, small), shelf)
-    linked = prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
+    linked = prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
     # a root is no node of its own: it has its row by its fingerprint
     roots = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.bool_or("linked").alias("linked")).where("linked").select("root", "component_id")
-    of = shelf.put(linked.join(roots, "root", "left").select("fp", F.when(F.col("component_id").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")), "of")
-    return rows.join(of, "fp").select("id", "fp", "component_id")
+    of = linked.join(roots, "root", "left").select("fp", "n", F.when(F.col("component_id").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    return looked_up(rows, shelf.put(of, "of"), "fp", "n", rows.count()).select("id", "fp", "component_id")

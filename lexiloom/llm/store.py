@@ -146,3 +146,13 @@ def batch_of(row_id: Column, batches: int) -> Column:
     """The batch (from 0) of a row: shares 1 : 1 : 2 : 4 ... by a hash of its id."""
     at = F.pmod(F.xxhash64(row_id), F.lit(1 << (batches - 1)))
     return F.when(at == 0, 0).otherwise(F.length(F.bin(at))).cast("int")
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row for a key at most and tells in ``count`` how many
+    of the ``total`` rows have it (a left join). Keys of more than 1 / HEAVY of all rows are broadcast, and
+    there are HEAVY of them at most; the others are merge-joined."""
+    limit = max(1, total // HEAVY)
+    heavy = F.broadcast(table.where(F.col(count) > limit))
+    light = table.where(F.col(count) <= limit)
+    return rows.join(heavy, key).unionByName(rows.join(heavy, key, "left_anti").join(light.hint("merge"), key, "left"))

@@ -67,15 +67,15 @@ def planted(seed=1):
     return sorted({*out, *chain, *(flip(hub, rng.randint(0, 2)) for _ in range(150)), 0, 3})
 
 
-@pytest.mark.parametrize("small", [4, 24, 1000])
-def test_links_against_brute_force(spark, small):
+@pytest.mark.parametrize(("small", "radius"), [(4, 2), (24, 2), (1000, 2), (4, 1), (4, 3), (24, 4)])
+def test_links_against_brute_force(spark, small, radius):
     prints = planted()
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     shelf = Shelf(spark, "test")
     df = spark.createDataFrame([(p,) for p in signed], "fp long")
-    found = {r["node"]: r["root"] for r in simhash.components(simhash.near_links(df, shelf, small=small), shelf).collect()}
+    found = {r["node"]: r["root"] for r in simhash.components(simhash.near_links(df, shelf, radius, small), shelf).collect()}
     groups, want = {}, {}
-    for p, s in zip(roots(prints), signed, strict=True):
+    for p, s in zip(roots(prints, radius), signed, strict=True):
         want.setdefault(p, set()).add(s)
     for s in signed:
         groups.setdefault(found.get(s, s), set()).add(s)
@@ -448,7 +448,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
 def test_pipeline_of_nothing_and_odd_rows(spark, tmp_path):
     import corpus_pipeline
 
-    kind = "doc_id long, text string, lang string, source string, n_chars long, fp string"
+    kind = "doc_id long, text string, lang string, source string, n_chars long, __lines string"
     for name, rows in (("a", []), ("b", [(None, None, None, None, None, None), (1, "", "", "", 0, ""), (1, "x " * 30, "en", "s", 60, "c"), (None, "y z " * 3, None, None, None, None)])):
         spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / name / "documents.parquet"))
         assert corpus_pipeline.run(spark, str(tmp_path / name)).count() == 0
