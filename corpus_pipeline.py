@@ -16,7 +16,7 @@ from lexiloom.llm.line_dedup import line_dedup
 from lexiloom.llm.packing import pack_documents
 from lexiloom.llm.pii import find_spans, redact
 from lexiloom.llm.pretok import vocab_path
-from lexiloom.llm.quality import kept
+from lexiloom.llm.quality import accepted
 from lexiloom.llm.simhash import near_dedup
 from lexiloom.llm.store import Shelf, small_batches
 
@@ -31,12 +31,15 @@ def _with_text(docs: DataFrame, text: object, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return docs.where(kept(docs))
+    return accepted(docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are common to documents stay in one of them."""
-    return _with_text(line_dedup(docs), F.col("__lines.text"), docs.columns)
+    out = "__lines"
+    while out in docs.columns:
+        out += "_"
+    return _with_text(line_dedup(docs, out=out), F.col(out).getField("text"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +59,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, vocab_path(), end_id=0, capacity=2048)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", drop_lines), ("near_dedup", near_duplicates), ("personal_data", personal_data), ("packing", packing)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", drop_lines),
+    ("near_dedup", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 #: SQL can't express the fingerprints' hash, the random field or the tokens: tests hold run() against brute force.
 ORACLE_SQL = None
 
