@@ -11,22 +11,22 @@ from lexiloom.sources import writers as wr
 
 def pages(spark):
     lines = ["{0} 일정은 2026-09-0{1} 로 확정되었습니다.", "매장 담당자는 {0} 절차를 확인합니다.", "{0} 이후 매출 집계를 시작합니다.", "운영팀은 {0} 공지를 발송했습니다.", "시스템에서 {0} 상태를 조회합니다."]
-    rows = [(f"p{i}{k}", "S", f"{name} 안내", "".join(f"<p>{x.format(name, i + 1)}</p>" for x in lines), 1) for i in range(8) for k, name in enumerate(("FO", "패밀리 오픈"))]
+    rows = [(f"p{i}{k}", "S", f"{name} 안내", "".join(f"<p>{x.format(name, i + 1)}</p>" for x in lines), 1) for i in range(8) for k, name in enumerate(("QX", "패밀리 오픈"))]
     return spark.createDataFrame(rows, "page_id string, space_id string, title string, body string, version long")
 
 
 def test_build(spark, tmp_path):
     build = Build(spark, str(tmp_path), Config(phrase_min=2, phrase_threshold=0.5, min_similarity=0.1))
-    answers = spark.createDataFrame([("FO||패밀리_오픈", "EXACT_ALIAS", "HIGH", True, True, "same")], "pair_key string, relationType string, confidence string, safeAToB boolean, safeBToA boolean, reason string")
-    types = spark.createDataFrame([("FO", "ENTITY"), ("패밀리_오픈", "ENTITY")], "term string, term_type string")
-    near = spark.createDataFrame([("FO", "패밀리_오픈", 0.95, 1), ("패밀리_오픈", "FO", 0.95, 1)], "term string, other string, similarity double, rank int")
+    answers = spark.createDataFrame([("QX||패밀리_오픈", "EXACT_ALIAS", "HIGH", True, True, "same")], "pair_key string, relationType string, confidence string, safeAToB boolean, safeBToA boolean, reason string")
+    types = spark.createDataFrame([("QX", "ENTITY"), ("패밀리_오픈", "ENTITY")], "term string, term_type string")
+    near = spark.createDataFrame([("QX", "패밀리_오픈", 0.95, 1), ("패밀리_오픈", "QX", 0.95, 1)], "term string, other string, similarity double, rank int")
     record = build.run(pages(spark), answers, types, neighbors=near).first()
     assert record["documents"] == 16 and record["active"] == 2
     terms = {r["term"] for r in build.get("terms").collect()}
-    assert {"FO", "패밀리_오픈", "<DATE>"} <= terms
+    assert {"QX", "패밀리_오픈", "<DATE>"} <= terms
     assert build.get("sentences").where(F.col("normalized").contains("<DATE>")).count() == 16
     assert build.get("sentences").where(F.col("sentence").contains("2026-09")).count() == 16  # the original stays
-    entry = build.get("dictionary").where("term = 'FO'").first()
+    entry = build.get("dictionary").where("term = 'QX'").first()
     assert entry["relations"][0]["termKey"] == "패밀리_오픈" and entry["relations"][0]["expandable"]
     states = {r["status"] for r in build.get("judged_candidates").collect()}
     assert states == {"VALIDATED", "VALIDATION_FAILED"}
@@ -43,15 +43,15 @@ def test_sources(spark, tmp_path):
     assert sorted(r[0] for r in rd.read_list(spark, str(tmp_path / "list.txt")).collect()) == ["a", "b"]
     (tmp_path / "pairs.txt").write_text("b||a\n", encoding="utf-8")
     assert rd.read_excluded_pairs(spark, str(tmp_path / "pairs.txt")).first()[0] == "a||b"
-    (tmp_path / "sheet.csv").write_text("﻿제거,termKey\nx,FO\n,API\n", encoding="utf-8")
-    assert [r["termKey"] for r in rd.read_marked(spark, str(tmp_path / "sheet.csv"), "제거").collect()] == ["FO"]
+    (tmp_path / "sheet.csv").write_text("﻿제거,termKey\nx,QX\n,API\n", encoding="utf-8")
+    assert [r["termKey"] for r in rd.read_marked(spark, str(tmp_path / "sheet.csv"), "제거").collect()] == ["QX"]
     allowed = spark.createDataFrame([("a",), ("b",)], "term string")
     pair = {"termAKey": "b", "termBKey": "a", "relationHint": "same", "confidence": "high", "reason": ""}
     for k, body in enumerate(({"pairs": [pair, pair | {"termAKey": "z"}]}, [pair])):
         (tmp_path / f"p{k}.json").write_text(json.dumps(body))
         assert [tuple(r) for r in rd.read_proposals(spark, str(tmp_path / f"p{k}.json"), allowed).collect()] == [("a", "b", 1.0)]
     (tmp_path / "dict.tsv").write_text("감사 로그\tNNP\nFO\n", encoding="utf-8")
-    assert {tuple(r) for r in rd.read_user_dictionary(spark, str(tmp_path / "dict.tsv")).collect()} == {("감사 로그", "NNP"), ("FO", "NNP")}
+    assert {tuple(r) for r in rd.read_user_dictionary(spark, str(tmp_path / "dict.tsv")).collect()} == {("감사 로그", "NNP"), ("QX", "NNP")}
 
 
 def test_corpus_round_trip(spark, tmp_path):

@@ -63,11 +63,11 @@ def neighbors(spark, lists):
 
 
 def test_ranks_after_filtering(spark):
-    cat = spark.createDataFrame([("FO", 9, ""), ("매장", 9, ""), ("패밀리_오픈", 9, ""), ("x", 1, "stopword")], "term string, frequency int, excluded_reason string")
-    near = neighbors(spark, {"FO": [("x", 0.99), ("매장", 0.97), ("패밀리_오픈", 0.95), ("F_O", 0.9)], "패밀리_오픈": [("FO", 0.95)]})
+    cat = spark.createDataFrame([("QX", 9, ""), ("매장", 9, ""), ("패밀리_오픈", 9, ""), ("x", 1, "stopword")], "term string, frequency int, excluded_reason string")
+    near = neighbors(spark, {"QX": [("x", 0.99), ("매장", 0.97), ("패밀리_오픈", 0.95), ("F_O", 0.9)], "패밀리_오픈": [("QX", 0.95)]})
     fused = ca.fuse([ca.neighbor_pairs(ca.valid_neighbors(near, cat), "FASTTEXT", 0.5)])
     got = {(r["a"], r["b"]): (r["rank_ab"], r["rank_ba"], r["similarity"]) for r in fused.collect()}
-    assert got == {("FO", "패밀리_오픈"): (2, 1, 0.95), ("FO", "매장"): (1, None, 0.97)}
+    assert got == {("QX", "패밀리_오픈"): (2, 1, 0.95), ("QX", "매장"): (1, None, 0.97)}
 
 
 def test_mutual(spark):

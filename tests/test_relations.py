@@ -80,14 +80,14 @@ def test_replay(spark):
 
 
 def test_dictionary(spark):
-    terms = spark.createDataFrame([("FO", 42, "ENTITY"), ("패밀리_오픈", 30, "ENTITY"), ("매장_오픈", 12, "UNKNOWN"), ("x_y", 9, "CONCEPT"), ("x y", 5, "CONCEPT")], "term string, frequency int, term_type string")
-    verdict = [("FO", "패밀리_오픈", "ALIAS", "HIGH", 0.87, True, True), ("FO", "매장_오픈", "SAME_ENTITY", "HIGH", 0.7, True, True)]
+    terms = spark.createDataFrame([("QX", 42, "ENTITY"), ("패밀리_오픈", 30, "ENTITY"), ("매장_오픈", 12, "UNKNOWN"), ("x_y", 9, "CONCEPT"), ("x y", 5, "CONCEPT")], "term string, frequency int, term_type string")
+    verdict = [("QX", "패밀리_오픈", "ALIAS", "HIGH", 0.87, True, True), ("QX", "매장_오픈", "SAME_ENTITY", "HIGH", 0.7, True, True)]
     rows = spark.createDataFrame(verdict, "a string, b string, relation_type string, confidence string, similarity double, safe_ab boolean, safe_ba boolean")
-    patterns = spark.createDataFrame([("FO", 3), ("패밀리_오픈", 3), ("매장_오픈", 2)], "term string, patterns int")
+    patterns = spark.createDataFrame([("QX", 3), ("패밀리_오픈", 3), ("매장_오픈", 2)], "term string, patterns int")
     relations = ju.directed(ju.judged(rows, patterns))
-    assert relations.count() == 4 and {(r["source"], r["status"]) for r in relations.collect()} == {("FO", "REVIEW"), ("FO", "ACTIVE"), ("패밀리_오픈", "REVIEW"), ("매장_오픈", "ACTIVE")}
+    assert relations.count() == 4 and {(r["source"], r["status"]) for r in relations.collect()} == {("QX", "REVIEW"), ("QX", "ACTIVE"), ("패밀리_오픈", "REVIEW"), ("매장_오픈", "ACTIVE")}
     entries = {r["display"]: r for r in ju.dictionary(terms, relations).collect()}
-    assert [(e["termKey"], e["expandable"]) for e in entries["FO"]["relations"]] == [("매장_오픈", True), ("패밀리_오픈", False)]
+    assert [(e["termKey"], e["expandable"]) for e in entries["QX"]["relations"]] == [("매장_오픈", True), ("패밀리_오픈", False)]
     assert entries["매장 오픈"]["relations"][0]["expandable"] is False  # unknown types expand nothing
     assert entries["x y"]["term"] == "x y" and entries["x y"]["relations"] == []
     assert ju.review_queue(relations).count() == 1
@@ -103,8 +103,8 @@ def test_sync(spark):
 
 
 def test_upserts(spark):
-    rows = spark.createDataFrame([("FO||P", 0.87, "A", 1), ("FO||P", 0.85, "B", 2)], "pair_key string, similarity double, status string, seq int")
-    assert sy.upsert_max(rows, ["pair_key"], "similarity", "seq", ["status"]).first().asDict() == {"pair_key": "FO||P", "similarity": 0.87, "status": "B"}
+    rows = spark.createDataFrame([("QX||P", 0.87, "A", 1), ("QX||P", 0.85, "B", 2)], "pair_key string, similarity double, status string, seq int")
+    assert sy.upsert_max(rows, ["pair_key"], "similarity", "seq", ["status"]).first().asDict() == {"pair_key": "QX||P", "similarity": 0.87, "status": "B"}
     old = spark.createDataFrame([("a", 1, "T"), ("b", 2, None)], "k string, n int, t string")
     new = spark.createDataFrame([("b", 5, "U"), ("c", 6, "V")], "k string, n int, t string")
     assert {tuple(r) for r in sy.upsert(old, new, ["k"], keep=["t"]).collect()} == {("a", 1, "T"), ("b", 5, None), ("c", 6, "V")}

@@ -99,7 +99,7 @@ def test_diversified_is_the_two_passes(spark):
     assert [(r["page_id"], r["sentence_index"]) for r in te.diversified(rows, 4, 1).orderBy("rank").collect()] == want
 
 
-KEPT = ["중복_방지_키", "잔여_값", "A_등급", "지연_로딩", "3월_정산", "FO", "AI"]
+KEPT = ["중복_방지_키", "잔여_값", "A_등급", "지연_로딩", "3월_정산", "QX", "AI"]
 REJECTED = {"DB_로": "malformed", "을_반환": "malformed", "버_수정": "malformed", "3월": "measure", "2024년": "measure", "20건": "measure", "500만원": "measure", "99%": "measure", "<DATE>": "placeholder", "--": "no meaning", "값": "too short", "묶이": "verb stem", "문제_묶이": "verb stem", "the": "stopword"}
 
 
