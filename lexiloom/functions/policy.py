@@ -27,9 +27,13 @@ def known(value: Column, names: tuple[str, ...], default: str) -> Column:
     return F.when(v.isin(*names), v).otherwise(F.lit(default))
 
 
-def decide_status(kind: Column, confidence: Column, bidirectional: Column, active: tuple[str, ...] = ACTIVE_TYPES, need_both: bool = True, related: str = "REVIEW") -> Column:
-    by = F.when(confidence == "HIGH", STATUS_OF["HIGH"]).when(confidence == "MEDIUM", STATUS_OF["MEDIUM"]).otherwise(STATUS_OF["LOW"])
-    out = F.when(kind.isin("UNRELATED", "UNKNOWN"), "REJECTED").when(kind == "RELATED", related).when(~kind.isin(*active), "REVIEW")
+def decide_status(kind: Column, confidence: Column, bidirectional: Column, active: tuple[str, ...] = ACTIVE_TYPES, need_both: bool = True, related: str = "REVIEW", by_confidence: dict[str, str] | None = None) -> Column:
+    """The status of a relation. by_confidence: statuses in place of STATUS_OF's."""
+    of = STATUS_OF | (by_confidence or {})
+    by = F.when(confidence == "HIGH", of["HIGH"]).when(confidence == "MEDIUM", of["MEDIUM"]).otherwise(of["LOW"])
+    out = F.when(kind.isin("UNRELATED", "UNKNOWN"), "REJECTED").when(kind == "RELATED", related)
+    # these are people's to decide, whatever the active types
+    out = out.when(kind.isin("ANTONYM", "BROADER", "NARROWER") | ~kind.isin(*active), "REVIEW")
     return (out.when(~bidirectional, "REVIEW") if need_both else out).otherwise(by)
 
 

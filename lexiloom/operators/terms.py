@@ -39,10 +39,15 @@ def verb_only(tagged: DataFrame, token: str, is_verb: Column) -> DataFrame:
     return tagged.groupBy(F.col(token).alias("token")).agg(F.bool_and(is_verb).alias("verb")).where("verb").select("token")
 
 
-def term_statistics(rows: DataFrame, tokens: str = "tokens", shown: str = "sentence") -> DataFrame:
-    """(term, frequency, document_frequency, sentence_ratio). A sentence gives a row for each distinct
+def indexable(tokens: Column, stopwords: Sequence[str] = ()) -> Column:
+    """The tokens that may be terms: no placeholders, stopwords or blanks."""
+    return F.filter(tokens, lambda t: ~t.isin(*tx.PLACEHOLDERS, *stopwords) & (F.btrim(t) != ""))
+
+
+def term_statistics(rows: DataFrame, tokens: str = "tokens", shown: str = "sentence", stopwords: Sequence[str] = ()) -> DataFrame:
+    """(term, frequency, document_frequency, sentence_ratio) of indexable tokens. A sentence gives a row for each distinct
     token with its count, so nothing is deduplicated by a shuffle; sums go page first, then term."""
-    told = rows.select("page_id", F.col(tokens).alias("all"), tx.looks_like_sentence(F.col(shown)).cast("long").alias("good"))  # once for a sentence
+    told = rows.select("page_id", indexable(F.col(tokens), stopwords).alias("all"), tx.looks_like_sentence(F.col(shown)).cast("long").alias("good"))  # once for a sentence
     each = told.select("page_id", "all", "good", F.explode(F.array_distinct("all")).alias("term"))
     each = each.withColumn("n", F.size("all") - F.size(F.array_remove("all", F.col("term"))))
     page = each.groupBy("term", "page_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("found"), F.sum("good").alias("good"))
@@ -57,8 +62,8 @@ def word_counts(rows: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def bigrams(tokens: Column) -> Column:
     """Adjacent pairs of an array, as structs a, b."""
-    n = F.size(tokens)
-    return F.when(n < 2, F.array().cast("array<struct<a:string,b:string>>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(F.try_element_at(tokens, i).alias("a"), F.try_element_at(tokens, i + 1).alias("b"))))
+    rest = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(tokens, F.lit(1), rest).alias("a"), F.slice(tokens, F.lit(2), rest).alias("b"))
 
 
 def phrase_scores(rows: DataFrame, tokens: str = "tokens", min_count: int = 5, threshold: float = 10.0, rounded: int = 6) -> DataFrame:
@@ -75,20 +80,25 @@ def phrase_scores(rows: DataFrame, tokens: str = "tokens", min_count: int = 5, t
     return joined.withColumn("score", score).where(F.col("score") > threshold).select("a", "b", "n", F.round("score", rounded).alias("score"))
 
 
-def merge_phrases(words: DataFrame, phrases: DataFrame, key: Sequence[str], pos: str = "pos", word: str = "word", delimiter: str = "_") -> DataFrame:
-    """Merges phrases (a, b) greedily from the left in sequences of (key, pos, word).
+#: Phrases that are sent to every executor, at most; more of them are joined by a shuffle.
+MOST_SENT = 200_000
+
+
+def merged_tokens(rows: DataFrame, phrases: DataFrame, key: Sequence[str], tokens: str = "tokens", delimiter: str = "_") -> DataFrame:
+    """(key, tokens) of sentences with phrases (a, b) merged greedily from the left. Only the places of
+    phrases are shuffled, not the words: a sentence takes every place that its last one left free."""
+    known = phrases.select(F.struct("a", "b").alias("p"))
+    known = F.broadcast(known) if phrases.count() <= MOST_SENT else known
+    places = rows.select(*key, F.posexplode(bigrams(F.col(tokens))).alias("at", "p")).join(known, "p", "left_semi")
+    places = places.groupBy(*key).agg(F.sort_array(F.collect_list("at")).alias("at"))
+
+    def step(taken: Column, at: Column) -> Column:
+        return F.when(F.coalesce(F.try_element_at(taken, F.lit(-1)), F.lit(-2)) + 1 < at, F.concat(taken, F.array(at))).otherwise(taken)
 
-    The first position of a run of consecutive phrase positions merges, then every second one:
-    gaps and islands, by windows of one sequence each."""
-    w = Window.partitionBy(*key).orderBy(pos)
-    flagged = words.withColumn("next", F.lead(word).over(w)).join(phrases.select(F.col("a").alias(word), F.col("b").alias("next"), F.lit(True).alias("hit")), [word, "next"], "left")
-    flagged = flagged.withColumn("hit", F.coalesce("hit", F.lit(False))).withColumn("at", F.row_number().over(w))
-    island = F.col("at") - F.row_number().over(Window.partitionBy(*key, "hit").orderBy(pos))
-    flagged = flagged.withColumn("island", F.when(F.col("hit"), island))
-    run = F.row_number().over(Window.partitionBy(*key, "hit", "island").orderBy(pos)) - 1
-    merged = flagged.withColumn("merge", F.col("hit") & (run % 2 == 0)).withColumn("gone", F.coalesce(F.lag("merge").over(w), F.lit(False)))
-    out = merged.where(~F.col("gone")).withColumn(word, F.when(F.col("merge"), F.concat_ws(delimiter, word, "next")).otherwise(F.col(word)))
-    return out.select(*key, F.col(pos), word)
+    taken = places.select(*key, F.aggregate("at", F.array().cast("array<int>"), step).alias("taken"))
+    whole = F.transform(F.col(tokens), lambda t, i: F.when(F.array_contains("taken", i), F.concat_ws(delimiter, t, F.try_element_at(F.col(tokens), i + 2))).when(F.array_contains("taken", i - 1), None).otherwise(t))
+    merged = F.when(F.col("taken").isNull(), F.col(tokens)).otherwise(F.array_compact(whole))
+    return rows.join(taken, list(key), "left").select(*key, merged.alias(tokens))
 
 
 def unmerge_forbidden(tokens: Column, forbidden: Sequence[str], delimiter: str = "_") -> Column:
@@ -98,20 +108,21 @@ def unmerge_forbidden(tokens: Column, forbidden: Sequence[str], delimiter: str =
 
 
 # ---------------------------------------------------------------- contexts
-def term_contexts(rows: DataFrame, tokens: str = "tokens", most: int = 50) -> DataFrame:
-    """The first contexts of each term, one for each sentence, by page id as text and sentence index.
+def term_contexts(rows: DataFrame, tokens: str = "tokens", most: int = 50, stopwords: Sequence[str] = (), carried: Sequence[str] = ()) -> DataFrame:
+    """The first contexts of each indexable term, one for each sentence, by page id as text and sentence
+    index. carried: further columns of the sentence.
 
     A page can give `most` contexts of a term at most, so that the window of a frequent term
     sorts what the pages' own windows leave."""
-    each = rows.select(F.col("page_id").cast("string").alias("page_id"), "sentence_index", "sentence", F.explode(F.array_distinct(tokens)).alias("term"))
+    each = rows.select(F.col("page_id").cast("string").alias("page_id"), "sentence_index", "sentence", *carried, F.explode(F.array_distinct(indexable(F.col(tokens), stopwords))).alias("term"))
     w = Window.partitionBy("term").orderBy("page_id", "sentence_index")
     return each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 
 
-def diversified(contexts: DataFrame, limit: int = 5, per_page: int = 2) -> DataFrame:
+def diversified(contexts: DataFrame, limit: int = 5, per_page: int = 2, base: str = "sentence") -> DataFrame:
     """Contexts of each term with new sentence patterns and few from one page; where these are too
     few, new patterns only. A term has few contexts (term_contexts), so it is one fold."""
-    sig = tx.pattern_signature(F.col("sentence"), F.col("term"))
+    sig = tx.pattern_signature(F.col(base), F.col("term"))
     rows = contexts.withColumn("sig", sig).groupBy("term").agg(F.sort_array(F.collect_list(F.struct("page_id", "sentence_index", "sentence", "sig"))).alias("all"))
     kind = "struct<page_id:string,sentence_index:int,sentence:string,sig:string>"
     empty = F.array().cast(f"array<{kind}>")
@@ -131,10 +142,12 @@ def diversified(contexts: DataFrame, limit: int = 5, per_page: int = 2) -> DataF
     return rows.select("term", F.posexplode("picked").alias("rank", "c")).select("term", F.col("rank"), "c.page_id", "c.sentence_index", "c.sentence")
 
 
-def pattern_counts(contexts: DataFrame) -> DataFrame:
-    """(term, patterns): distinct sentence frames of a term's contexts, empty ones aside."""
-    sig = tx.pattern_signature(F.col("sentence"), F.col("term"))
-    return contexts.groupBy("term").agg(F.count_distinct(F.when(sig != "", sig)).alias("patterns"))
+def pattern_counts(contexts: DataFrame, base: str = "sentence") -> DataFrame:
+    """(term, patterns): distinct sentence frames of a term's contexts, empty ones aside. base: what frames
+    are taken from; in a build the sentence as it was processed."""
+    # the generator makes a frame once for a row; as a grouping key it would stand in every step of the count
+    framed = contexts.select("term", F.explode(F.array(tx.pattern_signature(F.col(base), F.col("term")))).alias("frame"))
+    return framed.groupBy("term").agg(F.count_distinct(F.nullif("frame", F.lit(""))).alias("patterns"))
 
 
 # ---------------------------------------------------------------- eligibility

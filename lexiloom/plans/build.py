@@ -83,16 +83,17 @@ class Build:
         merged = base
         for step in (1, 2):  # pairs, then triples over merged tokens
             phrases = self.put(te.phrase_scores(merged, "tokens", c.phrase_min, c.phrase_threshold).where(~F.col("a").isin(*tx.PLACEHOLDERS) & ~F.col("b").isin(*tx.PLACEHOLDERS)), f"phrases{step}")
-            words = merged.select("page_id", "sentence_index", F.posexplode("tokens").alias("pos", "word"))
-            again = te.merge_phrases(words, phrases, ["page_id", "sentence_index"]).groupBy("page_id", "sentence_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]).alias("tokens"))
+            again = te.merged_tokens(merged.select("page_id", "sentence_index", "tokens"), phrases, ["page_id", "sentence_index"])
             merged = self.put(base.drop("tokens").join(again, ["page_id", "sentence_index"]), f"merged{step}")
         return merged
 
     def catalog(self) -> DataFrame:
         c, rows = self.config, self.get("merged2")
-        self.put(te.term_contexts(rows, most=c.contexts), "contexts")
-        self.put(te.pattern_counts(self.get("contexts")), "patterns")
-        return self.put(te.annotated(te.term_statistics(rows), min_ratio=c.min_ratio), "terms")
+        # frames are taken from the processed sentence: placeholders and merged phrases as they were indexed
+        processed = rows.withColumn("processed", F.array_join("tokens", " "))
+        self.put(te.term_contexts(processed, most=c.contexts, stopwords=c.stopwords, carried=("processed",)), "contexts")
+        self.put(te.pattern_counts(self.get("contexts"), "processed"), "patterns")
+        return self.put(te.annotated(te.term_statistics(rows, stopwords=c.stopwords), min_ratio=c.min_ratio), "terms")
 
     def candidates(self, neighbors: DataFrame | None = None, proposals: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
         """neighbors (term, other, similarity, rank): any vector model's; proposals (a, b, score)."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions import text as tx
 from lexiloom.operators import terms as te
 from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, stored_tokens, table, texts
+from lexiloom.session import written
 from lexiloom.sources.readers import url_parameter
 
 
@@ -168,15 +169,16 @@ BIGRAM_SCORES = f"WITH {TOK}{_BIGRAM} SELECT * FROM phrase"
 
 def phrase_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored_tokens(spark, sf_dir)
-    words = rows.select("page_id", "sentence_index", F.posexplode("tokens").alias("pos", "word"))
-    return te.merge_phrases(words, te.phrase_scores(rows, min_count=5, threshold=10.0), ["page_id", "sentence_index"])
+    phrases = written(spark)(te.phrase_scores(rows, min_count=5, threshold=10.0), "phrases")
+    merged = te.merged_tokens(rows, phrases, ["page_id", "sentence_index"])
+    return merged.select("page_id", "sentence_index", F.posexplode("tokens").alias("pos", "word"))
 
 
 PHRASE_MERGE = f"""WITH {TOK}{_BIGRAM}, f AS (SELECT nx.*, phrase.a IS NOT NULL AS hit FROM nx LEFT JOIN phrase ON nx.term = a AND nxt = b),
 i AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, idx, hit ORDER BY pos) AS island FROM f),
 r AS (SELECT *, hit AND (row_number() OVER (PARTITION BY doc_id, idx, hit, island ORDER BY pos) - 1) % 2 = 0 AS merge FROM i),
 g AS (SELECT *, coalesce(lag(merge) OVER (PARTITION BY doc_id, idx ORDER BY pos), false) AS gone FROM r)
-SELECT doc_id AS page_id, idx::INT AS sentence_index, (pos - 1)::INT AS pos, CASE WHEN merge THEN term || '_' || nxt ELSE term END AS word FROM g WHERE NOT gone"""
+SELECT doc_id AS page_id, idx::INT AS sentence_index, (row_number() OVER (PARTITION BY doc_id, idx ORDER BY pos) - 1)::INT AS pos, CASE WHEN merge THEN term || '_' || nxt ELSE term END AS word FROM g WHERE NOT gone"""
 
 
 def term_contexts_top50(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ def test_build(spark, tmp_path):
     record = build.run(pages(spark), answers, types, neighbors=near).first()
     assert record["documents"] == 16 and record["active"] == 2
     terms = {r["term"] for r in build.get("terms").collect()}
-    assert {"QX", "패밀리_오픈", "<DATE>"} <= terms
+    assert {"QX", "패밀리_오픈"} <= terms and "<DATE>" not in terms  # placeholders are no terms
+    assert build.get("contexts").where("term = 'QX'").first()["processed"].startswith("QX") and build.get("contexts").where("processed LIKE '%<DATE>%'").count() > 0
     assert build.get("sentences").where(F.col("normalized").contains("<DATE>")).count() == 16
     assert build.get("sentences").where(F.col("sentence").contains("2026-09")).count() == 16  # the original stays
     entry = build.get("dictionary").where("term = 'QX'").first()
@@ -50,7 +51,7 @@ def test_sources(spark, tmp_path):
     for k, body in enumerate(({"pairs": [pair, pair | {"termAKey": "z"}]}, [pair])):
         (tmp_path / f"p{k}.json").write_text(json.dumps(body))
         assert [tuple(r) for r in rd.read_proposals(spark, str(tmp_path / f"p{k}.json"), allowed).collect()] == [("a", "b", 1.0)]
-    (tmp_path / "dict.tsv").write_text("감사 로그\tNNP\nFO\n", encoding="utf-8")
+    (tmp_path / "dict.tsv").write_text("감사 로그\tNNP\nQX\n", encoding="utf-8")
     assert {tuple(r) for r in rd.read_user_dictionary(spark, str(tmp_path / "dict.tsv")).collect()} == {("감사 로그", "NNP"), ("QX", "NNP")}
 
 

@@ -26,6 +26,15 @@ def test_policy_table(spark):
         assert r["e"] == (r["s"] == "ACTIVE" and r["k"] in allowed)
 
 
+def test_wider_active_types(one):
+    """Contrary, broader and narrower terms are never active, whatever the active types; statuses can be set."""
+    decide = lambda k, c: po.decide_status(k, c, F.lit(True), active=po.RELATION_TYPES, related="REJECTED", by_confidence={"MEDIUM": "ACTIVE"})
+    want = {"ANTONYM": "REVIEW", "BROADER": "REVIEW", "NARROWER": "REVIEW", "UNRELATED": "REJECTED", "RELATED": "REJECTED", "SYNONYM": "ACTIVE"}
+    for kind, status_of in want.items():
+        assert one(decide, kind, "HIGH") == status_of and one(decide, kind, "MEDIUM") == status_of
+    assert one(decide, "ALIAS", "LOW") == "REJECTED"
+
+
 @pytest.mark.parametrize(("kind", "want"), [("NARROWER", (True, False)), ("BROADER", (False, True)), ("RELATED", (False, False)), ("SYNONYM", (True, True))])
 def test_directions(one, kind, want):
     assert tuple(one(lambda k, a: po.safe_directions(k, a, a), kind, True)) == want

@@ -25,8 +25,7 @@ def test_phrases(spark):
     rows = tokens(spark, [(i, 0, ["패밀리", "오픈", "일정"]) for i in range(5)] + [(i + 5, 0, ["패밀리", "오픈", "매장"]) for i in range(5)])
     found = te.phrase_scores(rows, min_count=2, threshold=0.3)
     assert ("패밀리", "오픈") in {(r["a"], r["b"]) for r in found.collect()}
-    words = rows.select("page_id", F.posexplode("tokens").alias("pos", "word"))
-    assert "패밀리_오픈" in {r["word"] for r in te.merge_phrases(words, found, ["page_id"]).collect()}
+    assert all("패밀리_오픈" in r["tokens"] for r in te.merged_tokens(rows, found, ["page_id"]).collect())
 
 
 def greedy(words, phrases):
@@ -41,17 +40,25 @@ def greedy(words, phrases):
     return out
 
 
-def test_merge_is_the_greedy_scan(spark):
+def test_merge_is_the_greedy_scan(spark, monkeypatch):
     import random
 
     rng = random.Random(1)
     texts = {k: [rng.choice("abc") for _ in range(rng.randint(1, 30))] for k in range(60)}
     phrases = {("a", "b"), ("b", "a"), ("a", "a"), ("c", "a")}
-    words = spark.createDataFrame([(k, i, w) for k, t in texts.items() for i, w in enumerate(t)], "k int, pos int, word string")
-    got = {}
-    for r in te.merge_phrases(words, spark.createDataFrame(list(phrases), "a string, b string"), ["k"]).orderBy("k", "pos").collect():
-        got.setdefault(r["k"], []).append(r["word"])
-    assert got == {k: greedy(t, phrases) for k, t in texts.items()}
+    rows = spark.createDataFrame([(k, t) for k, t in texts.items()] + [(99, []), (98, ["a"])], "k int, tokens array<string>")
+    table = spark.createDataFrame(list(phrases), "a string, b string")
+    want = {k: greedy(t, phrases) for k, t in texts.items()} | {99: [], 98: ["a"]}
+    for sent in (te.MOST_SENT, 0):  # by broadcast, and by a shuffle
+        monkeypatch.setattr(te, "MOST_SENT", sent)
+        got = {r["k"]: r["tokens"] for r in te.merged_tokens(rows, table, ["k"]).collect()}
+        assert got == want
+
+
+def test_placeholders_and_stopwords_are_no_terms(spark):
+    rows = tokens(spark, [(1, 0, ["<DATE>", "a", "the", " "]), (1, 1, ["the", "<NUMBER>"])])
+    assert {r["term"] for r in te.term_statistics(rows, stopwords=("the",)).collect()} == {"a"}
+    assert {r["term"] for r in te.term_contexts(rows).collect()} == {"a", "the"}
 
 
 def test_unmerge(one):
