@@ -11,8 +11,11 @@ on their order.
 
 Cases: a page without text has even text evidence; a null or odd address has no host
 and takes the prior of all pages; undeclared is a value like any other; a null html or
-url is empty; ties go to the language that sorts first; with no labelled documents
-every lang is null; an empty table gives an empty result; further columns are ignored.
+url is empty; bytes that aren't UTF-8 are U+FFFD; ids may be of any type; repeated rows
+are pages of their own; ties go to the language that sorts first; a label's region
+(pt-BR) is left out; languages with fewer than LEAST_DOCS labelled documents, or beyond
+the LANGS most labelled ones, are never the answer; with no labelled documents every
+lang is null; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,14 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.store import Shelf, small_batches
+from lexiloom.llm.store import Shelf, looked_up, small_batches, whole_text
 
 #: Hashed trigrams; trigrams after which more text adds no more evidence; smoothing of
-#: trigrams and of evidence values; weight of a parent's prior; documents of a language, at least.
+#: trigrams and of evidence values; weight of a parent's prior; labelled documents of a language, at least.
 GRAMS, ENOUGH, SMOOTH, SHY, PARENT, LEAST_DOCS = 1 << 13, 60, 0.5, 2.0, 8.0, 20
+#: Languages that are told apart, at most: those with most labelled documents.
+LANGS = 256
 UNIT = 1_000_000
-CODE = "^[a-z]{2,3}$"
-DROPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|nav|head)\b.*?(?:</\1\s*>|$)", re.I | re.S)
+#: A language's code, of which a region or script that follows is no part.
+CODE = r"^\s*([a-z]{2,3})(?:[-_].*)?$"
+#: An unclosed script or style goes to the end, as browsers have it; a head without an end tag stops where the body begins.
+UNREAD = re.compile(r"<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)", re.I | re.S)
+DROPPED = re.compile(r"<nav\b(?:(?!<nav\b).)*?</nav\s*>|<head\b.*?(?:</head\s*>|(?=<(?:body|main|article|section|header|div|p|h1|h2|ul|ol|table)\b))", re.I | re.S)
 TAG = re.compile(r"<[^<>]*>")
 DECLARED = re.compile(r"<html\b[^<>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
@@ -56,7 +64,7 @@ def grams(text: str) -> np.ndarray:
 
 
 def page_text(html: str) -> str:
-    return markup.unescape(TAG.sub(" ", DROPPED.sub(" ", html)))
+    return markup.unescape(TAG.sub(" ", DROPPED.sub(" ", UNREAD.sub(" ", html))))
 
 
 def address(url: str) -> tuple[str, str, str, str]:
@@ -87,7 +95,8 @@ def trigram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(np.where(at == GRAMS, -1, at).astype(np.int32)), pa.array(own[at])], ["lang", "gram", "n"])
 
-    known = docs.select(F.lower(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").rlike(CODE))
+    code = F.regexp_extract(F.lower(F.col(lang_col).cast("string")), CODE, 1)
+    known = docs.select(code.alias("lang"), whole_text(F.col(text_col)).alias("text")).where("lang <> ''")
     return known.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -132,13 +141,13 @@ def language_id(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_
     small_batches(spark)
     shelf = Shelf(spark, "language")
     counts = shelf.put(trigram_counts(docs, text_col, lang_col), "counts")
-    often = counts.where((F.col("gram") < 0) & (F.col("n") >= LEAST_DOCS)).select("lang")
-    # GRAMS + 1 rows for each language that has enough documents, whatever the input
+    often = counts.where((F.col("gram") < 0) & (F.col("n") >= LEAST_DOCS)).orderBy(F.desc("n"), "lang").limit(LANGS).select("lang")
+    # GRAMS + 1 rows for each of LANGS languages, whatever the input
     model = TextModel([tuple(r) for r in counts.join(often, "lang", "left_semi").select("lang", "gram", "n").collect()])
     langs, n = model.langs, len(model.langs)
     if not n:
         return pages.select(F.col(id_col).alias("id"), *(F.lit(None).cast("string").alias(c) for c in ("host", "declared", "text_lang", "lang")), F.lit(None).cast("double").alias("confidence"))
-    form = "id long, host string, domain string, suffix string, segment string, declared string, text array<double>, share array<long>"
+    form = f"id {pages.schema[id_col].dataType.simpleString()}, host string, domain string, suffix string, segment string, declared string, text array<double>, share array<long>"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,7 +162,7 @@ def language_id(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_
             kinds = [pa.string()] * 5 + [pa.list_(pa.float64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [x.split()[0] for x in form.split(", ")])
 
-    told = shelf.put(pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(read, form), "told")
+    told = shelf.put(pages.select(F.col(id_col).alias("id"), whole_text(F.col(url_col)).alias("url"), whole_text(F.col(html_col)).alias("html")).mapInArrow(read, form), "told")
     # values of evidence are codes of two or three letters, so these tables are small
     evidence = {}
     for kind in ("declared", "suffix", "segment"):
@@ -161,10 +170,14 @@ def language_id(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_
         total = reduce(np.add, sums.values(), np.zeros(n))
         evidence[kind] = {v: np.log((s + SHY / len(sums)) / (total + SHY)) for v, s in sums.items()}
     every = reduce(np.add, ([np.array(r[0], float) / UNIT for r in _summed(told, [], n, "sums").collect() if r[0][0] is not None]), np.zeros(n))
-    hosts = _summed(told.where("host <> ''"), ["host", "domain"], n, "of_host")
+    placed = told.where("host <> ''")
+    hosts = placed.groupBy("host", "domain").agg(F.count(F.lit(1)).alias("pages"), *_vector("share", n))
+    hosts = hosts.select("host", "domain", "pages", F.array(*[f"share{i}" for i in range(n)]).alias("of_host"))
     domains = _summed(hosts.withColumnRenamed("of_host", "share"), ["domain"], n, "of_domain")
-    hosts = shelf.put(hosts.join(domains, "domain").select("host", "of_host", "of_domain"), "hosts")
-    joined = told.join(hosts, "host", "left").select("id", "host", "suffix", "segment", "declared", "text", "share", "of_host", "of_domain")
+    hosts = shelf.put(hosts.join(domains, "domain").select("host", "pages", "of_host", "of_domain"), "hosts")
+    placed = looked_up(placed.drop("domain"), hosts, "host", "pages", told.count())
+    joined = placed.unionByName(told.where("host = ''").drop("domain"), allowMissingColumns=True)
+    joined = joined.select("id", "host", "suffix", "segment", "declared", "text", "share", "of_host", "of_domain")
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -186,4 +199,4 @@ def language_id(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_
             best = p.argmax(axis=1)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h or None for h in d["host"]], pa.string()), pa.array([x or None for x in d["declared"]], pa.string()), pa.array([langs[i] for i in text.argmax(axis=1)], pa.string()), pa.array([langs[i] for i in best], pa.string()), pa.array(np.round(p[np.arange(len(p)), best], 4), pa.float64())], ["id", "host", "declared", "text_lang", "lang", "confidence"])
 
-    return joined.mapInArrow(fuse, "id long, host string, declared string, text_lang string, lang string, confidence double")
+    return joined.mapInArrow(fuse, f"id {pages.schema[id_col].dataType.simpleString()}, host string, declared string, text_lang string, lang string, confidence double")

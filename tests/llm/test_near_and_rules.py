@@ -323,6 +323,15 @@ def test_viterbi_is_the_best_path(field):
         assert tuple(field.decode([e])[0]) == best
 
 
+def test_many_spans_take_linear_time(field):
+    text = " ".join(f"10.0.{k % 256}.{k // 256} call (212) 555-{k % 10000:04} now" for k in range(20_000))
+    began = time.process_time()
+    spans = pii.all_spans([text], field)[0]
+    assert time.process_time() - began < 40 and sum(s[3] for s in spans) == 20_000 and sum(not s[3] for s in spans) > 10_000
+    ends = [(a, b) for _, a, b, _ in spans]
+    assert all(x[1] <= y[0] for x, y in zip(ends, ends[1:], strict=False))
+
+
 def test_spans(spark, field):
     texts = ["call (415) 555-2671 now, or mail x@y.org", "order 123456 on 2024-01-31, $1,234.50, v1.2.3", "ip 2001:db8::1 and 8.8.8.8", None, "", "no data here", "é +1 (743) 555-3824 and 4111 1111 1111 1111", "word " * 60_000 + "a@b.co"]
     df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
@@ -398,6 +407,26 @@ def test_language_against_numpy(spark):
         assert got[r["page_id"]]["lang"] == model.langs[int(p.argmax())] and abs(got[r["page_id"]]["confidence"] - p.max()) < 2e-4
 
 
+def test_page_texts():
+    text = lambda h: la.page_text(h).split()
+    assert text("<head><title>t</title><body>a</body>") == ["a"] and text("<head><title>t</title><p>a</p>") == ["a"]
+    assert text("<head><script>'<p>x'</script><title>t</title></head><header>h</header><nav>n</nav>a") == ["h", "a"]
+    assert text("a<nav><a>n</a>b") == ["a", "n", "b"] and text("a<script>b<p>c") == ["a"] and text("<header>h") == ["h"]
+
+
+def test_language_cases(spark):
+    """Labels with a region count for their language; ids may be of any type; repeated, very long and odd pages."""
+    pages, docs, _ = language_rows(spark)
+    docs = docs.withColumn("lang", F.when(F.col("lang") == "de", "de-AT").otherwise(F.col("lang")))
+    long = "<p>" + " ".join(WORDS["de"] * 20_000) + "</p>"
+    rows = [("a", "https://x.org/", long), ("b", "https://x.org/", "<p></p>"), ("b", "https://x.org/", "<p></p>"), ("c", "https://\x00/", "<" * 5000)]
+    got = la.language_id(spark.createDataFrame(rows, "page_id string, url string, html string"), docs).collect()
+    assert sorted(r["id"] for r in got) == ["a", "b", "b", "c"] and {r["lang"] for r in got if r["id"] == "a"} == {"de"}
+    assert len({(r["lang"], r["confidence"]) for r in got if r["id"] == "b"}) == 1
+    few = la.language_id(spark.createDataFrame(rows[:1], "page_id string, url string, html string"), docs.where("lang <> 'de-AT'")).first()
+    assert few["lang"] != "de"
+
+
 def test_language_of_nothing(spark):
     pages, docs, _ = language_rows(spark)
     assert la.language_id(pages.limit(0), docs).count() == 0
