@@ -189,6 +189,14 @@ def degree_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.degree_capped(put(pairs, "pairs"), 3, put)
 
 
+#: The scan from the best pair down, as a fold over the list of all pairs.
+_ENDS = "len(list_filter(acc, lambda y: y.a = x[1].{0} OR y.b = x[1].{0}))"
+DEGREE_CAPPED = f"""WITH {_VN}, vp AS (SELECT least(term, other) AS a, greatest(term, other) AS b, max(similarity) AS priority FROM vn WHERE similarity >= 0.0 GROUP BY 1, 2),
+listed AS (SELECT list({{'a': a, 'b': b, 'priority': priority}} ORDER BY priority DESC, a, b) AS rows FROM vp),
+taken AS (SELECT unnest(list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: CASE WHEN {_ENDS.format("a")} >= 3 OR {_ENDS.format("b")} >= 3 THEN acc ELSE list_concat(acc, x) END)) AS p FROM listed)
+SELECT p.a AS a, p.b AS b, p.priority AS priority FROM taken"""
+
+
 def candidate_upsert_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexiloom.operators.sync import upsert_max
 

@@ -48,6 +48,10 @@ def pages_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir, "pages").select("page_id", tx.clean_text(F.col("html")).alias("clean_text"))
 
 
+def pages_element_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir, "pages").select("page_id", tx.clean_text(F.col("html"), output="dom").alias("clean_text"))
+
+
 def documents_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir, "documents").select("doc_id", tx.markdown_to_storage(F.col("text")).alias("storage"))
 
@@ -64,13 +68,10 @@ def _replaced(spark: SparkSession, sf_dir: str, made) -> DataFrame:
 
 
 def normalize_url_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The patterns' sets of word characters differ between the dialects, so the count and the rest are held apart."""
-    text = tx.normalize_emails(tx.normalize_urls(F.col("text")))
-    return texts(spark, sf_dir, "documents").select("doc_id", *[F.regexp_count(text, F.lit(p)).alias(n) for n, p in (("urls", "<URL>"), ("emails", "<EMAIL>"))])
+    return _replaced(spark, sf_dir, lambda c: tx.normalize_emails(tx.normalize_urls(c)))
 
 
-NORMALIZE_URL_EMAIL = r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\bhttps?://[^\s<>"'']+|\bwww\.[^\s<>"'']+', '<URL>', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '<EMAIL>', 'g') AS x FROM documents)
-SELECT doc_id, len(regexp_extract_all(x, '<URL>'))::INT AS urls, len(regexp_extract_all(x, '<EMAIL>'))::INT AS emails FROM t"""
+NORMALIZE_URL_EMAIL = r"""SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\bhttps?://[^\s<>"'']+|\bwww\.[^\s<>"'']+', '<URL>', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '<EMAIL>', 'g') AS normalized FROM documents"""
 
 
 def normalize_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,17 @@ def normalize_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced(spark, sf_dir, tx.normalize_text)
 
 
+_URLS = r"""regexp_replace(regexp_replace(text, '(?i)\bhttps?://[^\s<>"'']+|\bwww\.[^\s<>"'']+', '<URL>', 'g'), '\b[\w.+-]+@[\w-]+\.[\w.-]+\b', '<EMAIL>', 'g')"""
+_YEAR, _LEAP = "(?:199[0-9]|20[0-9][0-9]|2100)", "(?:199[26]|20(?:[02468][048]|[13579][26]))"
+_LONG_DATE = "|".join(
+    [f"{_YEAR}[-./]{m}[-./]{d}" for m, d in (("(?:0?[13578]|1[02])", "(?:0?[1-9]|[12][0-9]|3[01])"), ("(?:0?[469]|11)", "(?:0?[1-9]|[12][0-9]|30)"), ("0?2", "(?:0?[1-9]|1[0-9]|2[0-8])"))] + [f"{_LEAP}[-./]0?2[-./]29"]
+)
+_SHORT_DATE = f"{_YEAR}(?:(?:0[13578]|1[02])(?:0[1-9]|[12][0-9]|3[01])|(?:0[469]|11)(?:0[1-9]|[12][0-9]|30)|02(?:0[1-9]|1[0-9]|2[0-8]))|{_LEAP}0229"
+_SHORT = rf"regexp_replace({{0}}, '(^|[^0-9A-Za-z])(?:{_SHORT_DATE})($|[^0-9A-Za-z])', '\1<DATE>\2', 'g')"
+_DATED = _SHORT.format(_SHORT.format(rf"regexp_replace({_URLS}, '\b(?:{_LONG_DATE})\b', '<DATE>', 'g')"))
+NORMALIZE_NATIVE = rf"SELECT doc_id, regexp_replace({_CLOCK.format(_CLOCK.format(_DATED))}, '\b[0-9]{{2,}}(?:,[0-9]{{3}})*(?:\.[0-9]+)?\b', '<NUMBER>', 'g') AS normalized FROM documents"
+
+
 def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced(spark, sf_dir, tx.normalize_protected)
 
@@ -124,6 +136,24 @@ def sentence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return te.sentences(texts(spark, sf_dir, "documents"), "doc_id", None, "text", max_length=80)
 
 
+def _folded_sentences(guards: tuple[str, ...], most: int) -> str:
+    """Sentences with guards and a length limit: both are folds over a list, from its first entry on."""
+    guard = "(?:" + "|".join(guards) + ")[. ]*$"
+    return rf"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents),
+cut AS (SELECT doc_id, ln, string_split(regexp_replace(line, '([.!?…])(\s)', '\1' || chr(1) || '\2', 'g'), chr(1)) AS ps FROM lines),
+bare AS (SELECT doc_id, ln, list_filter(list_transform(ps, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS ps FROM cut),
+joined AS (SELECT doc_id, ln, list_reduce(list_transform(ps, lambda x: [x]), lambda acc, x: CASE WHEN regexp_matches(acc[-1], '{guard}') THEN list_concat(acc[1:len(acc) - 1], [acc[-1] || ' ' || x[1]]) ELSE list_concat(acc, x) END) AS ps FROM bare WHERE len(ps) > 0),
+tidy AS (SELECT doc_id, ln, list_transform(ps, lambda x: regexp_replace(x, '\s+', ' ', 'g')) AS ps FROM joined),
+one AS (SELECT doc_id, ln, unnest(ps) AS s, generate_subscripts(ps, 1) AS pn FROM tidy),
+chunk AS (SELECT doc_id, ln, pn, CASE WHEN length(s) <= {most} THEN [s] ELSE list_reduce(list_transform(string_split(s, ' '), lambda w: [w]), lambda acc, w: CASE WHEN length(acc[-1]) + length(w[1]) + 1 > {most} AND acc[-1] <> '' THEN list_concat(acc, w) ELSE list_concat(acc[1:len(acc) - 1], [trim(acc[-1] || ' ' || w[1])]) END) END AS cs FROM one),
+flat AS (SELECT doc_id, ln, pn, unnest(cs) AS s, generate_subscripts(cs, 1) AS cn FROM chunk)
+SELECT doc_id AS page_id, (row_number() OVER (PARTITION BY doc_id ORDER BY ln, pn, cn) - 1)::INT AS sentence_index, s AS sentence FROM flat WHERE length(s) >= 4 AND regexp_matches(s, '[0-9A-Za-z가-힣]')"""
+
+
+SENTENCE_GUARD_MERGE = _folded_sentences(("the", "la", "de", "der"), 400)
+SENTENCE_CHUNKS = _folded_sentences(tx.GUARDS, 80)
+
+
 def sentence_likeness_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = page_sentences(spark, sf_dir).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(tx.looks_like_sentence(F.col("sentence"))).alias("good"))
     return rows.select("page_id", "n", F.round(F.col("good") / F.col("n"), 4).alias("ratio"))
@@ -210,6 +240,32 @@ def contexts_diversified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return te.diversified(te.term_contexts(page_tokens(spark, sf_dir)))
 
 
+def _picked(start: str, full: str) -> str:
+    seen = "(x[1].sig <> '' AND len(list_filter(acc, lambda y: y.sig = x[1].sig)) > 0)"
+    return f"list_reduce(list_transform(rows, lambda x: [x]), lambda acc, x: CASE WHEN len(acc) >= 5 OR {seen} OR {full} THEN acc ELSE list_concat(acc, x) END, {start})"
+
+
+CONTEXTS_DIVERSIFIED = f"""WITH {TOK}{_CTX}, signed AS (SELECT term, page_id, idx, s, {_SIG} AS sig FROM ctx),
+listed AS (SELECT term, list({{'page_id': page_id, 'idx': idx, 's': s, 'sig': sig}} ORDER BY page_id, idx) AS rows FROM signed GROUP BY term),
+first AS (SELECT term, rows, {_picked("rows[1:0]", "len(list_filter(acc, lambda y: y.page_id = x[1].page_id)) >= 2")} AS acc0 FROM listed),
+both_passes AS (SELECT term, {_picked("acc0", "len(list_filter(acc, lambda y: y.page_id = x[1].page_id AND y.idx = x[1].idx)) > 0")} AS picked FROM first),
+flat AS (SELECT term, unnest(picked) AS c, generate_subscripts(picked, 1) AS k FROM both_passes)
+SELECT term, (k - 1)::INT AS rank, c.page_id AS page_id, c.idx::INT AS sentence_index, c.s AS sentence FROM flat"""
+
+
+def indexable_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of texts with placeholders, which are no terms, as stopwords are none."""
+    docs = texts(spark, sf_dir).select("doc_id", tx.normalize_times(F.col("text")).alias("text"))
+    rows = te.tokenized(te.sentences(docs, "doc_id", None, "text", max_length=1 << 30, guards=()))
+    return te.term_statistics(rows, stopwords=("the", "de", "la", "der")).select("term", "frequency", "document_frequency")
+
+
+INDEXABLE_TERMS = f"""WITH documents AS (SELECT doc_id, normalized AS text FROM ({NORMALIZE_TIME.replace("FROM documents", "FROM main.documents")})), {TOK},
+apart AS (SELECT doc_id, idx, list_filter(list_transform(string_split(regexp_replace(s, '(<[A-Z]+>)', ' \1 ', 'g'), ' '), lambda x: CASE WHEN x IN ('<DATE>', '<TIME>', '<NUMBER>', '<URL>', '<EMAIL>') THEN x ELSE trim(x, '.,!?()[]{{}}"''·') END), lambda x: x <> '') AS words FROM sent),
+term AS (SELECT doc_id, unnest(words) AS term FROM apart)
+SELECT term, count(*) AS frequency, count(DISTINCT doc_id) AS document_frequency FROM term WHERE term NOT IN ('<DATE>', '<TIME>', '<NUMBER>', '<URL>', '<EMAIL>', 'the', 'de', 'la', 'der') GROUP BY 1"""
+
+
 def eligibility_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = te.term_statistics(page_tokens(spark, sf_dir))
     stop = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct().union(spark.createDataFrame([("the",), ("de",), ("la",)], "word string"))
