@@ -210,6 +210,14 @@ def top_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     return pairs.orderBy(F.desc("priority"), "a", "b").limit(limit)
 
 
+def probe(terms: DataFrame, neighbors: DataFrame, most: int = 400, top: int = 10) -> DataFrame:
+    """(term, other, similarity, rank): the nearest eligible neighbours of the most frequent eligible terms,
+    for looking at how similarities are spread. The limits are the feature."""
+    good = terms.where("excluded_reason = ''")
+    first = good.orderBy(F.desc("frequency"), "term").limit(most).select("term")
+    return neighbors.where(F.col("rank") <= top).join(first, "term", "left_semi").join(good.select(F.col("term").alias("other")), "other", "left_semi").select("term", "other", "similarity", "rank")
+
+
 def degree_capped(pairs: DataFrame, cap: int, put, score: str = "priority") -> DataFrame:
     """What a scan from the best pair down accepts, if no end may have more than ``cap`` pairs.
 

@@ -68,6 +68,13 @@ def insert_new(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFra
     return rows.dropDuplicates(list(key)).join(table.select(*key), list(key), "left_anti")
 
 
+def deactivated(terms: DataFrame, gone: DataFrame) -> DataFrame:
+    """The catalogue with active = false for terms that are gone (term); none is taken out."""
+    marks = gone.select("term", F.lit(True).alias("__gone")).distinct()
+    active = F.coalesce(F.col("active"), F.lit(True)) if "active" in terms.columns else F.lit(True)
+    return terms.join(marks, "term", "left").withColumn("active", active & F.col("__gone").isNull()).drop("__gone")
+
+
 def save_relations(rows: DataFrame, terms: DataFrame, key: Sequence[str] = ("source", "target", "relation_type"), order: str = "seq") -> DataFrame:
     """The last row of each relation whose ends are both in the catalogue."""
     known = terms.select(F.col("term"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,36 @@ def tokenized(rows: DataFrame, stopwords: Sequence[str] = (), min_length: int =
     return rows.withColumn("tokens", tx.fallback_tokens(F.col("sentence"), stopwords, min_length)).where(F.size("tokens") > 0)
 
 
+#: Kinds of morphemes that a morphological analyser's tokens are kept of, and those that are stems.
+KEPT_TAGS = ("NNG", "NNP", "SL", "SH", "VV", "VA", "XR")
+STEM_TAGS = ("VV", "VA")
+
+
+def tagged(rows: DataFrame, analyser: Callable[[list[str]], list[list[tuple[str, str]]]], text: str = "sentence") -> DataFrame:
+    """Adds tagged, an array of (token, tag): what ``analyser`` gives for a batch of sentences. A sentence
+    that it can't read has none."""
+
+    @F.arrow_udf("array<struct<token:string,tag:string>>")
+    def of(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            try:
+                out.append([{"token": m, "tag": g} for m, g in analyser([t or ""])[0]])
+            except Exception:  # noqa: BLE001  the sentence is left out, the others go on
+                out.append([])
+        return pa.array(out, pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())])))
+
+    return rows.withColumn("tagged", of(F.col(text)))
+
+
+def kept_tokens(tagged: Column, tags: Sequence[str] = KEPT_TAGS, stopwords: Sequence[str] = (), min_length: int = 1, min_stem: int = 2, delimiter: str = "_") -> Column:
+    """Tokens of the kept kinds, without stopwords, short ones and short stems; blanks within one are the delimiter."""
+    own = F.transform(tagged, lambda x: F.struct(F.btrim(x["token"]).alias("token"), F.upper(x["tag"]).alias("tag")))
+    long = lambda x: (F.length(x["token"]) >= min_length) & (~x["tag"].isin(*STEM_TAGS) | (F.length(x["token"]) >= min_stem))
+    own = F.filter(own, lambda x: x["tag"].isin(*tags) & (x["token"] != "") & long(x) & ~x["token"].isin(*stopwords))
+    return F.transform(own, lambda x: F.regexp_replace(x["token"], r"\s+", delimiter))
+
+
 def corpus(rows: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Sentences of at least two tokens."""
     return rows.where(F.size(tokens) >= 2)

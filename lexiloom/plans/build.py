@@ -3,6 +3,7 @@ later command starts from tables and not from the pages."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from lexiloom.operators import candidates as ca
 from lexiloom.operators import judgement as ju
 from lexiloom.operators import sync as sy
 from lexiloom.operators import terms as te
+from lexiloom.sources import readers as rd
 from lexiloom.sources import writers as wr
 
 
@@ -40,6 +42,11 @@ class Config:
     max_total: int = 0
     need_corroboration: bool = False
     contexts: int = 50
+    asked: int = 20
+    shown: int = 5
+    proposed: int = 2000
+    analyser: Callable[[list[str]], list[list[tuple[str, str]]]] | None = None
+    tags: tuple[str, ...] = te.KEPT_TAGS
     names: dict[str, str] = field(default_factory=dict)
 
 
@@ -78,8 +85,14 @@ class Build:
         clean = self.get("pages").withColumn("clean_text", tx.clean_text(F.col("body"), output=c.output)).where(F.length("clean_text") >= c.min_text)
         rows = te.sentences(clean, "page_id", "title", "clean_text", max_length=c.max_sentence, guards=c.guards)
         rows = rows.withColumn("normalized", tx.normalize_protected(F.col("sentence"), protected=c.protected))
-        rows = rows.withColumn("tokens", tx.fallback_tokens(F.col("normalized"), c.stopwords)).where(F.size("tokens") > 0)
-        base = self.put(rows, "sentences")
+        if c.analyser:  # an analyser's tokens, of the kept kinds; stems that are seen as such only are no terms
+            rows = te.tagged(rows, c.analyser, "normalized").withColumn("tokens", te.kept_tokens(F.col("tagged"), c.tags, c.stopwords))
+        else:
+            rows = rows.withColumn("tokens", tx.fallback_tokens(F.col("normalized"), c.stopwords))
+        base = self.put(rows.where(F.size("tokens") > 0), "sentences")
+        if c.analyser:
+            each = base.select(F.explode("tagged").alias("x")).select("x.token", F.upper("x.tag").isin(*te.STEM_TAGS).alias("stem"))
+            self.put(te.verb_only(each, "token", F.col("stem")), "verbs")
         merged = base
         for step in (1, 2):  # pairs, then triples over merged tokens
             phrases = self.put(te.phrase_scores(merged, "tokens", c.phrase_min, c.phrase_threshold).where(~F.col("a").isin(*tx.PLACEHOLDERS) & ~F.col("b").isin(*tx.PLACEHOLDERS)), f"phrases{step}")
@@ -93,7 +106,40 @@ class Build:
         processed = rows.withColumn("processed", F.array_join("tokens", " "))
         self.put(te.term_contexts(processed, most=c.contexts, stopwords=c.stopwords, carried=("processed",)), "contexts")
         self.put(te.pattern_counts(self.get("contexts"), "processed"), "patterns")
-        return self.put(te.annotated(te.term_statistics(rows, stopwords=c.stopwords), min_ratio=c.min_ratio), "terms")
+        verbs = self.get("verbs") if c.analyser else None
+        return self.put(te.annotated(te.term_statistics(rows, stopwords=c.stopwords), verbs=verbs, min_ratio=c.min_ratio), "terms")
+
+    def shown(self) -> DataFrame:
+        """(term, contexts): sentences of each term to show, of different frames and pages."""
+        rows = te.diversified(self.get("contexts"), self.config.shown, base="processed")
+        return rows.groupBy("term").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"]).alias("contexts"))
+
+    def prompts(self, kind: str) -> DataFrame:
+        """Requests of a kind (classify, propose, judge) as text files, a folder for each, and their manifest."""
+        c, shown, size = self.config, self.shown(), self.config.asked
+        if kind == "judge":
+            rows = ju.with_contexts(self.get("candidates"), shown).where("not skipped")
+            rows = ju.batched(rows.withColumn("pair_id", tx.pair_key(F.col("a"), F.col("b"))), size, [F.desc("priority"), F.col("a"), F.col("b")])
+            texts, key = ju.relation_prompt(rows, ju.head_of(kind)), F.col("pair_id")
+        else:
+            terms = self.get("terms").where("excluded_reason = ''")
+            terms = ju.proposal_terms(self.get("terms"), c.proposed, c.min_frequency) if kind == "propose" else ju.involved(terms, self.get("candidates"))
+            rows = ju.batched(terms.join(shown, "term", "left"), size, [F.desc("frequency"), F.col("term")])
+            texts, key = ju.term_prompt(rows, ju.head_of(kind), c.shown), F.col("term")
+        texts.write.mode("overwrite").partitionBy("batch").text(f"{self.folder}/prompts/{kind}")
+        return self.put(ju.manifest(rows, kind, key), f"manifests/{kind}")
+
+    def replay(self, kind: str, path: str) -> DataFrame:
+        """Stored answers (files, later ones count more) of requests of a kind, as the stages take them."""
+        answers = rd.read_answers(self.spark, path).withColumnRenamed("file", "batch")
+        if kind == "propose":
+            return self.put(ju.proposals(answers, self.get("terms").where("excluded_reason = ''")), "proposals")
+        if kind == "classify":
+            rows = ju.parsed(answers, ju.CLASSIFIED, "results").groupBy(F.col("termKey").alias("term")).agg(F.max_by("termType", "batch").alias("term_type"))
+            return self.put(rows, "types")
+        rows = ju.parsed(answers, ju.JUDGED, "results").withColumn("pair_key", F.coalesce(tx.pair_key(F.col("termA"), F.col("termB")), F.col("pairId")))
+        verdict = ("relationType", "confidence", "safeAToB", "safeBToA", "reason")
+        return self.put(rows.groupBy("pair_key").agg(*[F.max_by(v, "batch").alias(v) for v in verdict]), "answers")
 
     def candidates(self, neighbors: DataFrame | None = None, proposals: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
         """neighbors (term, other, similarity, rank): any vector model's; proposals (a, b, score)."""
@@ -124,8 +170,7 @@ class Build:
     def judge(self, answers: DataFrame, types: DataFrame | None = None) -> DataFrame:
         """answers (pair_key, relationType, confidence, safeAToB, safeBToA, reason), types (term, term_type)."""
         pairs, patterns = self.get("candidates"), self.get("patterns")
-        shown = self.get("contexts").select("term").distinct().withColumn("contexts", F.array())
-        asked = ju.with_contexts(pairs, shown)
+        asked = ju.with_contexts(pairs, self.shown())
         got = answers.select("pair_key", F.col("relationType").alias("relation_type"), "confidence", F.coalesce("safeAToB", F.lit(False)).alias("safe_ab"), F.coalesce("safeBToA", F.lit(False)).alias("safe_ba"), F.substring("reason", 1, 1000).alias("reason"))
         verdicts = ju.judged(ju.matched(asked.where("not skipped").select("pair_key", "a", "b", "similarity"), got, "pair_key"), patterns)
         state = F.when(F.col("skipped"), "SKIPPED").when(F.col("__v").isNotNull(), "VALIDATED").otherwise("VALIDATION_FAILED")
@@ -139,7 +184,11 @@ class Build:
     def rebuild(self) -> DataFrame:
         terms, relations = self.get("typed_terms"), self.get("relations")
         wr.write_review_queue(ju.review_queue(relations), f"{self.folder}/review_queue")
-        return self.put(ju.dictionary(terms, relations), "dictionary")
+        entries = self.put(ju.dictionary(terms, relations), "dictionary")
+        wr.write_dictionary(entries, f"{self.folder}/dictionary_json")
+        phrases = terms.where(F.contains("term", F.lit("_")) & (F.col("excluded_reason") == ""))
+        wr.write_user_dictionary(phrases, f"{self.folder}/user_dictionary", "term")
+        return entries
 
     def run(self, pages: DataFrame | None, answers: DataFrame | None = None, types: DataFrame | None = None, run_id: str = "run", **paths: DataFrame) -> DataFrame:
         """One row of metrics; a failure is recorded and raised."""

@@ -63,7 +63,7 @@ LEXICAL_MERGED = f"WITH {_LEXICAL} SELECT * FROM lexical"
 
 
 # ---------------------------------------------------------------- profiles
-WINDOW, LEAST = 2, 100
+WINDOW, LEAST = 5, 5
 
 
 def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +113,27 @@ vn AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY similarity DESC,
 VECTOR_NEIGHBORS = f"WITH {_VN} SELECT term, other, similarity, rank::INT AS rank FROM vn"
 
 
+def valid_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours that are in a catalogue, eligible and frequent enough, ranked anew."""
+    terms = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("term"), (F.col("vec_id") % 7).alias("frequency"), F.when(F.col("vec_id") % 5 == 0, "short").otherwise("").alias("excluded_reason"))
+    kept = ca.valid_neighbors(vector_neighbors(spark, sf_dir), terms, 2)
+    return kept.select("term", "other", "similarity", "rank")
+
+
+VALID_NEIGHBORS = f"""WITH {_VN} SELECT term, other, similarity, row_number() OVER (PARTITION BY term ORDER BY similarity DESC, other)::INT AS rank
+FROM vn WHERE other % 7 >= 2 AND other % 5 <> 0"""
+
+
+def neighbor_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of fixed size: neighbours of the 40 most frequent terms."""
+    terms = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("term"), (F.col("vec_id") * 37 % 101).alias("frequency"), F.when(F.col("vec_id") % 5 == 0, "short").otherwise("").alias("excluded_reason"))
+    return ca.probe(terms, vector_neighbors(spark, sf_dir), most=40, top=5)
+
+
+NEIGHBOR_PROBE = f"""WITH {_VN}, p AS (SELECT vec_id FROM embeddings WHERE vec_id % 5 <> 0 ORDER BY vec_id * 37 % 101 DESC, vec_id LIMIT 40)
+SELECT term, other, similarity, rank::INT AS rank FROM vn WHERE rank <= 5 AND other % 5 <> 0 AND term IN (SELECT vec_id FROM p)"""
+
+
 def mutual_rank_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ca.neighbor_pairs(vector_neighbors(spark, sf_dir), "FASTTEXT", 0.2)
     return ca.mutual_pairs(rows, 5, 2).groupBy("a", "b").agg(F.max("similarity").alias("similarity"), F.min("rank_ab").alias("rank_ab"), F.min("rank_ba").alias("rank_ba"))

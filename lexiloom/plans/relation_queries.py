@@ -207,6 +207,44 @@ def decide_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 DECIDE_STATUS = f"WITH {_VERDICTS} SELECT o_orderkey, status FROM st"
 
 
+def decide_status_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With every type active and other statuses: what people decide stays theirs."""
+    both = F.col("safe.ab") & F.col("safe.ba")
+    status = po.decide_status(F.col("relation_type"), F.col("confidence"), both, active=po.RELATION_TYPES, need_both=False, related="REJECTED", by_confidence={"MEDIUM": "ACTIVE", "LOW": "REVIEW"})
+    return _judged(spark, sf_dir).select("o_orderkey", status.alias("status"))
+
+
+DECIDE_STATUS_WIDE = f"""WITH {_VERDICTS} SELECT o_orderkey, CASE WHEN relation_type IN ('UNRELATED', 'UNKNOWN', 'RELATED') THEN 'REJECTED' WHEN relation_type IN ('ANTONYM', 'BROADER', 'NARROWER') THEN 'REVIEW'
+  WHEN guarded = 'LOW' THEN 'REVIEW' ELSE 'ACTIVE' END AS status FROM st"""
+
+
+def replayed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as entries, with answers by id for some, by pair for others, and none for the rest."""
+    orders = table(spark, sf_dir, "orders")
+    entries = orders.select(F.col("o_orderkey").alias("pair_id"), F.col("o_custkey").alias("pair_key"))
+    by_id = orders.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("pair_id"), F.col("o_orderpriority").alias("answer"))
+    stored = orders.where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("pair_key"), F.col("o_orderstatus").alias("answer"), F.struct("o_orderdate", "o_orderkey").alias("seq"))
+    return ju.replayed(entries, by_id, ju.latest_answers(stored, "pair_key", "seq"))
+
+
+REPLAYED_ANSWERS = """WITH k AS (SELECT o_custkey AS pair_key, max_by(o_orderstatus, row(o_orderdate, o_orderkey)) AS answer FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1)
+SELECT o_orderkey AS pair_id, o_custkey AS pair_key, coalesce(CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END, k.answer) AS answer, coalesce(CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END, k.answer) IS NULL AS missing
+FROM orders LEFT JOIN k ON k.pair_key = o_custkey"""
+
+
+def pairs_with_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer and supplier nations as pairs; contexts are names, and some have none."""
+    pairs = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("a"), ((F.col("n_nationkey") * 7 + 3) % 30).alias("b"))
+    contexts = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("term"), F.array("n_name").alias("contexts"))
+    out = ju.with_contexts(pairs, contexts)
+    return out.select("a", "b", "skipped", F.array_join("contexts_a", ",").alias("of_a"), F.array_join("contexts_b", ",").alias("of_b"))
+
+
+PAIRS_WITH_CONTEXTS = """WITH c AS (SELECT n_nationkey AS term, n_name FROM nation WHERE n_nationkey % 5 <> 0)
+SELECT p.n_nationkey AS a, (p.n_nationkey * 7 + 3) % 30 AS b, x.n_name IS NULL OR y.n_name IS NULL AS skipped, x.n_name AS of_a, y.n_name AS of_b
+FROM nation p LEFT JOIN c x ON x.term = p.n_nationkey LEFT JOIN c y ON y.term = (p.n_nationkey * 7 + 3) % 30"""
+
+
 def expandable(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _judged(spark, sf_dir)
     status = po.decide_status(F.col("relation_type"), F.col("confidence"), F.col("safe.ab") & F.col("safe.ba"))

@@ -280,6 +280,27 @@ SELECT term, is_stopword, CASE WHEN term IN ('<DATE>', '<TIME>', '<NUMBER>', '<U
   WHEN length(term) < 2 AND NOT regexp_matches(term, '^[A-Z][A-Z0-9]{{0,7}}$') THEN 'too short' ELSE '' END AS excluded_reason FROM j"""
 
 
+#: Terms that part names don't have: placeholders, broken phrases, measures, and one-letter terms.
+ODD_TERMS = ("<DATE>", "<NUMBER>", "매장_가", "가_매장", "매장_오픈", "12 개", "3차", "-_-", "x", "X")
+
+
+def eligibility_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names and odd terms, with verbs: every reason occurs."""
+    odd = spark.createDataFrame([(t, 7) for t in ODD_TERMS], "term string, frequency long")
+    terms = part_terms(spark, sf_dir).unionByName(odd).withColumn("sentence_ratio", (F.col("frequency") % 10) / 10.0)
+    verbs = table(spark, sf_dir, "part").where("p_size <= 10").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("token")).where("token < 'c'").distinct()
+    return te.annotated(terms, None, verbs, min_ratio=0.3).select("term", "excluded_reason")
+
+
+ELIGIBILITY_MARKED = f"""WITH {TERMS}, verbs AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS token FROM part WHERE p_size <= 10 AND split_part(p_name, ' ', 2) < 'c'),
+every AS (SELECT term, frequency FROM terms UNION ALL SELECT unnest({list(ODD_TERMS)}), 7),
+j AS (SELECT term, (frequency % 10) / 10.0::DOUBLE AS ratio, list_filter(regexp_split_to_array(term, '[_ ]'), lambda x: x <> '') AS parts FROM every)
+SELECT term, CASE WHEN term IN ('<DATE>', '<TIME>', '<NUMBER>', '<URL>', '<EMAIL>') THEN 'placeholder' WHEN NOT regexp_matches(term, '[0-9A-Za-z가-힣]') THEN 'no meaning' WHEN ratio < 0.3 THEN 'no sentence'
+  WHEN term IN (SELECT token FROM verbs) OR parts[-1] IN (SELECT token FROM verbs) THEN 'verb stem'
+  WHEN len(parts) >= 2 AND (len(list_filter(parts[1:len(parts) - 1], lambda p: regexp_matches(p, '^[가-힣]$'))) > 0 OR parts[-1] IN {te.END_PARTICLES}) THEN 'malformed'
+  WHEN regexp_matches(replace(term, '_', ' '), '{te.MEASURE}') THEN 'measure' WHEN length(term) < 2 AND NOT regexp_matches(term, '^[A-Z][A-Z0-9]{{0,7}}$') THEN 'too short' ELSE '' END AS excluded_reason FROM j"""
+
+
 def labels_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir, "documents")
     date = F.concat((F.col("doc_id") % 5 + 2020).cast("string"), F.lit("-01-01"))

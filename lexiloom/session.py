@@ -45,7 +45,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Deals rows out anew where the input has fewer partitions than the cluster has cores (a few small
     files, say); inputs of many splits stay where they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship(spark: SparkSession) -> None:

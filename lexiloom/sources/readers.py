@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import random
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from typing import Any
+from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,22 +80,64 @@ class _PagedReader(DataSourceReader):
         module, _, name = self.options["fetch"].partition(":")
         fetch, cursor = getattr(importlib.import_module(module), name), None
         while True:
-            rows, cursor = fetch(partition.value, cursor)
+            rows, cursor = retried(fetch, partition.value, cursor)
             for r in rows:
                 yield (partition.value, r)
             if cursor is None:
                 return
 
 
+class NotAllowed(Exception):
+    """A listing that no further try will give: refused, or not there."""
+
+
+def retried(fetch: Callable, space: str, cursor: str | None, tries: int = 4, first: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> tuple:
+    """A page of a listing. NotAllowed is raised at once; other failures are tried again, after the
+    seconds that the failure asks for (retry_after) or a doubling wait with up to a quarter more."""
+    for k in range(tries):
+        try:
+            return fetch(space, cursor)
+        except NotAllowed:
+            raise
+        except Exception as e:
+            if k == tries - 1:
+                raise
+            asked = getattr(e, "retry_after", None)
+            sleep(float(asked) if asked is not None else first * 2**k * (1 + random.random() / 4))
+    raise ValueError("tries: one at least")
+
+
+def by_offset(get: Callable[[str, int, int], list], limit: int = 50) -> Callable:
+    """A ``fetch`` for listings by start and limit: the cursor is where the next page starts."""
+
+    def fetch(space: str, cursor: str | None) -> tuple[list, str | None]:
+        start = int(cursor or 0)
+        rows = get(space, start, limit)
+        return rows, str(start + len(rows)) if len(rows) == limit else None
+
+    return fetch
+
+
+def by_link(get: Callable[[str, str | None], tuple[list, str | None]]) -> Callable:
+    """A ``fetch`` for listings that give the next page's address: its cursor parameter goes on."""
+
+    def fetch(space: str, cursor: str | None) -> tuple[list, str | None]:
+        rows, link = get(space, cursor)
+        return rows, (parse_qs(urlsplit(link or "").query).get("cursor") or [None])[0]
+
+    return fetch
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Token sentences of a text file, a sentence to a line."""
     return spark.read.text(path).select(F.filter(F.split("value", r"\s+"), lambda x: x != "").alias("tokens")).where(F.size("tokens") > 0)
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of a list file without comments (#) and repeats."""
+    """Entries of a list file without comments (#) and repeats, in the file's order (at)."""
     word = F.btrim(F.split_part("value", F.lit("#"), F.lit(1)))
-    return spark.read.text(path).select(word.alias("word")).where("word <> ''").dropDuplicates(["word"])
+    rows = spark.read.text(path).select(word.alias("word"), F.monotonically_increasing_id().alias("at")).where("word <> ''")
+    return rows.groupBy("word").agg(F.min("at").alias("at")).orderBy("at")
 
 
 def read_excluded_pairs(spark: SparkSession, path: str) -> DataFrame:

@@ -46,11 +46,9 @@ def write_sheet(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 def append_new(lines: DataFrame, spark: SparkSession, path: str) -> None:
     """Appends lines (value) that the text doesn't have."""
     new = lines.select("value").distinct()
-    try:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
         new = new.join(spark.read.text(path), "value", "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
     new.write.mode("append").text(path)
 
 

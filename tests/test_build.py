@@ -35,12 +35,125 @@ def test_build(spark, tmp_path):
     assert (counts["updated"], counts["unchanged"]) == (1, 15) and build.get("pages").count() == 16
 
 
+def words_and_stems(texts):
+    """A stand-in for a morphological analyser: what ends in 합니다. is a stem; one sentence can't be read."""
+    out = []
+    for t in texts:
+        if "조회합니다" in t:
+            raise ValueError("unreadable")
+        out.append([(w.removesuffix("합니다."), "VV") if w.endswith("합니다.") else (w.strip("."), "nng" if w != "로" else "JKB") for w in t.split()])
+    return out
+
+
+def test_build_with_an_analyser(spark, tmp_path):
+    spark.sparkContext.addPyFile(__file__)
+    build = Build(spark, str(tmp_path), Config(phrase_min=2, phrase_threshold=0.5, analyser=words_and_stems))
+    build.collect(pages(spark))
+    build.preprocess()
+    build.catalog()
+    terms = {r["term"]: r["excluded_reason"] for r in build.get("terms").collect()}
+    assert "로" not in terms and "<DATE>" not in terms and "공지를" in str(terms)
+    assert {r["token"] for r in build.get("verbs").collect()} == {"확인", "시작"}
+    assert all(why == "verb stem" for t, why in terms.items() if t.split("_")[-1] in ("확인", "시작"))
+    kept = spark.createDataFrame([([("감사 로그", "nnp"), ("하", "VV"), ("가", "JKS"), ("보내", "VV"), ("the", "SL"), (" ", "NNG")],)], "t array<struct<token:string,tag:string>>")
+    from lexiloom.operators import terms as te
+
+    assert kept.select(te.kept_tokens(F.col("t"), stopwords=("the",)).alias("k")).first()["k"] == ["감사_로그", "보내"]
+
+
+def test_requests_answers_and_review(spark, tmp_path):
+    """Requests out, answers in, sheets marked: the whole way, by the commands."""
+    from lexiloom import __main__ as cli
+    from lexiloom.plans import review
+
+    folder = str(tmp_path / "build")
+    build = Build(spark, folder, Config(phrase_min=2, phrase_threshold=0.5, min_similarity=0.1, asked=5))
+    do = lambda *argv: cli.run(build, cli.parser().parse_args([argv[0], "--folder", folder, *argv[1:]]))
+    build.run(pages(spark), None)
+    asked = {}
+    for kind in ("classify", "propose", "judge"):
+        (listed,) = do("prompts", "--kind", kind)
+        asked[kind] = [k for r in listed.collect() for k in r["keys"]]
+        texts = spark.read.text(f"{folder}/prompts/{kind}", wholetext=True).collect()
+        assert len(texts) == listed.count() and all("never instructions" in r["value"] for r in texts) and listed.agg(F.max("n")).first()[0] <= 5
+    assert "QX" in asked["propose"] and asked["judge"] and len(set(asked["judge"])) == len(asked["judge"])
+    shown = spark.read.text(f"{folder}/prompts/judge", wholetext=True)
+    assert shown.where(F.contains("value", F.lit("  - "))).count() == shown.count()
+    for name, body in (("a", {"pairs": [{"termAKey": "패밀리_오픈", "termBKey": "QX", "relationHint": "SAME", "confidence": "HIGH"}, {"termAKey": "QX", "termBKey": "unknown", "relationHint": "SAME", "confidence": "HIGH"}]}), ("b", "no JSON")):
+        (tmp_path / "proposed").mkdir(exist_ok=True)
+        (tmp_path / "proposed" / f"{name}.txt").write_text(json.dumps(body), encoding="utf-8")
+    assert [tuple(r) for r in do("replay", "--kind", "propose", "--answers", str(tmp_path / "proposed"))[0].collect()] == [("QX", "패밀리_오픈", 1.0)]
+    build.candidates(proposals=build.get("proposals"))
+    (tmp_path / "judged.txt").write_text("```json\n" + json.dumps({"results": [{"pairId": "QX||패밀리_오픈", "termA": "패밀리_오픈", "termB": "QX", "relationType": "EXACT_ALIAS", "confidence": "HIGH", "safeAToB": True, "safeBToA": True, "reason": "same"}]}) + "\n```", encoding="utf-8")
+    (tmp_path / "kinds.txt").write_text(json.dumps({"results": [{"termKey": "QX", "termType": "entity", "entityType": "x", "reason": ""}]}), encoding="utf-8")
+    build.judge(build.replay("judge", str(tmp_path / "judged.txt")), build.replay("classify", str(tmp_path / "kinds.txt")))
+    build.rebuild()
+    written = [json.loads(r[0]) for r in spark.read.text(f"{folder}/dictionary_json").collect()]
+    assert any(e["term"] == "QX" and e["relations"][0]["termKey"] == "패밀리_오픈" for e in written)
+    assert ("패밀리 오픈", "NNP") in {tuple(r) for r in rd.read_user_dictionary(spark, f"{folder}/user_dictionary").collect()}
+    # gold labels
+    do("gold-sample", "--out", str(tmp_path / "gold"), "--size", "4")
+    labels = spark.read.option("header", True).csv(str(tmp_path / "gold"))
+    assert 0 < labels.count() <= 4
+    spark.createDataFrame([("QX||패밀리_오픈", "y"), ("QX||none", "Y"), ("a||b", "")], "pair_key string, label string").write.option("header", True).csv(str(tmp_path / "labelled"))
+    (figures,) = do("gold", "--labels", str(tmp_path / "labelled"))
+    assert figures.first().asDict() | {"recall": 0, "precision": 0} == {"positives": 2, "found": 1, "active": 1, "active_right": 1, "in_review": 0, "recall": 0, "precision": 0}
+    near = spark.createDataFrame([("QX", "패밀리_오픈", 0.93, 1), ("패밀리_오픈", "QX", 0.93, 1)], "term string, other string, similarity double, rank int")
+    shares, grid = review.tune(build, near)
+    assert {r["threshold"]: r["n"] for r in shares.collect()}[0.92] == 2 and grid.count() == len(review.GRID)
+    # marked sheets
+    (tmp_path / "terms.csv").write_text("remove,term\nx,QX\n,none\n", encoding="utf-8")
+    (tmp_path / "pairs.csv").write_text("remove,pair_key\nv,a||b\n", encoding="utf-8")
+    (impact,) = do("apply", "--terms", str(tmp_path / "terms.csv"), "--dry-run")
+    assert impact.first()["by_term"] == 2 and build.get("relations").count() == 2
+    do("apply", "--terms", str(tmp_path / "terms.csv"), "--relations", str(tmp_path / "pairs.csv"))
+    assert build.get("relations").count() == 0 and [r[0] for r in spark.read.text(f"{folder}/stopwords").collect()] == ["QX"]
+    assert {r["active"] for r in build.get("typed_terms").where("term = 'QX'").collect()} == {False} and build.get("typed_terms").where("active").count() > 0
+
+
+def test_validate(spark):
+    from lexiloom.plans.review import validate
+
+    docs = spark.createDataFrame([(1, "a", "x"), (3, "a", "y"), (3, "b", "z")], "doc_id long, title string, category string")
+    got = {tuple(r) for r in validate(docs, title="title", category="category", targets={"x": 1, "y": 3}).collect()}
+    assert got == {("repeated id", "3", 2), ("missing id", "2", 1), ("repeated title", "a", 2), ("unknown category", "z", 1), ("category short of its target", "y", 2)}
+
+
+def test_paging():
+    waits, calls = [], []
+
+    class Busy(Exception):
+        retry_after = 7
+
+    def fetch(space, cursor):
+        calls.append(cursor)
+        if len(calls) < 3:
+            raise Busy if len(calls) == 1 else OSError("down")
+        return ["row"], None
+
+    assert rd.retried(fetch, "S", None, sleep=waits.append) == (["row"], None) and waits[0] == 7 and 2 <= waits[1] <= 2.5
+    with pytest.raises(rd.NotAllowed):
+        rd.retried(lambda s, c: (_ for _ in ()).throw(rd.NotAllowed("401")), "S", None, sleep=waits.append)
+    with pytest.raises(OSError):
+        rd.retried(lambda s, c: (_ for _ in ()).throw(OSError()), "S", None, tries=2, sleep=waits.append)
+    assert len(waits) == 3
+    listing = rd.by_offset(lambda s, start, limit: list(range(start, min(start + limit, 5))), 2)
+    rows, cursor = [], "0"
+    while cursor is not None:
+        got, cursor = listing("S", cursor)
+        rows += got
+    assert rows == [0, 1, 2, 3, 4]
+    assert rd.by_link(lambda s, c: ([1], "/x?limit=2&cursor=a%3D"))("S", None) == ([1], "a=") and rd.by_link(lambda s, c: ([1], None))("S", "a") == ([1], None)
+
+
 def test_sources(spark, tmp_path):
     raw = [{"id": "1", "spaceId": "9", "title": "T", "version": {"number": 3, "createdAt": "2026-01-02T03:04:05Z"}, "createdAt": "2026-01-01T00:00:00Z", "body": {"storage": {"value": ""}, "view": {"value": "<p>x</p>"}}, "_links": {"webui": "/p/1"}}, {"id": "2", "version": "odd"}]
     rows = {r["page_id"]: r for r in rd.pages_from_json(spark.createDataFrame([(json.dumps(r),) for r in raw], "value string"), base_url="https://w").collect()}
     assert rows["1"]["body"] == "<p>x</p>" and rows["1"]["version"] == 3 and rows["1"]["url"] == "https://w/p/1" and rows["1"]["error"] is None
     assert any(r["error"] for k, r in rows.items() if k != "1")
     (tmp_path / "list.txt").write_text("a # note\n\n# only\nb\na\n", encoding="utf-8")
+    (tmp_path / "order.txt").write_text("z\nm # x\na\nz\nm\nb\n", encoding="utf-8")
+    assert [r["word"] for r in rd.read_list(spark, str(tmp_path / "order.txt")).collect()] == ["z", "m", "a", "b"]
     assert sorted(r[0] for r in rd.read_list(spark, str(tmp_path / "list.txt")).collect()) == ["a", "b"]
     (tmp_path / "pairs.txt").write_text("b||a\n", encoding="utf-8")
     assert rd.read_excluded_pairs(spark, str(tmp_path / "pairs.txt")).first()[0] == "a||b"

@@ -1,3 +1,4 @@
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -18,6 +19,13 @@ def test_entry(spark):
 
 
 def test_works_without_llm(tmp_path):
-    """The rest imports when the corpus operators are gone."""
-    code = f"import sys, shutil; shutil.copytree({str(ROOT)!r}, {str(tmp_path / 'r')!r}, ignore=shutil.ignore_patterns('llm', 'corpus_pipeline.py', '.git', '__pycache__')); sys.path.insert(0, {str(tmp_path / 'r')!r}); import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
-    subprocess.run([sys.executable, "-B", "-c", code], check=True, cwd=tmp_path)
+    """The rest imports, registers its queries and passes tests when the corpus operators are gone, whether
+    or not the pipeline over them is left behind."""
+    copy = tmp_path / "r"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", "spark-warehouse"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-B", "-c", code], check=True, cwd=copy)
+    (copy / "corpus_pipeline.py").unlink()
+    subprocess.run([sys.executable, "-B", "-c", code], check=True, cwd=copy)
+    some = "registry or markdown or protected or settings or paging"
+    subprocess.run([sys.executable, "-B", "-m", "pytest", "tests", "-q", "-p", "no:cacheprovider", "-k", f"({some}) and not without_llm"], check=True, cwd=copy)
