@@ -38,9 +38,9 @@ from lexiloom.llm.pretok import library_memo
 from lexiloom.llm.store import Shelf, small_batches, whole_text
 
 #: Items of a shard (on average), islands, epochs, and the population and generations of an epoch.
-SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 24
+SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 10
 #: A bin of at least this share of the capacity is well filled; those below go on to the next level.
-WELL = 0.998
+WELL = 0.9995
 #: Passes of the exchange over the bins.
 PASSES = 2
 PIECES = "slot long, doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -154,7 +154,9 @@ def evolve(sizes: list[int], capacity: int, seed: int, elites: list[Bins] | None
     of the worst of the pool if it is fitter and new."""
     rng, every = random.Random(seed), list(range(len(sizes)))
     least = -(-sum(sizes) // capacity)
-    pool = [*(elites or []), Bins(sizes, capacity).decreasing(every)]
+    pool = list(elites or [])
+    if not pool or min(len(p.bins) for p in pool) > least:
+        pool.append(Bins(sizes, capacity).decreasing(every))
     if min(len(p.bins) for p in pool) > least:
         while len(pool) < population:
             jitter = [s * rng.uniform(0.8, 1.2) for s in sizes]
