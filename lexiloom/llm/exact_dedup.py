@@ -110,6 +110,8 @@ def exact_dedup(
     hit = shelf.run(reduce(DataFrame.union, hits).distinct(), "hit", "digest")
     found = shelf.put(index.look_up(hit), "found")
     n_hits = found.count()
+    for name in list(index.tables):
+        shelf.drop(name)
     # Byte verification: texts are compared as grouping keys, map side first, so a group of copies sends one row a task
     seen, _ = narrowed(texts, hit, n_hits, shelf, "to_verify")
     spellings = seen.groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("spelt")).select("digest")

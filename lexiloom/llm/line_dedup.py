@@ -115,6 +115,8 @@ def line_dedup(
         index.add(found.where(F.col("batch") == k).select("id", "hash"), more=k < batches - 1)
     common = shelf.put(index.totals().where((F.col("n_docs") >= min_docs) & F.col("last").isNotNull()), "common")
     go = shelf.put(_decisions(found.select("id", "hash"), common, shelf), "go")
+    for name in ("found", "common", "updates", *index.tables):
+        shelf.drop(name)
     # only documents that may lose a line meet their decisions; a filter lets the others pass where they are
     touched, untouched = narrowed(rows, go, go.count(), shelf, "touched", "id")
     result = _apply(touched.join(go.toDF("to", "go").hint("merge"), F.col("id").eqNullSafe(F.col("to")), "left"), min_chars, out)

@@ -171,6 +171,8 @@ LONGEST = 64
 #: Characters handled at a time.
 CHUNK = 1 << 19
 NOTHING = np.zeros(0, np.uint32)
+#: Masks of none to four characters of 16 bits.
+FIRST_CHARS = np.array([(1 << 16 * k) - 1 for k in range(5)], np.uint64)
 
 
 @lru_cache(maxsize=1)
@@ -226,6 +228,7 @@ class PieceMemo:
         # of an entry: place and number of its values, place and number of its characters
         self.at, self.size, self.text_at, self.text_size = (np.zeros(1024, np.int64) for _ in range(4))
         self.pool, self.chars = np.zeros(4096, np.uint32), np.zeros(4096, np.uint16)
+        self.first, self.last = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)  # an entry's four first and last characters
         self.n = self.used = self.spelt = 0
         self.odd: dict[str, tuple[np.ndarray, int]] = {}
 
@@ -246,10 +249,11 @@ class PieceMemo:
             rest = rest[~hit & (key != 0)]
         return out
 
-    def _insert(self, h: np.ndarray, flat: np.ndarray, size: np.ndarray, spelling: np.ndarray, length: np.ndarray) -> None:
+    def _insert(self, h: np.ndarray, flat: np.ndarray, size: np.ndarray, spelling: np.ndarray, length: np.ndarray, ends: tuple[np.ndarray, np.ndarray]) -> None:
         m = len(h)
         while self.n + m > len(self.at):
             self.at, self.size, self.text_at, self.text_size = (np.resize(x, 2 * len(x)) for x in (self.at, self.size, self.text_at, self.text_size))
+            self.first, self.last = np.resize(self.first, 2 * len(self.first)), np.resize(self.last, 2 * len(self.last))
         self._room(len(flat))
         while self.spelt + len(spelling) > len(self.chars):
             self.chars = np.resize(self.chars, 2 * len(self.chars))
@@ -257,6 +261,7 @@ class PieceMemo:
         self.chars[self.spelt : self.spelt + len(spelling)] = spelling
         new = slice(self.n, self.n + m)
         self.size[new], self.text_size[new] = size, length
+        self.first[new], self.last[new] = ends
         self.at[new], self.text_at[new] = self.used + np.cumsum(size) - size, self.spelt + np.cumsum(length) - length
         entry = np.arange(self.n, self.n + m, dtype=np.int32)
         self.n, self.used, self.spelt = self.n + m, self.used + len(flat), self.spelt + len(spelling)
@@ -316,10 +321,20 @@ class PieceMemo:
         ends = np.cumsum(size)
         return np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
-    def _verified(self, entry: np.ndarray, cp: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _ends(cp: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The four first and the four last characters of pieces (all of a shorter one), as numbers."""
+        four = np.zeros(len(cp) + 3, np.uint64)
+        four[: len(cp)] = cp
+        four[:-1] |= four[1:] << np.uint64(16)
+        four[:-2] |= four[2:] << np.uint64(32)
+        mask = FIRST_CHARS[np.minimum(length, 4)]
+        return four[begin] & mask, four[begin + np.maximum(length - 4, 0)] & mask
+
+    def _verified(self, entry: np.ndarray, cp: np.ndarray, begin: np.ndarray, length: np.ndarray, ends: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """The entries, -2 where an entry's characters are not those of the piece (and where there is none)."""
-        sure = (entry >= 0) & (self.text_size[entry] == length)
-        own = np.flatnonzero(sure)
+        sure = (entry >= 0) & (self.text_size[entry] == length) & (self.first[entry] == ends[0]) & (self.last[entry] == ends[1])
+        own = np.flatnonzero(sure & (length > 8))  # shorter ones are all in their ends
         if own.size:
             n = length[own]
             same = self.chars[self._spread(self.text_at[entry[own]], n)] == cp[self._spread(begin[own], n)]
@@ -335,7 +350,7 @@ class PieceMemo:
         real = cp[begin] != 0
         begin, end = begin[real], end[real]
         length = end - begin
-        h = self._keys(cp, begin, end)
+        h, ends = self._keys(cp, begin, end), self._ends(cp, begin, length)
         entry = self._find(h)
         entry[length > LONGEST] = -2
         new = np.flatnonzero(entry == -1)
@@ -346,9 +361,9 @@ class PieceMemo:
                 return self._chunk(texts)
             first = new[where]
             flat, size = self.fill([joined[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True)])
-            self._insert(key, flat, size, cp[self._spread(begin[first], length[first])], length[first])
+            self._insert(key, flat, size, cp[self._spread(begin[first], length[first])], length[first], (ends[0][first], ends[1][first]))
             entry[new] = self._find(h[new])
-        entry = self._verified(entry, cp, begin, length)
+        entry = self._verified(entry, cp, begin, length, ends)
         size, at = self.size[entry], self.at[entry]
         other = np.flatnonzero(entry == -2)
         if other.size:  # these have their values behind the pool's, for this chunk

@@ -104,7 +104,9 @@ def near_links(prints: DataFrame, shelf: Shelf, radius: int = 2, small: int = SM
     stars = keys.groupBy("key").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.collect_set("fp").alias("all"))
     stars = stars.where(F.col("hub").isNotNull() & (F.size("all") > 1)).select("hub", F.explode("all").alias("fp")).where("hub <> fp")
     stars = stars.select(F.least("hub", "fp").alias("a"), F.greatest("hub", "fp").alias("b"))
-    return shelf.put(pairs.unionByName(stars).distinct(), "links")
+    links = shelf.put(pairs.unionByName(stars).distinct(), "links")
+    shelf.drop("members")
+    return links
 
 
 def components(links: DataFrame, shelf: Shelf) -> DataFrame:

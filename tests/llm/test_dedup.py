@@ -7,8 +7,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lexiloom.llm import exact_dedup as exact_module
 from lexiloom.llm import line_dedup as line_module
+from lexiloom.llm import store
 from lexiloom.llm.exact_dedup import DigestIndex, exact_dedup
 from lexiloom.llm.line_dedup import LineIndex, line_dedup
 from lexiloom.llm.store import Shelf, batch_of, batches_for
@@ -64,7 +64,7 @@ def test_exact_answer_is_the_runs(spark, monkeypatch):
 @pytest.mark.parametrize("heavy", [1, 20, 10_000])
 def test_hot_groups(spark, monkeypatch, heavy):
     """The same result whether groups go by broadcast or by merge join."""
-    monkeypatch.setattr(exact_module, "HEAVY", heavy)
+    monkeypatch.setattr(store, "HEAVY", heavy)
     monkeypatch.setattr(line_module, "HEAVY", heavy)
     rows = [(i, "" if i % 3 == 0 else f"a line in all of them\nown line {i % 7}\nown {i}") for i in range(120)]
     got = exact_dedup(docs(spark, rows)).collect()
