@@ -27,7 +27,9 @@ def sentences(docs: DataFrame, id_col: str = "page_id", title_col: str | None =
 
 def tokenized(rows: DataFrame, stopwords: Sequence[str] = (), min_length: int = 1) -> DataFrame:
     """Adds tokens to sentences; those without any go."""
-    return rows.withColumn("tokens", tx.fallback_tokens(F.col("sentence"), stopwords, min_length)).where(F.size("tokens") > 0)
+    # as a generator's output, tokens are made once and not again for the filter
+    made = F.explode(F.array(tx.fallback_tokens(F.col("sentence"), stopwords, min_length)))
+    return rows.select(*[c for c in rows.columns if c != "tokens"], made.alias("tokens")).where(F.size("tokens") > 0)
 
 
 #: Kinds of morphemes that a morphological analyser's tokens are kept of, and those that are stems.
@@ -127,8 +129,13 @@ def merged_tokens(rows: DataFrame, phrases: DataFrame, key: Sequence[str], token
         return F.when(F.coalesce(F.try_element_at(taken, F.lit(-1)), F.lit(-2)) + 1 < at, F.concat(taken, F.array(at))).otherwise(taken)
 
     taken = places.select(*key, F.aggregate("at", F.array().cast("array<int>"), step).alias("taken"))
-    whole = F.transform(F.col(tokens), lambda t, i: F.when(F.array_contains("taken", i), F.concat_ws(delimiter, t, F.try_element_at(F.col(tokens), i + 2))).when(F.array_contains("taken", i - 1), None).otherwise(t))
-    merged = F.when(F.col("taken").isNull(), F.col(tokens)).otherwise(F.array_compact(whole))
+    # the words between two merged pairs stay as they are: one slice for each pair, and the rest
+    own, taken_at = F.col(tokens), F.col("taken")
+    begin = lambda k: F.coalesce(F.try_element_at(taken_at, F.when(k > 0, k)) + 2, F.lit(0))
+    pair = lambda at: F.concat_ws(delimiter, F.try_element_at(own, at + 1), F.try_element_at(own, at + 2))
+    parts = F.transform(taken_at, lambda at, k: F.concat(F.slice(own, begin(k) + 1, at - begin(k)), F.array(pair(at))))
+    rest = F.slice(own, F.element_at(taken_at, -1) + 3, F.size(own))
+    merged = F.when(taken_at.isNull(), own).otherwise(F.concat(F.flatten(parts), rest))
     return rows.join(taken, list(key), "left").select(*key, merged.alias(tokens))
 
 
@@ -139,17 +146,23 @@ def unmerge_forbidden(tokens: Column, forbidden: Sequence[str], delimiter: str =
 
 
 # ---------------------------------------------------------------- contexts
-def term_contexts(rows: DataFrame, tokens: str = "tokens", most: int = 50, stopwords: Sequence[str] = (), carried: Sequence[str] = ()) -> DataFrame:
-    """The first contexts of each indexable term, one for each sentence, by page id as text and sentence
-    index. carried: further columns of the sentence.
-
-    A page can give `most` contexts of a term at most, so that the window of a frequent term
-    sorts what the pages' own windows leave."""
-    each = rows.select(F.col("page_id").cast("string").alias("page_id"), "sentence_index", "sentence", *carried, F.explode(F.array_distinct(indexable(F.col(tokens), stopwords))).alias("term"))
-    w = Window.partitionBy("term").orderBy("page_id", "sentence_index")
+def context_places(rows: DataFrame, tokens: str = "tokens", most: int = 50, stopwords: Sequence[str] = ()) -> DataFrame:
+    """(term, page_id, sentence_index, rank): where the first contexts of each indexable term are, one for
+    each sentence, by page id as text and sentence index. Ranks are limited within tasks first."""
+    each = rows.select("page_id", "sentence_index", F.explode(F.array_distinct(indexable(F.col(tokens), stopwords))).alias("term"))
+    w = Window.partitionBy("term").orderBy(F.col("page_id").cast("string"), "sentence_index")
     return each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 
 
+def term_contexts(rows: DataFrame, tokens: str = "tokens", most: int = 50, stopwords: Sequence[str] = (), carried: Sequence[str] = ()) -> DataFrame:
+    """context_places with the sentences, and further columns of theirs (carried). Sentences are joined to
+    the places that are left, so no sentence is sorted once for each of its words; ``rows`` is read twice."""
+    places = context_places(rows, tokens, most, stopwords)
+    shown = rows.select("page_id", "sentence_index", "sentence", *carried)
+    out = places.join(shown, ["page_id", "sentence_index"])
+    return out.select(F.col("page_id").cast("string").alias("page_id"), "sentence_index", "sentence", *carried, "term", "rank")
+
+
 def diversified(contexts: DataFrame, limit: int = 5, per_page: int = 2, base: str = "sentence") -> DataFrame:
     """Contexts of each term with new sentence patterns and few from one page; where these are too
     few, new patterns only. A term has few contexts (term_contexts), so it is one fold."""

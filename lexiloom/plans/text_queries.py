@@ -212,7 +212,11 @@ SELECT doc_id AS page_id, idx::INT AS sentence_index, (row_number() OVER (PARTIT
 
 
 def term_contexts_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return te.term_contexts(page_tokens(spark, sf_dir)).select("term", "rank", "page_id", "sentence_index")
+    return te.context_places(page_tokens(spark, sf_dir)).select("term", "rank", F.col("page_id").cast("string").alias("page_id"), "sentence_index")
+
+
+def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return te.term_contexts(written(spark)(page_tokens(spark, sf_dir).select("page_id", "sentence_index", "sentence", "tokens"), "tokens"))
 
 
 _CTX = """, once AS (SELECT DISTINCT term, doc_id::VARCHAR AS page_id, idx, s FROM tok),
@@ -221,7 +225,7 @@ TERM_CONTEXTS_TOP50 = f"WITH {TOK}{_CTX} SELECT term, rank::INT AS rank, page_id
 
 
 def context_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = te.term_contexts(page_tokens(spark, sf_dir))
+    rows = _contexts(spark, sf_dir)
     return rows.select("term", "page_id", "sentence_index", tx.pattern_signature(F.col("sentence"), F.col("term")).alias("signature"))
 
 
@@ -230,14 +234,14 @@ CONTEXT_SIGNATURES = f"WITH {TOK}{_CTX} SELECT term, page_id, idx::INT AS senten
 
 
 def pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return te.pattern_counts(te.term_contexts(page_tokens(spark, sf_dir)))
+    return te.pattern_counts(_contexts(spark, sf_dir))
 
 
 PATTERN_COUNTS = f"WITH {TOK}{_CTX}, g AS (SELECT term, {_SIG} AS sig FROM ctx) SELECT term, count(DISTINCT sig) FILTER (WHERE sig <> '') AS patterns FROM g GROUP BY 1"
 
 
 def contexts_diversified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return te.diversified(te.term_contexts(page_tokens(spark, sf_dir)))
+    return te.diversified(_contexts(spark, sf_dir))
 
 
 def _picked(start: str, full: str) -> str:
