@@ -210,11 +210,12 @@ def pieces_of(docs: DataFrame, vocab: str, end_id: int = 0, capacity: int = 2048
     return docs.select(F.col(id_col).alias("doc_id"), whole_text(F.col(text_col)).alias("text")).mapInArrow(cut, form)
 
 
-#: What a shard's island gives: each item's bin, the bin's load and the item's place in it, and the number of bins.
-PLACED = "slot long, length long, shard long, island long, bin long, load long, offset long, bins long"
+#: What a shard's island gives: each item's bin, the bin's load and the item's place in it, the number of bins, and the
+#: least that there can be.
+PLACED = "slot long, length long, shard long, island long, bin long, load long, offset long, bins long, least long"
 
 
-def _island(capacity: int):
+def _island(capacity: int, generations: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, island = int(key[0]), int(key[1])
         rows = rows.sort_values(["role", "slot"], kind="stable")
@@ -226,12 +227,12 @@ def _island(capacity: int):
             for s, k in zip(part["slot"].tolist(), part["bin"].tolist(), strict=True):
                 bins.setdefault(k, []).append(place[s])
             elites.append(Bins(sizes, capacity, list(bins.values())))
-        best = evolve(sizes, capacity, shard * 1009 + island + 7919 * len(elites), elites)
+        best = evolve(sizes, capacity, shard * 1009 + island + 7919 * len(elites), elites, POPULATION if generations else 1, generations)
         of, load, offset = (np.zeros(len(sizes), np.int64) for _ in range(3))
         for k, items in enumerate(best.bins):
             ends = np.cumsum([sizes[i] for i in items])
             of[items], load[items], offset[items] = k, ends[-1], ends - [sizes[i] for i in items]
-        return pd.DataFrame({"slot": own["slot"].to_numpy(), "length": own["length"].to_numpy(), "shard": shard, "island": island, "bin": of, "load": load, "offset": offset, "bins": len(best.bins)})
+        return pd.DataFrame({"slot": own["slot"].to_numpy(), "length": own["length"].to_numpy(), "shard": shard, "island": island, "bin": of, "load": load, "offset": offset, "bins": len(best.bins), "least": -(-sum(sizes) // capacity)})
 
     return run
 
@@ -241,16 +242,20 @@ def _evolved(items: DataFrame, shards: int, shelf: Shelf, capacity: int, level:
     item is in already, -1 if in none. The items of a sequence go to one shard."""
     key = F.when(F.col("bin") < 0, F.col("slot")).otherwise(F.col("bin"))
     dealt = items.select("slot", "length", "bin", F.pmod(F.xxhash64(key, F.lit(level)), F.lit(shards)).cast("long").alias("shard"))
-    rows = dealt.withColumn("island", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ISLANDS - 1).cast("long")))).withColumn("role", F.lit(0))
+    # best-fit decreasing, or the bins that came, once for a shard; only shards above their bound are searched
+    seed = dealt.withColumn("island", F.lit(0).cast("long")).withColumn("role", F.lit(0))
+    seed = shelf.put(seed.groupBy("shard", "island").applyInPandas(_island(capacity, 0), PLACED), f"level{level}seed")
+    rows = seed.where("bins > least").select("slot", "length", "bin", "shard", F.lit(0).alias("role"))
+    rows = rows.withColumn("island", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ISLANDS - 1).cast("long"))))
     for epoch in range(EPOCHS):
-        done = shelf.put(rows.groupBy("shard", "island").applyInPandas(_island(capacity), PLACED), f"level{level}epoch{epoch}")
+        done = shelf.put(rows.groupBy("shard", "island").applyInPandas(_island(capacity, GENERATIONS), PLACED), f"level{level}epoch{epoch}")
         resident = done.select("slot", "length", "shard", "island", "bin", F.lit(0).alias("role"))
         migrant = done.select("slot", "length", "shard", ((F.col("island") + 1) % ISLANDS).alias("island"), "bin", F.lit(1).alias("role"))
         rows = resident.unionByName(migrant)
         if epoch:
             shelf.drop(f"level{level}epoch{epoch - 1}")
     best = done.groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("best")).select("shard", F.col("best.island").alias("island"))
-    out = done.join(best, ["shard", "island"])
+    out = seed.where("bins <= least").unionByName(done.join(best, ["shard", "island"]))
     return out.select("slot", "length", (F.lit(level << 56) + F.shiftleft("shard", 16) + F.col("bin")).alias("sequence_id"), "load", "offset")
 
 
