@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.bpe import decode, encode
+from lexiloom.llm.collocations import collocations
 from lexiloom.llm.exact_dedup import exact_dedup
+from lexiloom.llm.fim import fill_in_middle, restored
 from lexiloom.llm.language_id import language_id
 from lexiloom.llm.line_dedup import line_dedup
 from lexiloom.llm.packing import pack_documents
@@ -19,6 +21,7 @@ from lexiloom.llm.simhash import near_dedup
 from lexiloom.llm.store import small_batches
 from lexiloom.llm.token_counts import token_count
 from lexiloom.llm.token_store import crc_of, read_tokens, token_file
+from lexiloom.llm.topk import top_k
 from lexiloom.session import spread
 
 #: Tokens that a document may have before it is said to be over the limit.
@@ -88,6 +91,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet")), k=10, every=100)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir), most=4, least=30, share=80, top=2000)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(documents(spark, sf_dir).select("doc_id", "text"), seed=7, rate=100, spm_rate=50).select("doc_id", "__fim.*")
+    told = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *told)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -122,5 +139,81 @@ FROM normal n JOIN grouped g ON n.text = g.text
 """
 
 
+OP11_SQL = r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.place, q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS score
+  FROM whole q JOIN whole c ON q.place <> c.place WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id ASC NULLS FIRST) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+"""
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) AS sizes(k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), frequent AS (
+  SELECT * FROM f WHERE f >= 30
+), cuts AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM frequent WHERE k > 1
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, l.f AS l, r.f AS r, CAST(2000000::HUGEINT * c.a // (l.f::HUGEINT + r.f) AS BIGINT) AS score, c.cut
+  FROM cuts c JOIN frequent l ON c.lang = l.lang AND array_to_string(c.w[1 : c.cut], ' ') = l.phrase
+  JOIN frequent r ON c.lang = r.lang AND array_to_string(c.w[c.cut + 1 :], ' ') = r.phrase
+), candidates AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, a AS longer, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (
+    SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM (
+      SELECT lang, a, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM candidates WHERE k > 2))
+), held AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY lang, phrase
+), ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, encode(c.phrase)) AS rank
+  FROM candidates c LEFT JOIN held h ON c.lang = h.lang AND c.phrase = h.phrase
+  WHERE h.longer IS NULL OR 100::HUGEINT * h.longer < 80::HUGEINT * c.a
+)
+SELECT r.lang, CAST(r.rank AS INTEGER) AS rank, r.phrase, r.a, r.l, r.r, CAST(t.n AS BIGINT) AS n, r.score
+FROM ranked r JOIN total t ON r.lang = t.lang WHERE r.rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents
+), numbers AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM drawn
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high FROM numbers
+), parts AS (
+  SELECT doc_id, text, n, h4, array_to_string(units[1 : low], '') AS prefix, array_to_string(units[low + 1 : high], '') AS middle,
+         array_to_string(units[high + 1 :], '') AS suffix, text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 AS plain
+  FROM cut
+), formed AS (
+  SELECT *, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM parts
+)
+SELECT doc_id, n, form, CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM formed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op10_exact_dedup": OP10_SQL, "op11_exact_top_k": OP11_SQL, "op12_collocations": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
