@@ -187,15 +187,17 @@ def test_quality(spark):
     german = lambda: " ".join(rng.choice([*DE, f"etwas{rng.randint(0, 99)}", "wort", "ander"]) for _ in range(150)) + "."
     rows += [(300 + i, german(), "de") for i in range(60)] + [(209, german(), "en"), (210, rows[200 - 80][1], None)]  # another language than it says; junk without one
     rows += [(211, rows[0][1], "en"), (211, rows[0][1], "en")]  # repeated rows
+    odd = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 7)))
+    rows += [(212, " ".join(odd() for _ in range(200)) + ".", "en")]  # only its words are wrong
     docs = spark.createDataFrame([(*r, "c", 1, "d") for r in rows], "doc_id long, text string, lang string, n_words string, at int, carried string")
     got = {r["id"]: r for r in quality.quality(docs).collect()}
-    assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 203, 204, 205, 210} and len(got) == len(rows) - 1
+    assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 203, 204, 205, 210, 212} and len(got) == len(rows) - 1
     assert {i for i, r in got.items() if r["base_failed"]} == {202, 203, 204, 205} and got[200]["char_distance"] > quality.MOST_CHAR
     left = quality.accepted(docs)
     assert left.columns == docs.columns and Counter(r["doc_id"] for r in left.collect()) == Counter(r["id"] for r in quality.quality(docs).where("kept").collect())
     assert quality.quality(docs.limit(0)).count() == 0 and quality.accepted(docs.limit(0)).count() == 0
     # the callers' limits hold: with a wide one for words, only characters and base rules reject
-    assert {r["id"] for r in quality.quality(docs, most_word=1.0).where("not kept").collect()} < {200, 201, 202, 203, 204, 205, 210}
+    assert {r["id"] for r in quality.quality(docs, most_word=1.0).where("not kept").collect()} < {200, 201, 202, 203, 204, 205, 210, 212}
     assert quality.quality(docs, most_char=1.0, most_word=1.0).where("kept = base_failed").count() == 0
 
 
@@ -242,6 +244,42 @@ def test_every_language_has_a_reference(spark, share):
     assert {i for i, r in got.items() if not r["kept"]} == junk and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("size", [60, 1900, 2500])
+def test_a_small_language_frees_nothing(spark, size):
+    """Junk of a language, and junk without one, is rejected with a further language of the script as without."""
+    rng = random.Random(10)
+    letters = ALPHABETS["it"]
+    word = lambda few, many: "".join(rng.choice(letters) for _ in range(rng.randint(few, many)))
+    own = [word(1, 3) for _ in range(12)]
+    english = lambda n: " ".join(rng.choice([*EN, f"some{rng.randint(0, 999)}"]) for _ in range(n)) + "."
+    junk = lambda n: " ".join(word(4, 9) for _ in range(n)) + "."
+    other = lambda n: " ".join(rng.choice([*own, word(3, 8)]) for _ in range(n)) + "."
+    rows = [(i, english(150), "en") for i in range(100)]
+    rows += [(200 + k, junk(n), lang) for k, (n, lang) in enumerate((n, lang) for n in (60, 80, 94, 150) for lang in ("en", None))]
+    rows += [(220, "%%% ".join(english(60).split(" ")), None), (221, english(70), None)]
+    before = {r["id"] for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("not kept").collect()}
+    assert before == {*range(200, 208), 220}
+    rows += [(300 + k, other(n), "xx") for k, n in enumerate([size] if size < 100 else [100] * (size // 100))]
+    after = {r["id"] for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("not kept").collect()}
+    assert after == before
+
+
+def test_null_languages_and_small_references(spark):
+    """Without a language: a small reference may claim a text by its words and characters; where none of the
+    script has a say, characters decide."""
+    rng = random.Random(14)
+    letters = ALPHABETS["it"]
+    word = lambda few, many: "".join(rng.choice(letters) for _ in range(rng.randint(few, many)))
+    own = [word(1, 3) for _ in range(12)]
+    other = lambda n: " ".join(rng.choice([*own, *own, word(3, 8)]) for _ in range(n)) + "."
+    english = lambda n: " ".join(rng.choice([*EN, f"some{rng.randint(0, 999)}"]) for _ in range(n)) + "."
+    small = [(300 + k, other(100), "xx") for k in range(9)]
+    asked = [(1, other(100), None), (2, " ".join(word(4, 9) for _ in range(100)) + ".", None), (3, "%%% ".join(other(100).split(" ")), None)]
+    kept = lambda rows: {r["id"] for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("kept and id < 100").collect()}
+    assert kept([*small, *asked, *((500 + i, english(150), "en") for i in range(60))]) == {1}
+    assert kept([*small, *asked]) == {1, 2}
+
+
 def test_language_without_reference(spark, monkeypatch):
     """A language under the bound is judged by the base rules only."""
     rng = random.Random(8)
