@@ -9,11 +9,15 @@ runs and more batches come, they are compacted into one of the next level. At la
 fresh entries are merged with the sums of their updates, which gives in how many
 documents a line is found, and in which it stays. Only DataFrame operations are used.
 
+A document's lines are hashed once, with their places, and the places of those that go come
+back. So the work for a document grows with its lines (and their order's logarithm),
+however many of them are common.
+
 Lines in very many documents (store.HEAVY) are looked up by a broadcast of bounded size,
 so no task has all documents of such a line; the others by a merge join.
 
 Cases: a null or empty text is one empty line; a line that a document repeats counts
-once for it and all its copies share the verdict; documents are counted by row, so
+once for it and all its copies share the verdict; a text may have any number of common lines; documents are counted by row, so
 repeated rows count; rows with one id share the verdict; ids may be of any type that has
 an order; a null id is smaller than any other, and lines found under null ids only all
 stay; an empty table gives an empty result; further columns stay as they are, whatever
@@ -45,6 +49,14 @@ def line_hash(key: Column) -> Column:
     return F.substring(F.unhex(F.sha2(key, 256)), 1, HASH_BYTES)
 
 
+def found_lines(text: Column, min_chars: int) -> Column:
+    """Array of (hash, place, first) of a text's lines of ``min_chars`` and more: first in one of those with a hash."""
+    keys = F.filter(F.transform(lines_of(text), lambda x, i: F.struct(line_key(x).alias("key"), i.alias("place"))), lambda x: F.length(x["key"]) >= min_chars)
+    order = F.sort_array(F.transform(keys, lambda x: F.struct(line_hash(x["key"]).alias("hash"), x["place"].alias("place"))))
+    mark = lambda s: F.transform(s, lambda x, i: F.struct(x["hash"], x["place"], ((i == 0) | (F.get(s, i - 1)["hash"] != x["hash"])).alias("first")))
+    return F.transform(F.array(order), mark)[0]  # a variable of a lambda is made once
+
+
 class LineIndex:
     """Levels of sorted runs (hash, n_docs, last, fresh)."""
 
@@ -106,44 +118,51 @@ def line_dedup(
     shelf = Shelf(docs.sparkSession, "lines")
     batches = batches or batches_for(docs.count())
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    keys = F.filter(F.transform(lines_of(F.col("text")), line_key), lambda k: F.length(k) >= min_chars)
-    found = rows.select("id", F.explode(F.array_distinct(keys)).alias("key"))
-    found = found.select("id", line_hash(F.col("key")).alias("hash"), batch_of(F.col("id"), batches).alias("batch"))
+    keyed = rows.select("id", "text", _row_key())  # before its lines are made rows
+    found = keyed.select("id", "row", F.explode(found_lines(F.col("text"), min_chars)).alias("line"))
+    found = found.select("id", "row", "line.*", batch_of(F.col("id"), batches).alias("batch"))
     found = shelf.put(found, "found", ("batch",))
     index = LineIndex(shelf, fanout)
     for k in range(batches):
-        index.add(found.where(F.col("batch") == k).select("id", "hash"), more=k < batches - 1)
+        index.add(found.where((F.col("batch") == k) & F.col("first")).select("id", "hash"), more=k < batches - 1)
     common = shelf.put(index.totals().where((F.col("n_docs") >= min_docs) & F.col("last").isNotNull()), "common")
-    go = shelf.put(_decisions(found.select("id", "hash"), common, shelf), "go")
+    go = shelf.put(_decisions(found.select("id", "row", "hash", "place"), common, shelf), "go")
     for name in ("found", "common", "updates", *index.tables):
         shelf.drop(name)
     # only documents that may lose a line meet their decisions; a filter lets the others pass where they are
     touched, untouched = narrowed(rows, go, go.count(), shelf, "touched", "id")
-    result = _apply(touched.join(go.toDF("to", "go").hint("merge"), F.col("id").eqNullSafe(F.col("to")), "left"), min_chars, out)
+    ours = F.col("id").eqNullSafe(F.col("to_id")) & (F.col("row") == F.col("to_row"))
+    result = _apply(touched.withColumn("row", _row_key()).join(go.toDF("to_id", "to_row", "go").hint("merge"), ours, "left"), out)
     if untouched is not None:
-        result = result.unionByName(_apply(untouched.withColumn("go", F.lit(None).cast("array<binary>")), min_chars, out))
+        result = result.unionByName(_apply(untouched.withColumn("go", F.lit(None).cast("array<int>")), out))
     stay = [F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() != out.lower()]
     return result.select(*stay, out)
 
 
+def _row_key() -> Column:
+    """Tells rows with one id apart by their texts."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("row")
+
+
 def _decisions(found: DataFrame, common: DataFrame, shelf: Shelf) -> DataFrame:
-    """(id, go): the hashes of the common lines that a document loses."""
+    """(id, row, go): the places of the common lines that a document loses."""
     limit = found.count() // HEAVY
     heavy = F.broadcast(common.where(F.col("n_docs") > limit).select("hash", "last"))  # HEAVY rows at most
     light = common.where(F.col("n_docs") <= limit).select("hash", "last")
     rest, _ = narrowed(found.join(heavy, "hash", "left_anti"), light, light.count(), shelf, "light", "hash")
     each = found.join(heavy, "hash").unionByName(rest.join(light.hint("merge"), "hash"))
     each = each.where(~F.col("id").eqNullSafe(F.col("last")))
-    return each.groupBy("id").agg(F.collect_set("hash").alias("go"))
+    return each.groupBy("id", "row").agg(F.collect_set("place").alias("go"))
 
 
-def _apply(rows: DataFrame, min_chars: int, out: str) -> DataFrame:
+def _apply(rows: DataFrame, out: str) -> DataFrame:
     """rows: (doc, id, text, go)."""
-    lines, whole = lines_of(F.col("text")), F.coalesce(F.col("text"), F.lit(""))
-    gone = lambda x: (F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("go"), line_hash(line_key(x)))
-    rows = rows.withColumn("stay", F.when(F.col("go").isNotNull(), F.filter(lines, lambda x: ~gone(x))))
+    size = F.size(lines_of(F.col("text")))
+    left = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["go"])  # noqa: E731  by hash, in order
+    both = F.array(F.struct(lines_of(F.col("text")).alias("lines"), "go"))
+    stay = F.transform(both, lambda x: F.transform(left(x), lambda i: F.get(x["lines"], i)))[0]
     # every dropped line takes its \n with it; a text that loses all its lines is empty
-    text = F.when(F.col("go").isNull(), whole).otherwise(F.array_join("stay", "\n"))
-    dropped = F.when(F.col("go").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("stay"))
-    made = F.struct(F.size(lines).cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"), text.alias("text"))
+    text = F.when(F.col("go").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(stay, "\n"))
+    dropped = F.when(F.col("go").isNull(), F.lit(0)).otherwise(F.size("go"))
+    made = F.struct(size.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"), text.alias("text"))
     return rows.select("doc", made.alias(out))

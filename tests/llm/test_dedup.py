@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +152,16 @@ def test_lines_against_brute_force(spark):
     assert got[0]["lang"] == "en" and got[0]["n_lines"] == "y"  # further columns stay
 
 
+def test_very_many_common_lines(spark):
+    """Time grows with the lines: each of them is looked at once, however many are common."""
+    text = "\n".join(f"this is a common line of some length, number {k // 2}" for k in range(60_000))
+    rows = [(k, text) for k in range(6)] + [(9, text + "\nend"), (9, "begin\n" + text), (None, text), (None, "x\n" + text), (None, "x\n" + text)]
+    got = line_dedup(docs(spark, rows), min_chars=20).selectExpr("doc_id", "__lines.n_lines n", "__lines.n_dropped d", "substring(__lines.text, 1, 9) t").collect()
+    want = [(k, 60_000, 60_000, "") for k in range(6)] + [(9, 60_001, 0, "this is a"), (9, 60_001, 0, "begin\nthi")]
+    want += [(None, 60_000, 60_000, ""), (None, 60_001, 60_000, "x"), (None, 60_001, 60_000, "x")]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_lines_rows_of_one_id(spark):
     rows = [(7, "a common line"), (7, "a common line"), (None, "a common line"), (3, "a common line"), (None, "null only line"), (None, "null only line"), (None, "null only line")]
     got = line_dedup(docs(spark, rows), min_chars=5, min_docs=3).collect()
