@@ -3,15 +3,18 @@
 Documents become pieces: token ids, then an end id; only a document longer than the
 capacity is cut, into full pieces after a first one that may be shorter. A full piece
 is a sequence. All others are dealt by hash into shards of a bounded number of items.
-A shard is evolved on several islands: a solution is a set of bins; crossover injects
-whole well-filled bins of one parent into the other and takes out the bins that hold
-any of their items; mutation empties the emptiest bins and some others. Either way the
-displaced items are first exchanged for items of the bins left, where that fills a bin
-better, and then put back best-fit, largest first. After each epoch the islands' elites
-are written and the next island takes each in. The best island's solution stands. Its
-bins that are not well filled go on to the next level: whole bins are dealt into fewer
-shards, where they are an elite that the search starts from, so a level never takes more
-bins than it got. Levels end when one shard holds all that is left.
+A shard starts with best-fit decreasing. Its bins that are not well filled go on to the
+next level: whole bins are dealt into fewer shards, which start from them, so a level
+never takes more bins than it got. Levels end when one shard holds all that is left, or
+when another level would have as many shards.
+
+The last level's shards that have more bins than their items need at least are evolved
+on several islands: a solution is a set of bins; crossover injects whole well-filled
+bins of one parent into the other and takes out the bins that hold any of their items;
+mutation empties the emptiest bins and some others. Either way the displaced items are
+first exchanged for items of the bins left, where that fills a bin better, and then put
+back best-fit, largest first. After each epoch the islands' elites are written and the
+next island takes each in. The best island's solution stands.
 
 Cases: a null or empty text is one piece with the end id only; bytes that aren't UTF-8
 are encoded as U+FFFD; ids may be of any type; rows with one id are documents of their
@@ -237,26 +240,28 @@ def _island(capacity: int, generations: int):
     return run
 
 
-def _evolved(items: DataFrame, shards: int, shelf: Shelf, capacity: int, level: int) -> DataFrame:
-    """(slot, length, sequence_id, load, offset) of items (slot, length, bin); bin is a sequence that the
-    item is in already, -1 if in none. The items of a sequence go to one shard."""
+def _started(items: DataFrame, shards: int, shelf: Shelf, capacity: int, level: int) -> DataFrame:
+    """PLACED of items (slot, length, bin): best-fit decreasing, or the bins that came where they are no more;
+    bin is a sequence that the item is in already, -1 if in none. The items of a sequence go to one shard."""
     key = F.when(F.col("bin") < 0, F.col("slot")).otherwise(F.col("bin"))
-    dealt = items.select("slot", "length", "bin", F.pmod(F.xxhash64(key, F.lit(level)), F.lit(shards)).cast("long").alias("shard"))
-    # best-fit decreasing, or the bins that came, once for a shard; only shards above their bound are searched
-    seed = dealt.withColumn("island", F.lit(0).cast("long")).withColumn("role", F.lit(0))
-    seed = shelf.put(seed.groupBy("shard", "island").applyInPandas(_island(capacity, 0), PLACED), f"level{level}seed")
-    rows = seed.where("bins > least").select("slot", "length", "bin", "shard", F.lit(0).alias("role"))
+    shard = F.pmod(F.xxhash64(key, F.lit(level)), F.lit(shards)).cast("long").alias("shard")
+    dealt = items.select("slot", "length", "bin", shard, F.lit(0).cast("long").alias("island"), F.lit(0).alias("role"))
+    return shelf.put(dealt.groupBy("shard", "island").applyInPandas(_island(capacity, 0), PLACED), f"level{level}")
+
+
+def _evolved(started: DataFrame, shelf: Shelf, capacity: int) -> DataFrame:
+    """PLACED after the search: of the shards with more bins than the least; the others stay as they are."""
+    rows = started.where("bins > least").select("slot", "length", "bin", "shard", F.lit(0).alias("role"))
     rows = rows.withColumn("island", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ISLANDS - 1).cast("long"))))
     for epoch in range(EPOCHS):
-        done = shelf.put(rows.groupBy("shard", "island").applyInPandas(_island(capacity, GENERATIONS), PLACED), f"level{level}epoch{epoch}")
+        done = shelf.put(rows.groupBy("shard", "island").applyInPandas(_island(capacity, GENERATIONS), PLACED), f"epoch{epoch}")
         resident = done.select("slot", "length", "shard", "island", "bin", F.lit(0).alias("role"))
         migrant = done.select("slot", "length", "shard", ((F.col("island") + 1) % ISLANDS).alias("island"), "bin", F.lit(1).alias("role"))
         rows = resident.unionByName(migrant)
         if epoch:
-            shelf.drop(f"level{level}epoch{epoch - 1}")
+            shelf.drop(f"epoch{epoch - 1}")
     best = done.groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("best")).select("shard", F.col("best.island").alias("island"))
-    out = seed.where("bins <= least").unionByName(done.join(best, ["shard", "island"]))
-    return out.select("slot", "length", (F.lit(level << 56) + F.shiftleft("shard", 16) + F.col("bin")).alias("sequence_id"), "load", "offset")
+    return started.where("bins <= least").unionByName(done.join(best, ["shard", "island"]).select(*started.columns))
 
 
 def pack(items: DataFrame, shelf: Shelf, capacity: int = 2048) -> DataFrame:
@@ -266,14 +271,15 @@ def pack(items: DataFrame, shelf: Shelf, capacity: int = 2048) -> DataFrame:
     shards, level = max(1, -(-rows.count() // SHARD)), 0
     parts = [full]
     while True:
-        placed = shelf.put(_evolved(rows, shards, shelf, capacity, level), f"level{level}")
-        low = placed.where(F.col("load") < WELL * capacity)
+        started = _started(rows, shards, shelf, capacity, level)
+        sequence = (F.lit(level << 56) + F.shiftleft("shard", 16) + F.col("bin")).alias("sequence_id")
+        low = started.where(F.col("load") < WELL * capacity)
         fewer = -(-low.count() // SHARD) if shards > 1 else 0
         if not 0 < fewer < shards:  # one shard saw all that was left, or another level would see no more at once
-            parts.append(placed.select("slot", "sequence_id", "offset"))
+            parts.append(_evolved(started, shelf, capacity).select("slot", sequence, "offset"))
             return reduce(DataFrame.unionByName, parts)
-        parts.append(placed.where(F.col("load") >= WELL * capacity).select("slot", "sequence_id", "offset"))
-        rows = low.select("slot", "length", F.col("sequence_id").alias("bin"))
+        parts.append(started.where(F.col("load") >= WELL * capacity).select("slot", sequence, "offset"))
+        rows = low.select("slot", "length", sequence.alias("bin"))
         shards, level = fewer, level + 1
 
 
