@@ -17,13 +17,14 @@ from lexiloom.sources import writers as wr
 
 #: Further options of each command.
 OPTIONS = {
-    "build": ("pages", "answers", "types", "neighbors", "proposals"), "collect": ("pages",), "rebuild": (), "runs": (), "export": (), "impact": ("terms!", "pairs!"),
+    "build": ("pages", "answers", "types", "neighbors", "proposals", "stopwords", "excluded"), "collect": ("pages",), "rebuild": (), "runs": (), "export": (), "impact": ("terms!", "pairs!"),
     "prompts": ("kind!",), "replay": ("kind!", "answers!"), "apply": ("terms", "relations"), "gold-sample": ("out!", "size"), "gold": ("labels!",), "tune": ("neighbors!",), "validate": ("docs!", "key", "title", "category"),
 }
 FLAGS = {"build": ("skip-collect", "skip-llm", "skip-classification"), "apply": ("dry-run",)}
 HELP = {
     "pages": "a table of pages", "answers": "a table (build) or folder (replay) of stored answers", "types": "a table of term types", "neighbors": "a table of neighbours (term, other, similarity, rank)",
     "proposals": "a table of proposed pairs (a, b, score)", "kind": "classify, propose or judge", "terms": "a sheet or list of terms", "relations": "a sheet of relations", "pairs": "a list of pairs",
+    "stopwords": "a list of words that are no terms", "excluded": "a list of pairs that are never candidates",
 }
 
 
@@ -57,6 +58,10 @@ def run(build: Build, args: argparse.Namespace) -> list[DataFrame]:
     if args.command == "build":
         answers, types = None if args.skip_llm else read(args.answers), None if args.skip_classification else read(args.types)
         paths = {k: read(getattr(args, k)) for k in ("neighbors", "proposals") if getattr(args, k)}
+        if args.stopwords:
+            build.config.stopwords = (*build.config.stopwords, *(r["word"] for r in rd.read_list(build.spark, args.stopwords).collect()))
+        if args.excluded:
+            paths["excluded"] = rd.read_excluded_pairs(build.spark, args.excluded)
         return [build.run(None if args.skip_collect else read(args.pages), answers, types, **paths)]
     if args.command == "rebuild":
         return [build.rebuild().agg(F.count(F.lit(1)).alias("entries"))]

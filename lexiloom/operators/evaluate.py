@@ -29,7 +29,8 @@ def terms_sheet(terms: DataFrame, pairs: DataFrame, patterns: DataFrame, context
 def relations_sheet(pairs: DataFrame, relations: DataFrame, terms: DataFrame) -> DataFrame:
     """A row for each candidate pair with its relation, if any, and both ends' counts."""
     rel = relations.select(F.col("source").alias("a"), F.col("target").alias("b"), "relation_type", "confidence", "status", F.substring("reason", 1, 160).alias("reason"))
-    out = pairs.join(rel, ["a", "b"], "left")
+    own = pairs.withColumnRenamed("status", "candidate_status") if "status" in pairs.columns else pairs
+    out = own.join(rel, ["a", "b"], "left")
     for side in ("a", "b"):
         out = out.join(terms.select(F.col("term").alias(side), F.col("frequency").alias(f"frequency_{side}")), side, "left")
     return out.withColumn("pair_key", tx.pair_key(F.col("a"), F.col("b"))).withColumn("sources", F.array_join("sources", ",")).withColumn("remove", F.lit(""))

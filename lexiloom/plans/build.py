@@ -15,6 +15,7 @@ from lexiloom.operators import candidates as ca
 from lexiloom.operators import judgement as ju
 from lexiloom.operators import sync as sy
 from lexiloom.operators import terms as te
+from lexiloom.session import ship
 from lexiloom.sources import readers as rd
 from lexiloom.sources import writers as wr
 
@@ -55,6 +56,7 @@ class Build:
 
     def __init__(self, spark: SparkSession, folder: str, config: Config | None = None):
         self.spark, self.folder, self.config = spark, folder.rstrip("/"), config or Config()
+        ship(spark)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
@@ -67,6 +69,18 @@ class Build:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/_SUCCESS")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
+    def stopwords(self) -> tuple[str, ...]:
+        """Those of the settings, and the terms that reviews have removed (a list that people make)."""
+        removed = [r["value"] for r in self.spark.read.text(f"{self.folder}/stopwords").distinct().collect()] if self.has("stopwords") else []
+        return (*self.config.stopwords, *sorted(removed))
+
+    def excluded(self, more: DataFrame | None = None) -> DataFrame | None:
+        """(pair_key) of the pairs that reviews have removed, and of ``more``."""
+        if not self.has("excluded_pairs"):
+            return more
+        own = rd.read_excluded_pairs(self.spark, f"{self.folder}/excluded_pairs")
+        return own.union(more.select("pair_key")).distinct() if more is not None else own
+
     def collect(self, pages: DataFrame, run_id: str = "run") -> DataFrame:
         """Merges new versions of pages into the table of pages; gives the counts."""
         if self.has("pages"):
@@ -81,14 +95,14 @@ class Build:
         return self.put(sy.sync_counts(pages.withColumn("change", F.lit("created"))), f"sync/{run_id}")
 
     def preprocess(self) -> DataFrame:
-        c = self.config
+        c, stopwords = self.config, self.stopwords()
         clean = self.get("pages").withColumn("clean_text", tx.clean_text(F.col("body"), output=c.output)).where(F.length("clean_text") >= c.min_text)
         rows = te.sentences(clean, "page_id", "title", "clean_text", max_length=c.max_sentence, guards=c.guards)
         rows = rows.withColumn("normalized", tx.normalize_protected(F.col("sentence"), protected=c.protected))
         if c.analyser:  # an analyser's tokens, of the kept kinds; stems that are seen as such only are no terms
-            rows = te.tagged(rows, c.analyser, "normalized").withColumn("tokens", te.kept_tokens(F.col("tagged"), c.tags, c.stopwords))
+            rows = te.tagged(rows, c.analyser, "normalized").withColumn("tokens", te.kept_tokens(F.col("tagged"), c.tags, stopwords))
         else:
-            rows = rows.withColumn("tokens", tx.fallback_tokens(F.col("normalized"), c.stopwords))
+            rows = rows.withColumn("tokens", tx.fallback_tokens(F.col("normalized"), stopwords))
         base = self.put(rows.where(F.size("tokens") > 0), "sentences")
         if c.analyser:
             each = base.select(F.explode("tagged").alias("x")).select("x.token", F.upper("x.tag").isin(*te.STEM_TAGS).alias("stem"))
@@ -101,13 +115,13 @@ class Build:
         return merged
 
     def catalog(self) -> DataFrame:
-        c, rows = self.config, self.get("merged2")
+        c, rows, stopwords = self.config, self.get("merged2"), self.stopwords()
         # frames are taken from the processed sentence: placeholders and merged phrases as they were indexed
         processed = rows.withColumn("processed", F.array_join("tokens", " "))
-        self.put(te.term_contexts(processed, most=c.contexts, stopwords=c.stopwords, carried=("processed",)), "contexts")
+        self.put(te.term_contexts(processed, most=c.contexts, stopwords=stopwords, carried=("processed",)), "contexts")
         self.put(te.pattern_counts(self.get("contexts"), "processed"), "patterns")
         verbs = self.get("verbs") if c.analyser else None
-        return self.put(te.annotated(te.term_statistics(rows, stopwords=c.stopwords), verbs=verbs, min_ratio=c.min_ratio), "terms")
+        return self.put(te.annotated(te.term_statistics(rows, stopwords=stopwords), verbs=verbs, min_ratio=c.min_ratio), "terms")
 
     def shown(self) -> DataFrame:
         """(term, contexts): sentences of each term to show, of different frames and pages."""
@@ -137,9 +151,13 @@ class Build:
         if kind == "classify":
             rows = ju.parsed(answers, ju.CLASSIFIED, "results").groupBy(F.col("termKey").alias("term")).agg(F.max_by("termType", "batch").alias("term_type"))
             return self.put(rows, "types")
-        rows = ju.parsed(answers, ju.JUDGED, "results").withColumn("pair_key", F.coalesce(tx.pair_key(F.col("termA"), F.col("termB")), F.col("pairId")))
-        verdict = ("relationType", "confidence", "safeAToB", "safeBToA", "reason")
-        return self.put(rows.groupBy("pair_key").agg(*[F.max_by(v, "batch").alias(v) for v in verdict]), "answers")
+        rows = ju.parsed(answers, ju.JUDGED, "results")
+        rows = rows.withColumn("answer", F.struct("relationType", "confidence", "safeAToB", "safeBToA", "reason"))
+        by_id = ju.latest_answers(rows.where("pairId <> ''").withColumnRenamed("pairId", "pair_id"), "pair_id", "batch")
+        named = rows.where("termA is not null and termB is not null").withColumn("pair_key", tx.pair_key(F.col("termA"), F.col("termB")))
+        asked = self.get("candidates").select("pair_key", F.col("pair_key").alias("pair_id"))
+        found = ju.replayed(asked, by_id, ju.latest_answers(named, "pair_key", "batch"))
+        return self.put(found.where("not missing").select("pair_key", "answer.*"), "answers")
 
     def candidates(self, neighbors: DataFrame | None = None, proposals: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
         """neighbors (term, other, similarity, rank): any vector model's; proposals (a, b, score)."""
@@ -160,6 +178,7 @@ class Build:
             paths.append(ca.scored_pairs(own, "LLM_PROPOSED", "llm"))
         pairs = ca.fuse(paths)
         pairs = ca.corroborated(pairs) if c.need_corroboration else pairs
+        excluded = self.excluded(excluded)
         pairs = ca.without_excluded(pairs, excluded) if excluded is not None else pairs.withColumn("pair_key", tx.pair_key(F.col("a"), F.col("b")))
         pairs = self.put(pairs, "fused")
         if c.cap:

@@ -299,10 +299,10 @@ RELATIONS_SAVED = f"WITH {_RELATIONS} SELECT seq, source, target, relation_type,
 
 
 def relations_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ju.joined_relations(*_relations(spark, sf_dir), status="ACTIVE").select("source", "target", "relation_type", "similarity", "source_type", "target_type")
+    return ju.joined_relations(*_relations(spark, sf_dir), status="REVIEW").select("source", "target", "relation_type", "similarity", "source_type", "target_type")
 
 
-RELATIONS_JOINED = f"WITH {_RELATIONS} SELECT source, target, relation_type, similarity, s.term_type AS source_type, t.term_type AS target_type FROM re JOIN tm s ON source = s.term JOIN tm t ON target = t.term WHERE status = 'ACTIVE'"
+RELATIONS_JOINED = f"WITH {_RELATIONS} SELECT source, target, relation_type, similarity, s.term_type AS source_type, t.term_type AS target_type FROM re JOIN tm s ON source = s.term JOIN tm t ON target = t.term WHERE status = 'REVIEW'"
 
 
 def relations_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:

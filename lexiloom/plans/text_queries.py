@@ -178,11 +178,12 @@ CORPUS_SENTENCES = f"WITH {TOK} SELECT doc_id AS page_id, idx::INT AS sentence_i
 
 
 def verb_only_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    token = F.concat_ws("-", F.get_json_object("props", "$.k"), "user_id")
+    events = table(spark, sf_dir, "events").withColumn("k", token)
     return te.verb_only(events, "k", F.col("event_type").isin("click", "view", "signup", "purchase"))
 
 
-VERB_ONLY_TOKENS = "SELECT json_extract_string(props, '$.k') AS token FROM events GROUP BY 1 HAVING bool_and(event_type IN ('click', 'view', 'signup', 'purchase'))"
+VERB_ONLY_TOKENS = "SELECT concat_ws('-', json_extract_string(props, '$.k'), user_id) AS token FROM events GROUP BY 1 HAVING bool_and(event_type IN ('click', 'view', 'signup', 'purchase'))"
 
 
 def bigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

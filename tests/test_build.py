@@ -109,6 +109,42 @@ def test_requests_answers_and_review(spark, tmp_path):
     do("apply", "--terms", str(tmp_path / "terms.csv"), "--relations", str(tmp_path / "pairs.csv"))
     assert build.get("relations").count() == 0 and [r[0] for r in spark.read.text(f"{folder}/stopwords").collect()] == ["QX"]
     assert {r["active"] for r in build.get("typed_terms").where("term = 'QX'").collect()} == {False} and build.get("typed_terms").where("active").count() > 0
+    # the next build leaves out what the sheets have removed, and what the command's lists have
+    do("build", "--skip-collect")
+    assert build.get("terms").where("term = 'QX'").isEmpty() and not build.get("terms").where("term = '패밀리_오픈'").isEmpty()
+    pairs = {r["pair_key"] for r in build.get("candidates").collect()}
+    first, second = sorted(pairs)[:2]
+    assert not any("QX" in p.split("||") for p in pairs)
+    (tmp_path / "again.csv").write_text(f"remove,pair_key\nx,{first}\n", encoding="utf-8")
+    (tmp_path / "never.txt").write_text(f"{second} # no\n", encoding="utf-8")
+    (tmp_path / "words.txt").write_text("안내\n", encoding="utf-8")
+    do("apply", "--relations", str(tmp_path / "again.csv"))
+    do("build", "--skip-collect", "--excluded", str(tmp_path / "never.txt"), "--stopwords", str(tmp_path / "words.txt"))
+    left = {r["pair_key"] for r in build.get("candidates").collect()}
+    assert left and not left & {first, second} and build.get("terms").where("term = '안내'").isEmpty()
+
+
+def test_answers_by_id(spark, tmp_path):
+    """An answer that gives the pair's id only is taken, and the id counts more than the terms."""
+    build = Build(spark, str(tmp_path / "b"))
+    build.put(spark.createDataFrame([("a||b",), ("c||d",), ("e||f",), ("g||h",)], "pair_key string"), "candidates")
+    verdict = {"relationType": "RELATED", "confidence": "LOW", "safeAToB": False, "safeBToA": False, "reason": "r"}
+    results = [verdict | {"pairId": "a||b"}, verdict | {"pairId": "c||d", "confidence": "HIGH"}, verdict | {"termA": "f", "termB": "e"}, verdict | {"pairId": "a||b", "termA": "g", "termB": "h", "confidence": "HIGH"}, verdict | {"pairId": "zz"}]
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers" / "1.txt").write_text(json.dumps({"results": results[:3]}))
+    (tmp_path / "answers" / "2.txt").write_text(json.dumps({"results": results[3:]}))
+    got = {r["pair_key"]: r["confidence"] for r in build.replay("judge", str(tmp_path / "answers")).collect()}
+    assert got == {"a||b": "HIGH", "c||d": "HIGH", "e||f": "LOW", "g||h": "HIGH"}
+
+
+def test_sheets_have_one_column_of_a_name(spark):
+    from lexiloom.operators import evaluate as ev
+
+    pairs = spark.createDataFrame([("a", "b", ["X"], 1.0, "PENDING")], "a string, b string, sources array<string>, priority double, status string")
+    relations = spark.createDataFrame([("a", "b", "RELATED", "LOW", "REVIEW", "r")], "source string, target string, relation_type string, confidence string, status string, reason string")
+    sheet = ev.relations_sheet(pairs, relations, spark.createDataFrame([("a", 3), ("b", 2)], "term string, frequency long"))
+    row = sheet.first()
+    assert len(set(sheet.columns)) == len(sheet.columns) and (row["candidate_status"], row["status"], row["frequency_a"]) == ("PENDING", "REVIEW", 3)
 
 
 def test_validate(spark):
