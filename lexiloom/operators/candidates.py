@@ -88,14 +88,57 @@ def ppmi(counts: DataFrame, frequency: DataFrame, min_count: int = 1) -> DataFra
     return joined.select("term", "ctx", weight.alias("weight")).where("weight > 0")
 
 
-def profile_neighbors(weights: DataFrame, top: int = 10, rounded: int = 6) -> DataFrame:
-    """(term, other, similarity, rank) by cosine of sparse profiles: an equi-join on the context."""
-    weights = written(weights.sparkSession)(weights, "weights")
+#: Terms that a context may have before it is a heavy one; terms of a heavy context that meet a task's probes at once.
+LIGHT, SALT_TERMS = 512, 4096
+#: What rounding of sums may hide.
+SLACK = 2e-6
+
+
+def profile_neighbors(weights: DataFrame, top: int = 10, rounded: int = 6, light: int = LIGHT) -> DataFrame:
+    """(term, other, similarity, rank) by cosine of sparse profiles, without pairing all terms of a frequent context.
+
+    Weights are positive, so the sum over the light contexts (of ``light`` terms at most) is a lower
+    bound of a cosine: the top-th best of them is a term's floor. With h the length of what a profile has in
+    heavy contexts, a cosine is at most that sum and h of one end times h of the other. Pairs under
+    the floor go. Pairs that share heavy contexts only are looked for from the heaviest weights of a
+    term on, as long as what is left can reach its floor, and among other ends whose h can reach it;
+    a heavy context's terms are dealt into parts, so no task has all of them. What stays is summed
+    exactly."""
+    put = written(weights.sparkSession)
+    weights = put(weights, "weights")
     norm = weights.groupBy("term").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    unit = weights.join(norm, "term").select("term", "ctx", (F.col("weight") / F.col("norm")).alias("u"))
-    other = unit.select(F.col("term").alias("other"), "ctx", F.col("u").alias("v"))
-    dots = unit.join(other, "ctx").where("term <> other").groupBy("term", "other").agg(F.round(F.sum(F.col("u") * F.col("v")), rounded).alias("similarity"))
-    return top_neighbors(dots, top)
+    sizes = weights.groupBy("ctx").agg(F.count(F.lit(1)).alias("terms"))
+    unit = put(weights.join(norm, "term").join(sizes, "ctx").select("term", "ctx", (F.col("weight") / F.col("norm")).alias("u"), "terms"), "unit")
+    some, heavy = unit.where(F.col("terms") <= light), unit.where(F.col("terms") > light)
+    other = some.select(F.col("term").alias("other"), "ctx", F.col("u").alias("v"))
+    shared = some.join(other, "ctx").where("term <> other").groupBy("term", "other").agg(F.sum(F.col("u") * F.col("v")).alias("part"))
+    if heavy.isEmpty():
+        return top_neighbors(shared.select("term", "other", F.round("part", rounded).alias("similarity")), top)
+    shared, heavy = put(shared, "shared"), put(heavy, "heavy")
+    best = shared.withColumn("n", F.row_number().over(Window.partitionBy("term").orderBy(F.desc("part")))).where(F.col("n") <= top)
+    floors = best.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("floor")).select("term", F.when(F.col("n") >= top, F.col("floor")).otherwise(0.0).alias("floor"))
+    lengths = heavy.groupBy("term").agg(F.sqrt(F.sum(F.col("u") ** 2)).alias("h"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    ends = put(unit.select("term").distinct().join(floors, "term", "left").join(lengths, "term", "left").select("term", zero("floor"), zero("h")), "ends")
+    far = ends.select(F.col("term").alias("other"), F.col("h").alias("g"))
+    near = shared.join(ends, "term").join(far, "other").where(F.col("part") + F.col("h") * F.col("g") + SLACK >= F.col("floor")).select("term", "other", "part")
+    met = _heavy_pairs(heavy, ends).select("term", "other", F.lit(0.0).alias("part"))
+    pairs = put(near.unionByName(met).groupBy("term", "other").agg(F.max("part").alias("part")), "pairs")
+    rest = pairs.join(heavy.select("term", "ctx", "u"), "term").join(heavy.select(F.col("term").alias("other"), "ctx", F.col("u").alias("v")), ["other", "ctx"])
+    rest = rest.groupBy("term", "other").agg(F.sum(F.col("u") * F.col("v")).alias("rest"))
+    total = F.round(F.col("part") + F.coalesce("rest", F.lit(0.0)), rounded).alias("similarity")
+    return top_neighbors(pairs.join(rest, ["term", "other"], "left").select("term", "other", total), top)
+
+
+def _heavy_pairs(heavy: DataFrame, ends: DataFrame) -> DataFrame:
+    """(term, other) that share a heavy context and may reach the term's floor by heavy contexts alone."""
+    rows = heavy.join(ends, "term")
+    tail = Window.partitionBy("term").orderBy("u", F.desc("ctx")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("left", F.sqrt(F.sum(F.col("u") ** 2).over(tail)))  # the length from here on to the lightest
+    parts = F.ceil(F.col("terms") / SALT_TERMS).cast("int")
+    probes = rows.where(F.col("left") + SLACK >= F.col("floor")).select("term", "ctx", "floor", "h", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    held = rows.select(F.col("term").alias("other"), "ctx", F.col("h").alias("g"), F.pmod(F.xxhash64("term"), parts).cast("int").alias("part"))
+    return probes.join(held, ["ctx", "part"]).where((F.col("term") != F.col("other")) & (F.col("h") * F.col("g") + SLACK >= F.col("floor"))).select("term", "other").distinct()
 
 
 def top_neighbors(pairs: DataFrame, top: int) -> DataFrame:
@@ -114,7 +157,7 @@ def vector_neighbors(vectors: DataFrame, key: str = "term", vector: str = "vecto
     own = vectors.select(F.col(key).alias("term"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("blk"))
     ids = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
     left = own.select("term", "v", F.col("blk").alias("i"), F.explode(ids).alias("j"))
-    right = own.select("term", "v", F.explode(ids).alias("i"), F.col("blk").alias("j"))
+    right = own.select(F.col("term").alias("term"), F.col("v").alias("v"), F.explode(ids).alias("i"), F.col("blk").alias("j"))
     kind = dict(own.dtypes)["term"]
 
     def unit(rows: pd.DataFrame) -> np.ndarray:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
 from lexiloom.operators import candidates as ca
+from lexiloom.operators import embedding as em
 from lexiloom.operators import evaluate as ev
+from lexiloom.operators import index as ix
 from lexiloom.plans.inputs import BASKET, TERMS, baskets, part_terms, table, token_frequency
 from lexiloom.session import written
 
@@ -98,6 +100,22 @@ pn AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY similarity DESC,
 PPMI_NEIGHBORS = f"WITH {_PN} SELECT term, other, similarity, rank::INT AS rank FROM pn"
 
 
+# ---------------------------------------------------------------- factors of profiles
+def _factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return em.factors(_weights(spark, sf_dir), size=48)
+
+
+def factor_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours by the factors of the profiles' table, n-grams of the spelling added."""
+    vectors = em.with_subwords(_factors(spark, sf_dir), token_frequency(baskets(spark, sf_dir)).withColumnRenamed("n", "frequency"))
+    return ca.vector_neighbors(written(spark)(vectors, "vectors"), top=10, rounded=4)
+
+
+def factor_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the profiles' own neighbours the factors alone find."""
+    return ix.overlap(ca.vector_neighbors(written(spark)(_factors(spark, sf_dir), "vectors"), top=10), ppmi_neighbors(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- vectors
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("term"), F.col("embedding").alias("vector"))
@@ -107,6 +125,15 @@ def vector_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.vector_neighbors(_vectors(spark, sf_dir), top=10, rounded=5)
 
 
+def indexed_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ix.indexed_neighbors(_vectors(spark, sf_dir), top=10, rounded=5)
+
+
+def indexed_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index beside the exact way."""
+    return ix.recall(indexed_neighbors(spark, sf_dir), vector_neighbors(spark, sf_dir))
+
+
 _VN = """vu AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)),
 vd AS (SELECT x.vec_id AS term, y.vec_id AS other, round(list_dot_product(x.e, y.e) / (x.norm * y.norm), 5) AS similarity FROM vu x JOIN vu y ON x.vec_id <> y.vec_id),
 vn AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY similarity DESC, other) AS rank FROM vd QUALIFY rank <= 10)"""

@@ -1,8 +1,6 @@
 from pyspark.sql import functions as F
 
 from lexiloom.functions.variants import Variant, apply_variants, word_start
-from lexiloom.operators import candidates as ca
-from lexiloom.operators import embedding as em
 from lexiloom.operators import judgement as ju
 
 
@@ -14,15 +12,6 @@ def test_variants(spark):
     assert [tuple(r) for r in got] == [("적립금을 쓴다. 내포인트는 `포인트` 적립금이", 2), ("포인트를", 0), ("", 0), ("```\n포인트\n``` 적립금과", 1)]
 
 
-def test_vectors(spark):
-    df = spark.createDataFrame([(["a", "b", "c", "a", "b"],)] * 30, "tokens array<string>")
-    vectors = em.skip_gram(df, size=8, min_count=1, steps=1)
-    assert {len(r["vector"]) for r in vectors.collect()} == {8} and vectors.count() == 3
-    wide = em.with_subwords(vectors, size=16)
-    assert {len(r["vector"]) for r in wide.collect()} == {24}
-    assert ca.vector_neighbors(wide, top=1).count() == 3 and em.no_neighbors(vectors).count() == 0
-
-
 def test_selections(spark):
     pairs = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")
     terms = spark.createDataFrame([("a", 3, ""), ("z", 9, ""), ("c", 5, "x")], "term string, frequency int, excluded_reason string")
