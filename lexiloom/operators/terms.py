@@ -38,20 +38,30 @@ STEM_TAGS = ("VV", "VA")
 
 
 def tagged(rows: DataFrame, analyser: Callable[[list[str]], list[list[tuple[str, str]]]], text: str = "sentence") -> DataFrame:
-    """Adds tagged, an array of (token, tag): what ``analyser`` gives for a batch of sentences. A sentence
-    that it can't read has none."""
+    """Adds tagged, an array of (token, tag), what ``analyser`` gives for a batch of sentences, and tag_error. A
+    batch that fails is tried by sentences; one that can't be read has no tokens, and the error."""
 
-    @F.arrow_udf("array<struct<token:string,tag:string>>")
+    @F.arrow_udf("struct<tagged:array<struct<token:string,tag:string>>,tag_error:string>")
     def of(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            try:
-                out.append([{"token": m, "tag": g} for m, g in analyser([t or ""])[0]])
-            except Exception:  # noqa: BLE001  the sentence is left out, the others go on
-                out.append([])
-        return pa.array(out, pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())])))
-
-    return rows.withColumn("tagged", of(F.col(text)))
+        asked = [t or "" for t in texts.to_pylist()]
+        try:
+            out = [(told, None) for told in analyser(asked)]
+            if len(out) != len(asked):
+                raise ValueError(f"{len(out)} answers for {len(asked)} sentences")
+        except Exception:  # noqa: BLE001  each by itself: the sentence is left out, the others go on
+            out = [_tried(analyser, t) for t in asked]
+        each = pa.array([[{"token": m, "tag": g} for m, g in told] for told, _ in out], pa.list_(pa.struct([("token", pa.string()), ("tag", pa.string())])))
+        return pa.StructArray.from_arrays([each, pa.array([e for _, e in out], pa.string())], names=["tagged", "tag_error"])
+
+    rest = [c for c in rows.columns if c not in ("tagged", "tag_error")]
+    return rows.select(*rest, of(F.col(text)).alias("__t")).select(*rest, "__t.*")
+
+
+def _tried(analyser: Callable[[list[str]], list[list[tuple[str, str]]]], text: str) -> tuple[list[tuple[str, str]], str | None]:
+    try:
+        return analyser([text])[0], None
+    except Exception as e:  # noqa: BLE001  the row carries it
+        return [], f"{type(e).__name__}: {e}"[:500]
 
 
 def kept_tokens(tagged: Column, tags: Sequence[str] = KEPT_TAGS, stopwords: Sequence[str] = (), min_length: int = 1, min_stem: int = 2, delimiter: str = "_") -> Column:

@@ -9,9 +9,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.functions import lexicon as lx
 from lexiloom.functions import policy as po
 from lexiloom.functions import text as tx
 from lexiloom.operators import candidates as ca
+from lexiloom.operators import embedding as em
+from lexiloom.operators import index as ix
 from lexiloom.operators import judgement as ju
 from lexiloom.operators import sync as sy
 from lexiloom.operators import terms as te
@@ -48,6 +51,9 @@ class Config:
     proposed: int = 2000
     analyser: Callable[[list[str]], list[list[tuple[str, str]]]] | None = None
     tags: tuple[str, ...] = te.KEPT_TAGS
+    dictionary: str = ""  # a user dictionary's file, beside the one that the last build wrote
+    vectors: int = 0  # columns of a vector model of the build's own, 0 for none
+    indexed: bool = False  # its neighbours by an index
     names: dict[str, str] = field(default_factory=dict)
 
 
@@ -74,6 +80,12 @@ class Build:
         removed = [r["value"] for r in self.spark.read.text(f"{self.folder}/stopwords").distinct().collect()] if self.has("stopwords") else []
         return (*self.config.stopwords, *sorted(removed))
 
+    def phrases(self) -> lx.Lexicon:
+        """Words of several parts of the user dictionaries, which people review."""
+        paths = [p for p in (self.config.dictionary, f"{self.folder}/user_dictionary" if self.has("user_dictionary") else "") if p]
+        words = [r["surface"] for p in paths for r in rd.read_user_dictionary(self.spark, p).where("surface LIKE '% %'").select("surface").distinct().collect()]
+        return lx.Lexicon(words)
+
     def excluded(self, more: DataFrame | None = None) -> DataFrame | None:
         """(pair_key) of the pairs that reviews have removed, and of ``more``."""
         if not self.has("excluded_pairs"):
@@ -99,6 +111,9 @@ class Build:
         clean = self.get("pages").withColumn("clean_text", tx.clean_text(F.col("body"), output=c.output)).where(F.length("clean_text") >= c.min_text)
         rows = te.sentences(clean, "page_id", "title", "clean_text", max_length=c.max_sentence, guards=c.guards)
         rows = rows.withColumn("normalized", tx.normalize_protected(F.col("sentence"), protected=c.protected))
+        phrases = self.phrases()
+        if phrases.words:
+            rows = rows.withColumn("normalized", lx.joined(F.col("normalized"), phrases))
         if c.analyser:  # an analyser's tokens, of the kept kinds; stems that are seen as such only are no terms
             rows = te.tagged(rows, c.analyser, "normalized").withColumn("tokens", te.kept_tokens(F.col("tagged"), c.tags, stopwords))
         else:
@@ -168,6 +183,10 @@ class Build:
         weights = ca.ppmi(ca.cooccurrence(te.corpus(rows), window=c.window), terms.select("term", F.col("frequency").alias("n")).join(good, "term", "left_semi"), c.min_frequency)
         profile = ca.valid_neighbors(ca.profile_neighbors(weights, c.neighbors), terms, c.min_frequency)
         paths.append(ca.neighbor_pairs(profile, "CONTEXT_PROFILE", c.min_similarity))
+        if neighbors is None and c.vectors:
+            known = terms.join(good, "term", "left_semi").select("term", "frequency")
+            vectors = self.put(em.with_subwords(em.factors(weights, c.vectors), known), "vectors")
+            neighbors = (ix.indexed_neighbors if c.indexed else ca.vector_neighbors)(vectors, top=c.neighbors)
         if neighbors is not None:
             near = ca.neighbor_pairs(ca.valid_neighbors(neighbors, terms, c.min_frequency), "FASTTEXT", c.min_similarity)
             paths.append(ca.mutual_pairs(near, c.mutual, c.strong) if c.mutual else near)
