@@ -3,10 +3,12 @@ later command starts from tables and not from the pages."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions import lexicon as lx
@@ -62,10 +64,14 @@ class Build:
 
     def __init__(self, spark: SparkSession, folder: str, config: Config | None = None):
         self.spark, self.folder, self.config = spark, folder.rstrip("/"), config or Config()
+        self.counts: dict[str, int] = {}  # of what this object has written
         ship(spark)
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+    def put(self, df: DataFrame, name: str, **counts: Column) -> DataFrame:
+        """Writes a table; its rows, and further counts, are taken while it is written."""
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        self.counts |= {name if k == "rows" else k: v for k, v in seen.get.items()}
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:
@@ -100,11 +106,14 @@ class Build:
             synced = sy.version_sync(pages, old)
             changed = synced.where("change <> 'unchanged'").drop("change")
             self.put(old.join(changed, "page_id", "left_anti").unionByName(changed, allowMissingColumns=True), "pages_next")
-            counts = self.put(sy.sync_counts(synced), f"sync/{run_id}")
-            self.put(self.get("pages_next"), "pages")
+            counts = self.put(sy.sync_counts(synced), f"sync/{run_id}", changed=F.sum("changed"))
+            self.put(self.get("pages_next"), "pages", errors=self._failed(pages))
             return counts
-        self.put(pages, "pages")
-        return self.put(sy.sync_counts(pages.withColumn("change", F.lit("created"))), f"sync/{run_id}")
+        self.put(pages, "pages", errors=self._failed(pages))
+        return self.put(sy.sync_counts(pages.withColumn("change", F.lit("created"))), f"sync/{run_id}", changed=F.sum("changed"))
+
+    def _failed(self, rows: DataFrame) -> Column:
+        return F.count_if(F.col("error").isNotNull()) if "error" in rows.columns else F.lit(0).cast("long")
 
     def preprocess(self) -> DataFrame:
         c, stopwords = self.config, self.stopwords()
@@ -118,7 +127,9 @@ class Build:
             rows = te.tagged(rows, c.analyser, "normalized").withColumn("tokens", te.kept_tokens(F.col("tagged"), c.tags, stopwords))
         else:
             rows = rows.withColumn("tokens", tx.fallback_tokens(F.col("normalized"), stopwords))
-        base = self.put(rows.where(F.size("tokens") > 0), "sentences")
+        unread = {"unread": F.count_if(F.col("tag_error").isNotNull())} if c.analyser else {}
+        kept = F.size("tokens") > 0
+        base = self.put(rows.where(kept | F.col("tag_error").isNotNull() if c.analyser else kept), "sentences", **unread).where(kept)
         if c.analyser:
             each = base.select(F.explode("tagged").alias("x")).select("x.token", F.upper("x.tag").isin(*te.STEM_TAGS).alias("stem"))
             self.put(te.verb_only(each, "token", F.col("stem")), "verbs")
@@ -136,7 +147,8 @@ class Build:
         self.put(te.term_contexts(processed, most=c.contexts, stopwords=stopwords, carried=("processed",)), "contexts")
         self.put(te.pattern_counts(self.get("contexts"), "processed"), "patterns")
         verbs = self.get("verbs") if c.analyser else None
-        return self.put(te.annotated(te.term_statistics(rows, stopwords=stopwords), verbs=verbs, min_ratio=c.min_ratio), "terms")
+        terms = te.annotated(te.term_statistics(rows, stopwords=stopwords), verbs=verbs, min_ratio=c.min_ratio)
+        return self.put(terms, "terms", vocabulary=F.count_if(F.col("frequency") >= c.min_frequency))
 
     def shown(self) -> DataFrame:
         """(term, contexts): sentences of each term to show, of different frames and pages."""
@@ -213,11 +225,12 @@ class Build:
         verdicts = ju.judged(ju.matched(asked.where("not skipped").select("pair_key", "a", "b", "similarity"), got, "pair_key"), patterns)
         state = F.when(F.col("skipped"), "SKIPPED").when(F.col("__v").isNotNull(), "VALIDATED").otherwise("VALIDATION_FAILED")
         outcome = asked.join(verdicts.select("pair_key", F.lit(1).alias("__v")), "pair_key", "left").select("pair_key", state.alias("status"))
-        self.put(sy.merge_status(pairs, outcome, "pair_key"), "judged_candidates")
+        self.put(sy.merge_status(pairs, outcome, "pair_key"), "judged_candidates", validated=F.count_if(F.col("status") == "VALIDATED"))
         terms = self.get("terms")
         kinds = types.select("term", po.known(F.col("term_type"), ("ENTITY", "CONCEPT"), "UNKNOWN").alias("term_type")) if types is not None else terms.select("term", F.lit("UNKNOWN").alias("term_type")).limit(0)
         self.put(terms.join(kinds, "term", "left").fillna("UNKNOWN", ["term_type"]), "typed_terms")
-        return self.put(ju.directed(verdicts).select("source", "target", "relation_type", "confidence", "status", "safe_expansion", "similarity", "reason"), "relations")
+        each = {s.lower(): F.count_if(F.col("status") == s) for s in ("ACTIVE", "REVIEW", "REJECTED")}
+        return self.put(ju.directed(verdicts).select("source", "target", "relation_type", "confidence", "status", "safe_expansion", "similarity", "reason"), "relations", **each)
 
     def rebuild(self) -> DataFrame:
         terms, relations = self.get("typed_terms"), self.get("relations")
@@ -229,7 +242,8 @@ class Build:
         return entries
 
     def run(self, pages: DataFrame | None, answers: DataFrame | None = None, types: DataFrame | None = None, run_id: str = "run", **paths: DataFrame) -> DataFrame:
-        """One row of metrics; a failure is recorded and raised."""
+        """The run's record (wr.RUN_FIELDS); a failure is recorded and raised."""
+        began, self.counts, status, message = time.time(), {}, "COMPLETED", "done"
         try:
             if pages is not None:
                 self.collect(pages, run_id)
@@ -239,12 +253,22 @@ class Build:
             if answers is not None:
                 self.judge(answers, types)
                 self.rebuild()
-        except Exception:
-            self.put(self.spark.createDataFrame([(run_id, "FAILED")], "run_id string, status string"), f"runs/{run_id}")
+        except Exception as e:
+            status, message = "FAILED", f"{type(e).__name__}: {e}"[:2000]
             raise
-        names = {"documents": "pages", "sentences": "sentences", "contexts": "contexts", "terms": "terms", "candidates": "candidates"}
-        frames = {k: self.get(v) for k, v in names.items()}
-        if answers is not None:
-            relations = self.get("relations")
-            frames |= {s.lower(): relations.where(F.col("status") == s) for s in ("ACTIVE", "REVIEW", "REJECTED")}
-        return self.put(wr.run_record(run_id, {}, frames), f"runs/{run_id}")
+        finally:
+            record = self._record(run_id, began, status, message)
+        return record
+
+    def _record(self, run_id: str, began: float, status: str, message: str) -> DataFrame:
+        n = self.counts
+        n = n | {"phrases": n.get("phrases1", 0) + n.get("phrases2", 0), "failed": n.get("errors", 0) + n.get("unread", 0)}
+        counts = {f: n.get(stage, 0) for f, stage in wr.RUN_COUNTS.items()}
+        if "pages" not in n and self.has("pages"):  # collected before
+            counts["document_count"] = self.get("pages").count()
+        at = lambda t: datetime.fromtimestamp(t, UTC)
+        now = time.time()
+        values = {"run_id": run_id, "started_at": at(began), "completed_at": at(now), "status": status, "duration_seconds": round(now - began, 2), "message": message} | counts
+        row = self.spark.createDataFrame([tuple(values[f.split()[0]] for f in wr.RUN_FIELDS)], ", ".join(wr.RUN_FIELDS))
+        row.write.mode("overwrite").parquet(f"{self.folder}/runs/{run_id}")
+        return self.get(f"runs/{run_id}")

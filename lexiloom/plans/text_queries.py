@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.functions import lexicon as lx
 from lexiloom.functions import text as tx
+from lexiloom.operators import splitter as sp
 from lexiloom.operators import terms as te
 from lexiloom.plans.inputs import LIKE_SENTENCE, SENT, TERMS, TOK, page_sentences, page_tokens, part_terms, stored_tokens, table, texts
 from lexiloom.session import written
@@ -326,3 +328,29 @@ def removal_suggestion(spark: SparkSession, sf_dir: str) -> DataFrame:
 REMOVAL_SUGGESTION = f"""WITH {TERMS}, d AS (SELECT *, replace(term, '_', ' ') AS shown FROM terms)
 SELECT term, CASE WHEN length(replace(shown, ' ', '')) <= 1 THEN 'one character' WHEN regexp_matches(shown, '^[A-Za-z][A-Za-z0-9]*$') AND shown = lower(shown) THEN 'field name'
   WHEN regexp_matches(shown, '^[A-Za-z][A-Za-z0-9]*$') AND shown = upper(shown) THEN 'code value' WHEN frequency % 4 <= 1 AND frequency >= 5 THEN 'repeated phrase' ELSE '' END AS hint FROM d"""
+
+
+def abbreviation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp.abbreviation_scores(texts(spark, sf_dir)).withColumn("score", F.round("score", 3))
+
+
+ABBREVIATION_SCORES = r"""WITH t AS (SELECT unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '')) AS t FROM documents),
+e AS (SELECT lower(regexp_replace(t, '\.$', '')) AS word, t LIKE '%.' AS stop, regexp_matches(t, '^\p{L}+(\.\p{L}+)*\.?$') AS fine FROM t),
+a AS (SELECT count(*) AS total, count_if(stop) AS stops FROM e),
+w AS (SELECT word, count(*) AS n, count_if(stop) AS stopped FROM e WHERE fine GROUP BY 1 HAVING count_if(stop) > 0 AND word <> ''),
+l AS (SELECT *, length(regexp_replace(word, '[^.]', '', 'g')) AS inside, n - stopped AS open, stops::DOUBLE / total AS p FROM w, a)
+SELECT word, n::BIGINT AS n, stopped::BIGINT AS stopped, round(-2 * ((stopped * ln(p) + open * ln(1 - p)) - (stopped * ln(0.99) + open * ln(1 - 0.99)))
+  * exp(-(length(word) - inside)::DOUBLE) * (inside + 1) * pow((length(word) - inside)::DOUBLE, -open::DOUBLE), 3) + 0.0 AS score FROM l"""
+
+
+def lexicon_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often documents have the dictionary's phrases: the first three words of each benchmark text."""
+    words = table(spark, sf_dir, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("w")).distinct()
+    lexicon = lx.Lexicon(r["w"] for r in words.collect())  # a dictionary is held by the driver
+    found = texts(spark, sf_dir).select(F.explode(lx.matches(F.col("text"), lexicon)).alias("m"))
+    return found.groupBy(F.col("m.word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+LEXICON_MATCHES = r"""WITH d AS (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:3], ' ') AS word FROM benchmark),
+f AS (SELECT word, sum(len(regexp_extract_all(text, '(?:^|[^\p{L}\p{N}])' || regexp_escape(word)))) AS n FROM documents, d WHERE contains(text, word) GROUP BY 1)
+SELECT word, n::BIGINT AS n FROM f WHERE n > 0"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import random
 import re
@@ -12,7 +13,7 @@ from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from lexiloom.functions import policy as po
 
@@ -54,7 +55,25 @@ class PagedSource(DataSource):
     """spark.read.format("paged"): a paged listing behind a ``fetch(space, cursor)`` function.
 
     Options: fetch, as module:function that gives (rows, next cursor or None), and spaces, separated by
-    commas. A space is a partition; task retry is Spark's."""
+    commas. A space is a partition; task retry is Spark's.
+
+    As a stream (spark.readStream), a batch has ``pages`` pages of each space at most (100 by default), and the offsets,
+    which the checkpoint keeps, are cursors: a listing goes on where the last run ended. Option peek: as fetch, but
+    only its cursor counts (by default fetch itself, whose rows are then dropped). At the end of a
+    listing the last page's cursor is kept; when that page has a next one, or other rows than before, a later
+    run reads it again and goes on, so rows of that page may come twice."""
+
+    #: Functions in place of the options' names, see ``over``.
+    functions: dict[str, Callable] = {}
+
+    @classmethod
+    def over(cls, fetch: Callable, peek: Callable | None = None) -> type[PagedSource]:
+        """The source with its functions, which then need no module that all of Spark's processes can import."""
+
+        class Over(cls):
+            functions = {"fetch": fetch} | ({"peek": peek} if peek else {})
+
+        return Over
 
     @classmethod
     def name(cls) -> str:
@@ -64,7 +83,69 @@ class PagedSource(DataSource):
         return "space string, value string"
 
     def reader(self, schema: Any) -> DataSourceReader:
-        return _PagedReader(self.options)
+        return _PagedReader(dict(self.options) | self.functions)
+
+    def streamReader(self, schema: Any) -> DataSourceStreamReader:
+        return _PagedStream(dict(self.options) | self.functions)
+
+
+def loaded(name: str | Callable) -> Callable:
+    """The function module:name, or a function itself."""
+    import importlib
+
+    if callable(name):
+        return name
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+class _Stretch(InputPartition):
+    """Pages of a space from a cursor on, so many."""
+
+    def __init__(self, space: str, cursor: str | None, pages: int):
+        self.space, self.cursor, self.pages = space, cursor, pages
+
+
+class _PagedStream(DataSourceStreamReader):
+    """Offsets: for each space [cursor of the next page, the pages read in all, a mark of the last page at the end]."""
+
+    def __init__(self, options: dict):
+        self.options, self.at = options, None
+
+    def initialOffset(self) -> dict:
+        return {s: [None, 0, ""] for s in dict.fromkeys(self.options["spaces"].split(",")) if s}
+
+    def latestOffset(self) -> dict:
+        at = self.at or self.initialOffset()
+        self.at = {s: self._later(s, *at.get(s, [None, 0, ""])) for s in self.initialOffset()}
+        return self.at
+
+    def _later(self, space: str, cursor: str | None, read: int, end: str) -> list:
+        peek, mark = loaded(self.options.get("peek", self.options["fetch"])), ""
+        for _ in range(int(self.options.get("pages", "100"))):
+            rows, following = retried(peek, space, cursor)
+            if following is None:
+                mark = hashlib.sha256(repr(rows).encode()).hexdigest()[:16]
+                return [cursor, read + (mark != end), mark]
+            cursor, read = following, read + 1
+        return [cursor, read, ""]
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self.at = self.at or end
+        each = ((s, start.get(s, [None, 0, ""]), end[s]) for s in end)
+        return [_Stretch(s, a[0], b[1] - a[1]) for s, a, b in each if b[1] > a[1]]
+
+    def read(self, partition: _Stretch) -> Iterator[tuple]:
+        fetch, cursor = loaded(self.options["fetch"]), partition.cursor
+        for _ in range(partition.pages):
+            rows, cursor = retried(fetch, partition.space, cursor)
+            for r in rows:
+                yield (partition.space, r)
+            if cursor is None:
+                return
+
+    def commit(self, end: dict) -> None:
+        """Offsets are the checkpoint's."""
 
 
 class _PagedReader(DataSourceReader):
@@ -75,10 +156,7 @@ class _PagedReader(DataSourceReader):
         return [InputPartition(s) for s in dict.fromkeys(self.options["spaces"].split(",")) if s]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import importlib
-
-        module, _, name = self.options["fetch"].partition(":")
-        fetch, cursor = getattr(importlib.import_module(module), name), None
+        fetch, cursor = loaded(self.options["fetch"]), None
         while True:
             rows, cursor = retried(fetch, partition.value, cursor)
             for r in rows:

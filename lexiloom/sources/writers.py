@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Fixed names: the fields of a run's record.
+RUN_FIELDS = (
+    "run_id string", "started_at timestamp", "completed_at timestamp", "status string", "document_count long", "changed_document_count long",
+    "sentence_count long", "phrase_count long", "vocabulary_size long", "term_count long", "candidate_count long", "validated_count long",
+    "active_relation_count long", "review_relation_count long", "rejected_relation_count long", "error_count long", "duration_seconds double", "message string",
+)
+#: Which of a build's counts a field has.
+RUN_COUNTS = {
+    "document_count": "pages", "changed_document_count": "changed", "sentence_count": "sentences", "phrase_count": "phrases", "vocabulary_size": "vocabulary",
+    "term_count": "terms", "candidate_count": "candidates", "validated_count": "validated", "active_relation_count": "active",
+    "review_relation_count": "review", "rejected_relation_count": "rejected", "error_count": "failed",
+}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", cluster: list[str] | None = None) -> None:
     """A Parquet table; clustered by columns, if given, so that readers can skip."""
     (df.sortWithinPartitions(*cluster) if cluster else df).write.mode(mode).parquet(path)

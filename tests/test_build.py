@@ -21,7 +21,11 @@ def test_build(spark, tmp_path):
     types = spark.createDataFrame([("QX", "ENTITY"), ("패밀리_오픈", "ENTITY")], "term string, term_type string")
     near = spark.createDataFrame([("QX", "패밀리_오픈", 0.95, 1), ("패밀리_오픈", "QX", 0.95, 1)], "term string, other string, similarity double, rank int")
     record = build.run(pages(spark), answers, types, neighbors=near).first()
-    assert record["documents"] == 16 and record["active"] == 2
+    assert len(record) == 18 and (record["status"], record["message"], record["error_count"]) == ("COMPLETED", "done", 0)
+    tables = {"document_count": "pages", "sentence_count": "sentences", "term_count": "terms", "candidate_count": "candidates"}
+    assert {k: record[k] for k in tables} == {k: build.get(v).count() for k, v in tables.items()} and record["document_count"] == record["changed_document_count"] == 16
+    assert record["active_relation_count"] == 2 and record["phrase_count"] == build.get("phrases1").count() + build.get("phrases2").count() > 0
+    assert record["validated_count"] == 1 and 0 < record["vocabulary_size"] <= record["term_count"] and record["duration_seconds"] > 0
     terms = {r["term"] for r in build.get("terms").collect()}
     assert {"QX", "패밀리_오픈"} <= terms and "<DATE>" not in terms  # placeholders are no terms
     assert build.get("contexts").where("term = 'QX'").first()["processed"].startswith("QX") and build.get("contexts").where("processed LIKE '%<DATE>%'").count() > 0
@@ -35,6 +39,14 @@ def test_build(spark, tmp_path):
     assert (counts["updated"], counts["unchanged"]) == (1, 15) and build.get("pages").count() == 16
 
 
+def test_a_failed_run_is_recorded(spark, tmp_path):
+    build = Build(spark, str(tmp_path), Config(phrase_min=10**6))
+    with pytest.raises(Exception, match="no_such_column"):
+        build.run(pages(spark), None, neighbors=spark.range(1).withColumnRenamed("id", "no_such_column"))
+    record = build.get("runs/run").first()
+    assert record["status"] == "FAILED" and "no_such_column" in record["message"] and record["document_count"] == 16 and record["candidate_count"] == 0
+
+
 def words_and_stems(texts):
     """A stand-in for a morphological analyser: what ends in 합니다. is a stem; one sentence can't be read."""
     out = []
@@ -51,6 +63,7 @@ def test_build_with_an_analyser(spark, tmp_path):
     build.collect(pages(spark))
     build.preprocess()
     build.catalog()
+    assert build.counts["unread"] > 0 and build.get("sentences").where("tag_error LIKE '%unreadable%'").count() == build.counts["unread"]
     terms = {r["term"]: r["excluded_reason"] for r in build.get("terms").collect()}
     assert "로" not in terms and "<DATE>" not in terms and "공지를" in str(terms)
     assert {r["token"] for r in build.get("verbs").collect()} == {"확인", "시작"}
