@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -261,19 +261,24 @@ def probe(terms: DataFrame, neighbors: DataFrame, most: int = 400, top: int = 10
     return neighbors.where(F.col("rank") <= top).join(first, "term", "left_semi").join(good.select(F.col("term").alias("other")), "other", "left_semi").select("term", "other", "similarity", "rank")
 
 
-def degree_capped(pairs: DataFrame, cap: int, put, score: str = "priority") -> DataFrame:
+#: Pairs that one task scans at the end of degree_capped, at most.
+SCANNED = 1 << 20
+
+
+def degree_capped(pairs: DataFrame, cap: int, put, score: str = "priority", scanned: int = SCANNED) -> DataFrame:
     """What a scan from the best pair down accepts, if no end may have more than ``cap`` pairs.
 
     In rounds: a pair whose rank is within the capacity left at both ends must be accepted by
     the scan, for fewer better pairs than places are left at either; then capacities fall and pairs at full
-    ends go. Each round accepts the best pair left at least, mostly far more. ``put(df, name)`` writes
-    a round's tables."""
+    ends go. Each round accepts the best pair left at least, mostly far more. When no more than ``scanned`` pairs
+    are left, one task scans them, so a chain of pairs that each wait for the one before takes no round
+    for each. ``put(df, name)`` writes a round's tables."""
     if cap <= 0:
         return pairs
     order = (F.desc(score), F.col("a"), F.col("b"))
     rest = put(pairs.select("a", "b", score, F.lit(cap).alias("left_a"), F.lit(cap).alias("left_b")), "rest0")
     taken, step = [], 0
-    while not rest.isEmpty():
+    while (n := rest.count()) > scanned:
         step += 1
         ends = rest.select("a", "b", score, F.explode(F.array(F.struct(F.col("a").alias("end"), F.col("left_a").alias("left")), F.struct(F.col("b").alias("end"), F.col("left_b").alias("left")))).alias("e")).select("a", "b", score, "e.end", "e.left")
         ranked = ends.withColumn("ok", F.row_number().over(Window.partitionBy("end").orderBy(*order)) <= F.col("left"))
@@ -285,6 +290,27 @@ def degree_capped(pairs: DataFrame, cap: int, put, score: str = "priority") -> D
             own = used.select(F.col("end").alias(side), F.col("used").alias(f"used_{side}"))
             rest = rest.join(own, side, "left").withColumn(f"left_{side}", F.col(f"left_{side}") - F.coalesce(f"used_{side}", F.lit(0))).drop(f"used_{side}")
         rest = put(rest.where("left_a > 0 and left_b > 0").select("a", "b", score, "left_a", "left_b"), f"rest{step}")
+    if n:
+        taken.append(put(_scanned(rest.repartition(1).sortWithinPartitions(*order)), "scanned"))
     if not taken:
         return pairs.limit(0)
     return pairs.join(reduce(DataFrame.union, taken), ["a", "b"], "left_semi")
+
+
+def _scanned(rest: DataFrame) -> DataFrame:
+    """(a, b) that a scan in the rows' order accepts; rows: (a, b, ..., left_a, left_b), in one partition."""
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left: dict[object, int] = {}
+        for f in frames:
+            keep = []
+            for a, b, of_a, of_b in zip(f["a"], f["b"], f["left_a"], f["left_b"], strict=True):
+                x, y = left.setdefault(a, of_a), left.setdefault(b, of_b)
+                keep.append(x > 0 and y > 0)
+                if keep[-1]:
+                    left[a] -= 1
+                    left[b] -= 1
+            yield f.loc[keep, ["a", "b"]]
+
+    kinds = dict(rest.dtypes)
+    return rest.mapInPandas(scan, f"a {kinds['a']}, b {kinds['b']}")

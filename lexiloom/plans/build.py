@@ -23,6 +23,7 @@ from lexiloom.operators import terms as te
 from lexiloom.session import ship
 from lexiloom.sources import readers as rd
 from lexiloom.sources import writers as wr
+from lexiloom.sources.keyed import KeyedTable
 
 
 @dataclass
@@ -56,6 +57,7 @@ class Config:
     dictionary: str = ""  # a user dictionary's file, beside the one that the last build wrote
     vectors: int = 0  # columns of a vector model of the build's own, 0 for none
     indexed: bool = False  # its neighbours by an index
+    buckets: int = 64  # partitions of a new table of pages
     names: dict[str, str] = field(default_factory=dict)
 
 
@@ -99,25 +101,24 @@ class Build:
         own = rd.read_excluded_pairs(self.spark, f"{self.folder}/excluded_pairs")
         return own.union(more.select("pair_key")).distinct() if more is not None else own
 
+    def pages(self) -> DataFrame:
+        return KeyedTable(self.spark, f"{self.folder}/pages", ["page_id"]).read()
+
     def collect(self, pages: DataFrame, run_id: str = "run") -> DataFrame:
         """Merges new versions of pages into the table of pages; gives the counts."""
-        if self.has("pages"):
-            old = self.get("pages")
-            synced = sy.version_sync(pages, old)
-            changed = synced.where("change <> 'unchanged'").drop("change")
-            self.put(old.join(changed, "page_id", "left_anti").unionByName(changed, allowMissingColumns=True), "pages_next")
-            counts = self.put(sy.sync_counts(synced), f"sync/{run_id}", changed=F.sum("changed"))
-            self.put(self.get("pages_next"), "pages", errors=self._failed(pages))
-            return counts
-        self.put(pages, "pages", errors=self._failed(pages))
-        return self.put(sy.sync_counts(pages.withColumn("change", F.lit("created"))), f"sync/{run_id}", changed=F.sum("changed"))
+        table = KeyedTable(self.spark, f"{self.folder}/pages", ["page_id"], self.config.buckets)
+        synced = sy.version_sync(pages, table.read()) if table.exists() else pages.withColumn("change", F.lit("created"))
+        # written first, for the table changes under it; only partitions with a changed page are written again
+        synced = self.put(synced, "synced", errors=self._failed(pages))
+        table.put(synced.where("change <> 'unchanged'").drop("change"))
+        return self.put(sy.sync_counts(synced), f"sync/{run_id}", changed=F.sum("changed"))
 
     def _failed(self, rows: DataFrame) -> Column:
         return F.count_if(F.col("error").isNotNull()) if "error" in rows.columns else F.lit(0).cast("long")
 
     def preprocess(self) -> DataFrame:
         c, stopwords = self.config, self.stopwords()
-        clean = self.get("pages").withColumn("clean_text", tx.clean_text(F.col("body"), output=c.output)).where(F.length("clean_text") >= c.min_text)
+        clean = self.pages().withColumn("clean_text", tx.clean_text(F.col("body"), output=c.output)).where(F.length("clean_text") >= c.min_text)
         rows = te.sentences(clean, "page_id", "title", "clean_text", max_length=c.max_sentence, guards=c.guards)
         rows = rows.withColumn("normalized", tx.normalize_protected(F.col("sentence"), protected=c.protected))
         phrases = self.phrases()
@@ -172,7 +173,16 @@ class Build:
 
     def replay(self, kind: str, path: str) -> DataFrame:
         """Stored answers (files, later ones count more) of requests of a kind, as the stages take them."""
-        answers = rd.read_answers(self.spark, path).withColumnRenamed("file", "batch")
+        return self.replayed(kind, rd.read_answers(self.spark, path).withColumnRenamed("file", "batch"))
+
+    def ask(self, kind: str, client: Callable[[str], str]) -> DataFrame:
+        """Sends the requests of a kind to a model, a function of a request's text, and takes its answers as ``replay``
+        does. All answers and errors stay in a table; requests that failed have no answer."""
+        asked = self.spark.read.text(f"{self.folder}/prompts/{kind}", wholetext=True).select("batch", F.col("value").alias("prompt"))
+        told = self.put(ju.call_batches(asked, client), f"asked/{kind}", unanswered=F.count_if(F.col("error").isNotNull()))
+        return self.replayed(kind, told.where("answer is not null").select("batch", "answer"))
+
+    def replayed(self, kind: str, answers: DataFrame) -> DataFrame:
         if kind == "propose":
             return self.put(ju.proposals(answers, self.get("terms").where("excluded_reason = ''")), "proposals")
         if kind == "classify":
@@ -264,8 +274,8 @@ class Build:
         n = self.counts
         n = n | {"phrases": n.get("phrases1", 0) + n.get("phrases2", 0), "failed": n.get("errors", 0) + n.get("unread", 0)}
         counts = {f: n.get(stage, 0) for f, stage in wr.RUN_COUNTS.items()}
-        if "pages" not in n and self.has("pages"):  # collected before
-            counts["document_count"] = self.get("pages").count()
+        if KeyedTable(self.spark, f"{self.folder}/pages", ["page_id"]).exists():
+            counts["document_count"] = self.pages().count()  # of the table, which a run changes in part only
         at = lambda t: datetime.fromtimestamp(t, UTC)
         now = time.time()
         values = {"run_id": run_id, "started_at": at(began), "completed_at": at(now), "status": status, "duration_seconds": round(now - began, 2), "message": message} | counts

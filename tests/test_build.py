@@ -22,7 +22,7 @@ def test_build(spark, tmp_path):
     near = spark.createDataFrame([("QX", "패밀리_오픈", 0.95, 1), ("패밀리_오픈", "QX", 0.95, 1)], "term string, other string, similarity double, rank int")
     record = build.run(pages(spark), answers, types, neighbors=near).first()
     assert len(record) == 18 and (record["status"], record["message"], record["error_count"]) == ("COMPLETED", "done", 0)
-    tables = {"document_count": "pages", "sentence_count": "sentences", "term_count": "terms", "candidate_count": "candidates"}
+    tables = {"document_count": "synced", "sentence_count": "sentences", "term_count": "terms", "candidate_count": "candidates"}
     assert {k: record[k] for k in tables} == {k: build.get(v).count() for k, v in tables.items()} and record["document_count"] == record["changed_document_count"] == 16
     assert record["active_relation_count"] == 2 and record["phrase_count"] == build.get("phrases1").count() + build.get("phrases2").count() > 0
     assert record["validated_count"] == 1 and 0 < record["vocabulary_size"] <= record["term_count"] and record["duration_seconds"] > 0
@@ -36,7 +36,7 @@ def test_build(spark, tmp_path):
     states = {r["status"] for r in build.get("judged_candidates").collect()}
     assert states == {"VALIDATED", "VALIDATION_FAILED"}
     counts = build.collect(pages(spark).withColumn("version", F.when(F.col("page_id") == "p00", 2).otherwise(1).cast("long")), "second").first()
-    assert (counts["updated"], counts["unchanged"]) == (1, 15) and build.get("pages").count() == 16
+    assert (counts["updated"], counts["unchanged"]) == (1, 15) and build.pages().count() == 16
 
 
 def test_a_failed_run_is_recorded(spark, tmp_path):
@@ -96,6 +96,16 @@ def test_requests_answers_and_review(spark, tmp_path):
         (tmp_path / "proposed").mkdir(exist_ok=True)
         (tmp_path / "proposed" / f"{name}.txt").write_text(json.dumps(body), encoding="utf-8")
     assert [tuple(r) for r in do("replay", "--kind", "propose", "--answers", str(tmp_path / "proposed"))[0].collect()] == [("QX", "패밀리_오픈", 1.0)]
+    # the same by a function in place of files; one request fails
+    proposed = json.dumps({"pairs": [{"termAKey": "QX", "termBKey": "패밀리_오픈", "relationHint": "SAME", "confidence": "HIGH"}]})
+
+    def model(request):
+        if "termKey: QX " in request:
+            return f"Here: {proposed}"
+        raise TimeoutError("too slow")
+
+    assert [tuple(r) for r in build.ask("propose", model).collect()] == [("QX", "패밀리_오픈", 1.0)]
+    assert build.counts["unanswered"] == build.get("asked/propose").where("error = 'too slow'").count() == build.get("asked/propose").count() - 1 > 0
     build.candidates(proposals=build.get("proposals"))
     (tmp_path / "judged.txt").write_text("```json\n" + json.dumps({"results": [{"pairId": "QX||패밀리_오픈", "termA": "패밀리_오픈", "termB": "QX", "relationType": "EXACT_ALIAS", "confidence": "HIGH", "safeAToB": True, "safeBToA": True, "reason": "same"}]}) + "\n```", encoding="utf-8")
     (tmp_path / "kinds.txt").write_text(json.dumps({"results": [{"termKey": "QX", "termType": "entity", "entityType": "x", "reason": ""}]}), encoding="utf-8")

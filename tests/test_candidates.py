@@ -104,6 +104,19 @@ def test_degree_cap_is_the_scan(spark):
     pairs |= {(0, k): 0.5 for k in range(1, 11)}
     data = [(f"t{a:02}", f"t{b:02}", s) for (a, b), s in pairs.items()]
     df = spark.createDataFrame(data, "a string, b string, priority double")
-    for cap in (1, 3):
-        assert rows(ca.degree_capped(df, cap, written(spark)), "a", "b") == scan(data, cap)
-    assert ca.degree_capped(df, 0, None).count() == len(data) and ca.degree_capped(df.limit(0), 2, written(spark)).count() == 0
+    for cap, scanned in ((1, 0), (3, 0), (2, 40), (1, 1 << 20)):  # all in rounds, some of each, all scanned
+        assert rows(ca.degree_capped(df, cap, written(spark), scanned=scanned), "a", "b") == scan(data, cap)
+
+
+def test_a_chain_takes_no_round_for_each_pair(spark):
+    data = [(f"t{k:04}", f"t{k + 1:04}", 1.0 - k / 1000) for k in range(400)]
+    made = []
+    put = written(spark)
+    got = ca.degree_capped(spark.createDataFrame(data, "a string, b string, priority double"), 1, lambda df, name: made.append(name) or put(df, name), scanned=396)
+    assert rows(got, "a", "b") == scan(data, 1) == {(a, b) for k, (a, b, _) in enumerate(data) if k % 2 == 0} and len(made) < 10
+
+
+def test_nothing_to_cap(spark):
+    df = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 0.5)], "a string, b string, priority double")
+    data = df.collect()
+    assert ca.degree_capped(df, 0, None).count() == len(data) and ca.degree_capped(df.limit(0), 2, written(spark)).count() == 0 and ca.degree_capped(df.where('false'), 2, written(spark), scanned=0).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexiloom.operators import splitter as sp
 from lexiloom.sources import publishing as pb
 from lexiloom.sources import readers as rd
+from lexiloom.sources.keyed import KeyedTable
 
 MODULE = """
 import json, pathlib
@@ -83,6 +84,33 @@ def test_only_changed_rows_are_published(spark, shelf, tmp_path):
     assert publish(again, spark.read.parquet(store)) == (0, 0, 3)
 
 
+# ---------------------------------------------------------------- keyed tables
+def test_keyed_writes_touch_their_partitions_only(spark, tmp_path):
+    path, kind = str(tmp_path / "table"), "k long, v string"
+    frame = lambda rows, kind=kind: spark.createDataFrame(rows, kind)
+    table = KeyedTable(spark, path, ["k"], 8)
+    assert not table.exists()
+    want = {k: f"v{k}" for k in range(100)} | {None: "none"}
+    table.put(frame(list(want.items())))
+    files = lambda: {p.relative_to(path): p.stat().st_mtime_ns for p in (tmp_path / "table").glob("*/*.parquet")}
+    before = files()
+    table = KeyedTable(spark, path, ["k"], 99)  # the table's own number counts
+    assert table.buckets == 8 and len(before) == 8
+    touched = table.put(frame([(5, "new"), (None, "other")]))
+    want |= {5: "new", None: "other"}
+    stay = {p: t for p, t in before.items() if int(p.parts[0].split("=")[1]) not in touched}
+    assert 1 <= len(touched) <= 2 and len(stay) == 8 - len(touched) and stay.items() <= files().items()
+    table.add(frame([(5, "late"), (200, "added")]))
+    want |= {200: "added"}
+    assert {r["k"]: r["v"] for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert table.put(frame([])) == [] and table.read().columns == ["k", "v"]
+    table.put(frame([(7, "x", 1)], kind + ", more int"))
+    assert {(r["k"], r["more"]) for r in table.read().where("k in (7, 8)").collect()} == {(7, 1), (8, None)}
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="isn't a keyed table"):
+        KeyedTable(spark, str(tmp_path / "plain"), ["id"])
+
+
 # ---------------------------------------------------------------- splitter
 def lines():
     out = []
