@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.pretok import library_memo
@@ -246,11 +246,16 @@ def _started(items: DataFrame, shards: int, shelf: Shelf, capacity: int, level:
     key = F.when(F.col("bin") < 0, F.col("slot")).otherwise(F.col("bin"))
     shard = F.pmod(F.xxhash64(key, F.lit(level)), F.lit(shards)).cast("long").alias("shard")
     dealt = items.select("slot", "length", "bin", shard, F.lit(0).cast("long").alias("island"), F.lit(0).alias("role"))
-    return shelf.put(dealt.groupBy("shard", "island").applyInPandas(_island(capacity, 0), PLACED), f"level{level}")
+    return shelf.put(dealt.groupBy("shard", "island").applyInPandas(_island(capacity, 0), PLACED).select("*", _sequence(level)), f"level{level}")
 
 
-def _evolved(started: DataFrame, shelf: Shelf, capacity: int) -> DataFrame:
-    """PLACED after the search: of the shards with more bins than the least; the others stay as they are."""
+def _sequence(level: int) -> Column:
+    return (F.lit(level << 56) + F.shiftleft("shard", 16) + F.col("bin")).alias("sequence_id")
+
+
+def _evolved(started: DataFrame, shelf: Shelf, capacity: int, level: int) -> DataFrame:
+    """(slot, sequence_id, offset) after the search: of the shards with more bins than the least; the others
+    stay as they are."""
     rows = started.where("bins > least").select("slot", "length", "bin", "shard", F.lit(0).alias("role"))
     rows = rows.withColumn("island", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ISLANDS - 1).cast("long"))))
     for epoch in range(EPOCHS):
@@ -261,7 +266,8 @@ def _evolved(started: DataFrame, shelf: Shelf, capacity: int) -> DataFrame:
         if epoch:
             shelf.drop(f"epoch{epoch - 1}")
     best = done.groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("best")).select("shard", F.col("best.island").alias("island"))
-    return started.where("bins <= least").unionByName(done.join(best, ["shard", "island"]).select(*started.columns))
+    found = done.join(best, ["shard", "island"]).select("slot", _sequence(level), "offset")
+    return started.where("bins <= least").select("slot", "sequence_id", "offset").unionByName(found)
 
 
 def pack(items: DataFrame, shelf: Shelf, capacity: int = 2048) -> DataFrame:
@@ -272,14 +278,13 @@ def pack(items: DataFrame, shelf: Shelf, capacity: int = 2048) -> DataFrame:
     parts = [full]
     while True:
         started = _started(rows, shards, shelf, capacity, level)
-        sequence = (F.lit(level << 56) + F.shiftleft("shard", 16) + F.col("bin")).alias("sequence_id")
         low = started.where(F.col("load") < WELL * capacity)
         fewer = -(-low.count() // SHARD) if shards > 1 else 0
         if not 0 < fewer < shards:  # one shard saw all that was left, or another level would see no more at once
-            parts.append(_evolved(started, shelf, capacity).select("slot", sequence, "offset"))
+            parts.append(_evolved(started, shelf, capacity, level))
             return reduce(DataFrame.unionByName, parts)
-        parts.append(started.where(F.col("load") >= WELL * capacity).select("slot", sequence, "offset"))
-        rows = low.select("slot", "length", sequence.alias("bin"))
+        parts.append(started.where(F.col("load") >= WELL * capacity).select("slot", "sequence_id", "offset"))
+        rows = low.select("slot", "length", F.col("sequence_id").alias("bin"))
         shards, level = fewer, level + 1
 
 
