@@ -57,9 +57,8 @@ def guarded_confidence(kind: Column, confidence: Column, patterns_a: Column, pat
 
 
 def proposal_score(hint: Column, confidence: Column) -> Column:
-    h = F.when(hint == "SAME", 1.0).when(hint.isin("BROADER", "NARROWER"), 0.7).otherwise(0.5)
-    c = F.when(confidence == "HIGH", 1.0).when(confidence == "MEDIUM", 0.7).otherwise(0.4)
-    return F.round(h * c, 4)
+    told = lambda column, scores, other: F.coalesce(*[F.when(column == k, v) for k, v in scores.items()], F.lit(other))
+    return F.round(told(hint, HINT_SCORES, 0.5) * told(confidence, CONFIDENCE_SCORES, 0.4), 4)
 
 
 def stratum(sources: Column) -> Column:

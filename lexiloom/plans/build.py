@@ -38,6 +38,7 @@ class Config:
     stopwords: tuple[str, ...] = ()
     phrase_min: int = 5
     phrase_threshold: float = 10.0
+    forbidden: tuple[str, ...] = ()  # words that are no part of a phrase
     min_frequency: int = 1
     min_ratio: float = 0.0
     window: int = 5
@@ -138,6 +139,8 @@ class Build:
         for step in (1, 2):  # pairs, then triples over merged tokens
             phrases = self.put(te.phrase_scores(merged, "tokens", c.phrase_min, c.phrase_threshold).where(~F.col("a").isin(*tx.PLACEHOLDERS) & ~F.col("b").isin(*tx.PLACEHOLDERS)), f"phrases{step}")
             again = te.merged_tokens(merged.select("page_id", "sentence_index", "tokens"), phrases, ["page_id", "sentence_index"])
+            if c.forbidden:
+                again = again.withColumn("tokens", te.unmerge_forbidden(F.col("tokens"), c.forbidden))
             merged = self.put(base.drop("tokens").join(again, ["page_id", "sentence_index"]), f"merged{step}")
         return merged
 

@@ -140,3 +140,16 @@ def test_dictionary_and_vectors_in_a_build(spark, tmp_path):
     assert not build.get("terms").where("term = '쿠폰_발급'").isEmpty() and build.get("terms").where("term = '쿠폰'").isEmpty()
     assert build.get("vectors").count() == build.get("terms").where("excluded_reason = ''").count()
     assert build.get("fused").where("array_contains(sources, 'FASTTEXT')").count() > 0
+
+
+def test_forbidden_words_are_no_part_of_a_phrase(spark, tmp_path):
+    rows = [(f"p{i}", "S", f"제목 {i}", "<p>쿠폰 발급 안내 담당자 확인.</p><p>감사 로그 보관 기간 조회.</p>", 1) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id string, space_id string, title string, body string, version long")
+    terms = {}
+    for forbidden in ((), ("로그",)):
+        build = Build(spark, str(tmp_path / f"b{len(forbidden)}"), Config(phrase_min=2, phrase_threshold=0.01, forbidden=forbidden))
+        build.collect(pages)
+        build.preprocess()
+        terms[forbidden] = {t for r in build.get("merged2").select("tokens").collect() for t in r["tokens"]}
+    assert any("로그" in t.split("_") and "_" in t for t in terms[()])
+    assert "로그" in terms["로그",] and not any("로그" in t.split("_") and "_" in t for t in terms["로그",]) and any("_" in t for t in terms["로그",])
