@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.operators import evaluate as ev
+from lexiloom.operators import judgement as ju
 from lexiloom.operators import sync as sy
 from lexiloom.plans import review
 from lexiloom.plans.build import Build, Config
@@ -21,6 +22,11 @@ OPTIONS = {
     "prompts": ("kind!",), "replay": ("kind!", "answers!"), "apply": ("terms", "relations"), "gold-sample": ("out!", "size"), "gold": ("labels!",), "tune": ("neighbors!",), "validate": ("docs!", "key", "title", "category"),
 }
 FLAGS = {"build": ("skip-collect", "skip-llm", "skip-classification"), "apply": ("dry-run",)}
+#: Columns of the sheet of relations.
+SHEET = (
+    "remove", "display_a", "display_b", "similarity", "sources", "rank_ab", "rank_ba", "priority", "relation_type", "confidence", "state",
+    "expandable", "hint", "reason", "a", "b", "pair_key",
+)
 HELP = {
     "pages": "a table of pages", "answers": "a table (build) or folder (replay) of stored answers", "types": "a table of term types", "neighbors": "a table of neighbours (term, other, similarity, rank)",
     "proposals": "a table of proposed pairs (a, b, score)", "kind": "classify, propose or judge", "terms": "a sheet or list of terms", "relations": "a sheet of relations", "pairs": "a list of pairs",
@@ -45,9 +51,16 @@ def parser() -> argparse.ArgumentParser:
 
 
 def export(build: Build) -> None:
-    terms, pairs = build.get("terms"), build.get("candidates")
-    wr.write_sheet(ev.terms_sheet(terms, pairs, build.get("patterns"), build.get("contexts").withColumn("rank", F.col("rank") - 1)), f"{build.folder}/terms_sheet", "errorifexists")
-    wr.write_sheet(ev.relations_sheet(pairs, build.get("relations"), terms).drop("rank_ab", "rank_ba"), f"{build.folder}/relations_sheet", "errorifexists")
+    """Sheets of the terms that are in a pair, most frequent first, and of the pairs, best first."""
+    pairs, judged = build.get("candidates"), build.has("relations")  # before anything is judged, all pairs are unjudged
+    terms = build.get("typed_terms" if judged else "terms")
+    none = "source string, target string, relation_type string, confidence string, status string, safe_expansion boolean, reason string"
+    relations = build.get("relations") if judged else build.spark.createDataFrame([], none)
+    contexts = build.get("contexts").withColumn("rank", F.col("rank") - 1)
+    sheet = ev.terms_sheet(ju.involved(terms, pairs), pairs, build.get("patterns"), contexts)
+    wr.write_sheet(sheet.drop("excluded_reason").orderBy(F.desc("frequency"), "term"), f"{build.folder}/terms_sheet", "errorifexists")
+    sheet = ev.relations_sheet(pairs, relations, terms).select(*SHEET).orderBy(F.desc("priority"), "a", "b")
+    wr.write_sheet(sheet, f"{build.folder}/relations_sheet", "errorifexists")
 
 
 def run(build: Build, args: argparse.Namespace) -> list[DataFrame]:

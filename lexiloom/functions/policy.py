@@ -12,6 +12,7 @@ ACTIVE_TYPES = ("SAME_ENTITY", "EXACT_ALIAS", "ABBREVIATION")
 NEVER_EXPANDED = ("RELATED", "ANTONYM", "UNRELATED", "UNKNOWN")
 ENTITY_EXPANDED = ("SAME_ENTITY", "EXACT_ALIAS", "ALIAS", "ABBREVIATION")
 CONCEPT_EXPANDED = ("EXACT_ALIAS", "SYNONYM", "NEAR_SYNONYM", "ABBREVIATION")
+ENTITY_TYPES = ("PROJECT", "SYSTEM", "PRODUCT", "SERVICE", "ORGANIZATION", "PERSON", "LOCATION", "EVENT", "DOCUMENT", "DOMAIN_TERM", "OTHER")
 IDENTITY_TYPES = ("SAME_ENTITY", "EXACT_ALIAS", "ALIAS", "ABBREVIATION")
 STATUS_OF = {"HIGH": "ACTIVE", "MEDIUM": "REVIEW", "LOW": "REJECTED"}
 HINT_SCORES = {"SAME": 1.0, "BROADER": 0.7, "NARROWER": 0.7}

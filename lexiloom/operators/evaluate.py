@@ -17,9 +17,13 @@ def involvement(pairs: DataFrame) -> DataFrame:
 
 
 def terms_sheet(terms: DataFrame, pairs: DataFrame, patterns: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
-    """A row for each term to review: counts, hint, pairs, and two shortened contexts."""
+    """A row for each term to review: kinds, counts, hint, pairs, and two shortened contexts. Kinds that aren't known are empty."""
     rows = terms.join(involvement(pairs), "term", "left").join(patterns, "term", "left").fillna(0, ["pairs", "patterns"])
-    out = rows.select(F.lit("").alias("remove"), "term", tx.display_term(F.col("term")).alias("display"), "frequency", "document_frequency", "sentence_ratio", "excluded_reason", "pairs", "patterns", po.removal_hint(F.col("term"), F.col("patterns"), F.col("frequency")).alias("hint"))
+    kinds = [F.coalesce(F.col(c) if c in terms.columns else F.lit(None), F.lit("")).alias(c) for c in ("term_type", "entity_type")]
+    hint = po.removal_hint(F.col("term"), F.col("patterns"), F.col("frequency"))
+    out = rows.select(
+        F.lit("").alias("remove"), "term", tx.display_term(F.col("term")).alias("display"), *kinds, "frequency", "document_frequency", "sentence_ratio", "excluded_reason", "pairs", "patterns", hint.alias("hint")
+    )
     if contexts is None:
         return out
     shown = contexts.where("rank < 2").groupBy("term").agg(F.array_sort(F.collect_list(F.struct("rank", F.substring(F.btrim("sentence"), 1, 70).alias("s")))).alias("c"))
@@ -27,12 +31,16 @@ def terms_sheet(terms: DataFrame, pairs: DataFrame, patterns: DataFrame, context
 
 
 def relations_sheet(pairs: DataFrame, relations: DataFrame, terms: DataFrame) -> DataFrame:
-    """A row for each candidate pair with its relation, if any, and both ends' counts."""
-    rel = relations.select(F.col("source").alias("a"), F.col("target").alias("b"), "relation_type", "confidence", "status", F.substring("reason", 1, 160).alias("reason"))
+    """A row for each candidate pair with its relation, if any (state UNJUDGED, if none), whether it may expand
+    a search, a hint where it was rejected, and both ends' names and counts."""
+    safe = F.col("safe_expansion") if "safe_expansion" in relations.columns else F.lit(False)
+    rel = relations.select(F.col("source").alias("a"), F.col("target").alias("b"), "relation_type", "confidence", "status", F.when(safe, "yes").otherwise("").alias("expandable"), F.substring("reason", 1, 160).alias("reason"))
     own = pairs.withColumnRenamed("status", "candidate_status") if "status" in pairs.columns else pairs
     out = own.join(rel, ["a", "b"], "left")
     for side in ("a", "b"):
         out = out.join(terms.select(F.col("term").alias(side), F.col("frequency").alias(f"frequency_{side}")), side, "left")
+    out = out.withColumn("state", F.coalesce("status", F.lit("UNJUDGED"))).withColumn("hint", F.when(F.col("status") == "REJECTED", "judged unrelated").otherwise(""))
+    out = out.withColumns({f"display_{side}": tx.display_term(F.col(side)) for side in ("a", "b")}).fillna("", ["relation_type", "confidence", "expandable", "reason"])
     return out.withColumn("pair_key", tx.pair_key(F.col("a"), F.col("b"))).withColumn("sources", F.array_join("sources", ",")).withColumn("remove", F.lit(""))
 
 

@@ -83,6 +83,22 @@ def save_relations(rows: DataFrame, terms: DataFrame, key: Sequence[str] = ("sou
     return latest(rows, key, [F.desc(order)])
 
 
+def relation_id() -> Column:
+    """The id of a relation: of its ends and type, so that every run gives it the same."""
+    return F.md5(F.concat_ws("||", "source", "target", "relation_type"))
+
+
+def save_evidence(rows: DataFrame, terms: DataFrame, stored: DataFrame | None = None, evidence: str = "evidence") -> DataFrame:
+    """(relation_id, context_id), once each, of relations whose ends are both in the catalogue, beside what is stored.
+    A relation's evidence is that of all its rows, though its values are the last row's. No list, or one without
+    ids, gives no row; ids that are null are left out."""
+    known = terms.select(F.col("term")).distinct()
+    for side in ("source", "target"):
+        rows = rows.join(known.withColumnRenamed("term", side), side, "left_semi")
+    found = rows.select(relation_id().alias("relation_id"), F.explode(evidence).alias("context_id")).where("context_id IS NOT NULL")
+    return (found.union(stored.select("relation_id", "context_id")) if stored is not None else found).distinct()
+
+
 def without_terms(relations: DataFrame, terms: DataFrame, pairs: DataFrame) -> DataFrame:
     """Relations with neither end removed nor the pair."""
     for side in ("source", "target"):

@@ -150,14 +150,23 @@ class Build:
         processed = rows.withColumn("processed", F.array_join("tokens", " "))
         self.put(te.term_contexts(processed, most=c.contexts, stopwords=stopwords, carried=("processed",)), "contexts")
         self.put(te.pattern_counts(self.get("contexts"), "processed"), "patterns")
+        self.cascade()
         verbs = self.get("verbs") if c.analyser else None
         terms = te.annotated(te.term_statistics(rows, stopwords=stopwords), verbs=verbs, min_ratio=c.min_ratio)
         return self.put(terms, "terms", vocabulary=F.count_if(F.col("frequency") >= c.min_frequency))
 
     def shown(self) -> DataFrame:
-        """(term, contexts): sentences of each term to show, of different frames and pages."""
-        rows = te.diversified(self.get("contexts"), self.config.shown, base="processed")
-        return rows.groupBy("term").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"]).alias("contexts"))
+        """(term, contexts, context_ids): sentences of each term to show, of different frames and pages."""
+        rows = te.diversified(self.get("contexts"), self.config.shown, base="processed").withColumn("id", ju.context_id())
+        lists = rows.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("rank", "sentence", "id"))).alias("c"))
+        return lists.select("term", F.col("c.sentence").alias("contexts"), F.col("c.id").alias("context_ids"))
+
+    def cascade(self) -> None:
+        """Evidence goes with its context or its relation."""
+        if self.has("evidence"):
+            contexts = self.get("contexts").select(ju.context_id().alias("context_id"))
+            left = ju.cascaded(self.get("evidence"), contexts, self.get("relations"))
+            self.put(self.put(left, "cascaded"), "evidence")  # a table isn't written while it is read
 
     def prompts(self, kind: str) -> DataFrame:
         """Requests of a kind (classify, propose, judge) as text files, a folder for each, and their manifest."""
@@ -189,10 +198,11 @@ class Build:
         if kind == "propose":
             return self.put(ju.proposals(answers, self.get("terms").where("excluded_reason = ''")), "proposals")
         if kind == "classify":
-            rows = ju.parsed(answers, ju.CLASSIFIED, "results").groupBy(F.col("termKey").alias("term")).agg(F.max_by("termType", "batch").alias("term_type"))
+            rows = ju.parsed(answers, ju.CLASSIFIED, "results").groupBy(F.col("termKey").alias("term")).agg(F.max_by(F.struct("termType", "entityType"), "batch").alias("k"))
+            rows = rows.select("term", F.col("k.termType").alias("term_type"), F.col("k.entityType").alias("entity_type"))
             return self.put(rows, "types")
         rows = ju.parsed(answers, ju.JUDGED, "results")
-        rows = rows.withColumn("answer", F.struct("relationType", "confidence", "safeAToB", "safeBToA", "reason"))
+        rows = rows.withColumn("answer", F.struct("relationType", "confidence", "safeAToB", "safeBToA", "reason", "evidenceContextIds"))
         by_id = ju.latest_answers(rows.where("pairId <> ''").withColumnRenamed("pairId", "pair_id"), "pair_id", "batch")
         named = rows.where("termA is not null and termB is not null").withColumn("pair_key", tx.pair_key(F.col("termA"), F.col("termB")))
         asked = self.get("candidates").select("pair_key", F.col("pair_key").alias("pair_id"))
@@ -231,22 +241,37 @@ class Build:
         return self.put(pairs.withColumn("status", F.lit("PENDING")), "candidates")
 
     def judge(self, answers: DataFrame, types: DataFrame | None = None) -> DataFrame:
-        """answers (pair_key, relationType, confidence, safeAToB, safeBToA, reason), types (term, term_type)."""
+        """answers (pair_key, relationType, confidence, safeAToB, safeBToA, reason, evidenceContextIds), types (term,
+        term_type, entity_type); the last column of each may be missing. Evidence counts only if its context was shown."""
         pairs, patterns = self.get("candidates"), self.get("patterns")
         asked = ju.with_contexts(pairs, self.shown())
-        got = answers.select("pair_key", F.col("relationType").alias("relation_type"), "confidence", F.coalesce("safeAToB", F.lit(False)).alias("safe_ab"), F.coalesce("safeBToA", F.lit(False)).alias("safe_ba"), F.substring("reason", 1, 1000).alias("reason"))
-        verdicts = ju.judged(ju.matched(asked.where("not skipped").select("pair_key", "a", "b", "similarity"), got, "pair_key"), patterns)
+        told = F.col("evidenceContextIds") if "evidenceContextIds" in answers.columns else F.array().cast("array<bigint>")
+        got = answers.select(
+            "pair_key", F.col("relationType").alias("relation_type"), "confidence", F.coalesce("safeAToB", F.lit(False)).alias("safe_ab"), F.coalesce("safeBToA", F.lit(False)).alias("safe_ba"),
+            F.substring("reason", 1, 1000).alias("reason"), told.alias("told"),
+        )
+        offered = asked.where("not skipped").select("pair_key", "a", "b", "similarity", F.concat("context_ids_a", "context_ids_b").alias("offered"))
+        matched = ju.matched(offered, got, "pair_key").withColumn("evidence", ju.offered_only(F.col("told"), F.col("offered"))).drop("told", "offered")
+        verdicts = ju.judged(matched, patterns)
         state = F.when(F.col("skipped"), "SKIPPED").when(F.col("__v").isNotNull(), "VALIDATED").otherwise("VALIDATION_FAILED")
         outcome = asked.join(verdicts.select("pair_key", F.lit(1).alias("__v")), "pair_key", "left").select("pair_key", state.alias("status"))
         self.put(sy.merge_status(pairs, outcome, "pair_key"), "judged_candidates", validated=F.count_if(F.col("status") == "VALIDATED"))
         terms = self.get("terms")
-        kinds = types.select("term", po.known(F.col("term_type"), ("ENTITY", "CONCEPT"), "UNKNOWN").alias("term_type")) if types is not None else terms.select("term", F.lit("UNKNOWN").alias("term_type")).limit(0)
-        self.put(terms.join(kinds, "term", "left").fillna("UNKNOWN", ["term_type"]), "typed_terms")
+        if types is not None:
+            kind = po.known(F.col("term_type"), ("ENTITY", "CONCEPT"), "UNKNOWN")
+            of = F.when((kind == "ENTITY") & (F.col("entity_type") != ""), po.known(F.col("entity_type"), po.ENTITY_TYPES, "OTHER")) if "entity_type" in types.columns else F.lit(None).cast("string")
+            typed = terms.join(types.select("term", kind.alias("term_type"), of.alias("entity_type")), "term", "left")
+        else:
+            typed = terms.withColumns({"term_type": F.lit("UNKNOWN"), "entity_type": F.lit(None).cast("string")})
+        self.put(typed.fillna("UNKNOWN", ["term_type"]), "typed_terms")
         each = {s.lower(): F.count_if(F.col("status") == s) for s in ("ACTIVE", "REVIEW", "REJECTED")}
-        return self.put(ju.directed(verdicts).select("source", "target", "relation_type", "confidence", "status", "safe_expansion", "similarity", "reason"), "relations", **each)
+        columns = ("source", "target", "relation_type", "confidence", "status", "safe_expansion", "similarity", "reason")
+        rows = self.put(ju.directed(verdicts).select(sy.relation_id().alias("relation_id"), *columns, "evidence"), "verdicts")
+        self.put(sy.save_evidence(rows, terms), "evidence")
+        return self.put(rows.drop("evidence"), "relations", **each)
 
     def rebuild(self) -> DataFrame:
-        terms, relations = self.get("typed_terms"), self.get("relations")
+        terms, relations = self.get("typed_terms"), ju.with_evidence(self.get("relations"), self.get("evidence"))
         wr.write_review_queue(ju.review_queue(relations), f"{self.folder}/review_queue")
         entries = self.put(ju.dictionary(terms, relations), "dictionary")
         wr.write_dictionary(entries, f"{self.folder}/dictionary_json")

@@ -337,11 +337,12 @@ def review_terms_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = part_terms(spark, sf_dir).select("term", "frequency", (F.col("frequency") % 9).alias("document_frequency"), F.lit(1.0).alias("sentence_ratio"), F.lit("").alias("excluded_reason"))
     pairs = table(spark, sf_dir, "part").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("a"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("b")).distinct()
     patterns = terms.where("frequency % 2 = 0").select("term", (F.col("frequency") % 5).alias("patterns"))
-    return ev.terms_sheet(terms, pairs, patterns).select("term", "display", "frequency", "pairs", "patterns", "hint")
+    terms = terms.withColumn("entity_type", F.when(F.col("frequency") % 3 == 0, "SYSTEM"))
+    return ev.terms_sheet(terms, pairs, patterns).select("term", "display", "entity_type", "frequency", "pairs", "patterns", "hint")
 
 
 REVIEW_TERMS_SHEET = f"""WITH {TERMS}, pr AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM part), iv AS (SELECT term, count(*) AS pairs FROM (SELECT a AS term FROM pr UNION ALL SELECT b FROM pr) GROUP BY 1),
-s AS (SELECT term, replace(term, '_', ' ') AS display, frequency, coalesce(pairs, 0) AS pairs, CASE WHEN frequency % 2 = 0 THEN frequency % 5 ELSE 0 END AS patterns FROM terms LEFT JOIN iv USING (term))
+s AS (SELECT term, replace(term, '_', ' ') AS display, CASE WHEN frequency % 3 = 0 THEN 'SYSTEM' ELSE '' END AS entity_type, frequency, coalesce(pairs, 0) AS pairs, CASE WHEN frequency % 2 = 0 THEN frequency % 5 ELSE 0 END AS patterns FROM terms LEFT JOIN iv USING (term))
 SELECT *, CASE WHEN length(replace(display, ' ', '')) <= 1 THEN 'one character' WHEN regexp_matches(display, '^[A-Za-z][A-Za-z0-9]*$') AND display = lower(display) THEN 'field name'
 WHEN regexp_matches(display, '^[A-Za-z][A-Za-z0-9]*$') AND display = upper(display) THEN 'code value' WHEN patterns <= 1 AND frequency >= 5 THEN 'repeated phrase' ELSE '' END AS hint FROM s"""
 
@@ -349,11 +350,15 @@ WHEN regexp_matches(display, '^[A-Za-z][A-Za-z0-9]*$') AND display = upper(displ
 def review_relations_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, terms = _relations(spark, sf_dir)
     pairs = rows.select(F.col("source").alias("a"), F.col("target").alias("b")).distinct().where("a < b").withColumn("sources", F.array(F.lit("LEXICAL")))
-    sheet = ev.relations_sheet(pairs, rows.withColumn("reason", F.col("relation_type")), terms)
-    return sheet.select("pair_key", "relation_type", "status", "frequency_a", "frequency_b", "sources")
+    # a fifth of the relations is left out, so some pairs are unjudged
+    sheet = ev.relations_sheet(pairs, rows.where("seq % 5 <> 0").withColumn("reason", F.col("relation_type")), terms)
+    return sheet.select("pair_key", "display_a", "display_b", "relation_type", "state", "expandable", "hint", "frequency_a", "frequency_b", "sources")
 
 
-REVIEW_RELATIONS_SHEET = f"""WITH {_RELATIONS} SELECT source || '||' || target AS pair_key, relation_type, status, x.frequency AS frequency_a, y.frequency AS frequency_b, 'LEXICAL' AS sources FROM re JOIN tm x ON source = x.term JOIN tm y ON target = y.term WHERE source < target"""
+REVIEW_RELATIONS_SHEET = f"""WITH {_RELATIONS}, pr AS (SELECT DISTINCT source AS a, target AS b FROM re WHERE source < target), jd AS (SELECT * FROM re WHERE seq % 5 <> 0)
+SELECT a || '||' || b AS pair_key, a AS display_a, b AS display_b, coalesce(relation_type, '') AS relation_type, coalesce(status, 'UNJUDGED') AS state, CASE WHEN safe_expansion THEN 'yes' ELSE '' END AS expandable,
+CASE WHEN status = 'REJECTED' THEN 'judged unrelated' ELSE '' END AS hint, x.frequency AS frequency_a, y.frequency AS frequency_b, 'LEXICAL' AS sources
+FROM pr LEFT JOIN jd ON source = a AND target = b JOIN tm x ON a = x.term JOIN tm y ON b = y.term"""
 
 
 def _removed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -527,6 +532,31 @@ def evidence_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVIDENCE_CASCADE = "SELECT DISTINCT l_partkey AS context_id, l_orderkey AS relation_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE p_size > 25 AND o_orderstatus = 'O'"
 
 
+def relation_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of every relation whose ends are in the catalogue, from all of its rows."""
+    _, terms = _relations(spark, sf_dir)
+    rows = ju.directed(_judged(spark, sf_dir)).withColumn("evidence", F.array(F.col("o_orderkey") % 40, F.col("o_orderkey") % 7))
+    return sy.save_evidence(rows, terms)
+
+
+RELATION_EVIDENCE = f"""WITH {_RELATIONS} SELECT DISTINCT md5(source || '||' || target || '||' || relation_type) AS relation_id, unnest([seq % 40, seq % 7]) AS context_id
+FROM dr WHERE source IN (SELECT term FROM tm) AND target IN (SELECT term FROM tm)"""
+
+
+def evidence_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved relations with their evidence, of contexts and relations that are still there."""
+    rows, terms = _relations(spark, sf_dir)
+    contexts = table(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").cast("long").alias("context_id"))
+    rows = rows.where("status <> 'REJECTED'").withColumn("relation_id", sy.relation_id())
+    listed = ju.with_evidence(rows, ju.cascaded(relation_evidence(spark, sf_dir), contexts, rows))
+    return listed.select("source", "target", "relation_type", F.concat_ws(",", F.transform("evidence", lambda x: x.cast("string"))).alias("evidence"))
+
+
+EVIDENCE_LISTED = f"""WITH {_RELATIONS}, al AS (SELECT DISTINCT source, target, relation_type, unnest([seq % 40, seq % 7]) AS c FROM dr),
+ev AS (SELECT source, target, relation_type, string_agg(c::VARCHAR, ',' ORDER BY c) AS evidence FROM al JOIN nation ON c = n_nationkey WHERE n_regionkey <> 2 GROUP BY 1, 2, 3)
+SELECT source, target, relation_type, coalesce(evidence, '') AS evidence FROM re LEFT JOIN ev USING (source, target, relation_type) WHERE status <> 'REJECTED'"""
+
+
 def text_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexiloom.functions.variants import Variant, apply_variants, word_start
 

@@ -40,6 +40,7 @@ def apply_sheets(build: Build, terms: str | None = None, relations: str | None =
         wr.append_new(pairs.select(F.col("pair_key").alias("value")), build.spark, f"{build.folder}/excluded_pairs")
         for name, rows in (("relations", sy.without_terms(build.get("relations"), gone, pairs)), ("typed_terms", sy.deactivated(build.get("typed_terms"), gone))):
             build.put(build.put(rows, f"review/{name}"), name)  # a table isn't written while it is read
+        build.cascade()
     return impact
 
 

@@ -107,12 +107,40 @@ def test_requests_answers_and_review(spark, tmp_path):
     assert [tuple(r) for r in build.ask("propose", model).collect()] == [("QX", "패밀리_오픈", 1.0)]
     assert build.counts["unanswered"] == build.get("asked/propose").where("error = 'too slow'").count() == build.get("asked/propose").count() - 1 > 0
     build.candidates(proposals=build.get("proposals"))
-    (tmp_path / "judged.txt").write_text("```json\n" + json.dumps({"results": [{"pairId": "QX||패밀리_오픈", "termA": "패밀리_오픈", "termB": "QX", "relationType": "EXACT_ALIAS", "confidence": "HIGH", "safeAToB": True, "safeBToA": True, "reason": "same"}]}) + "\n```", encoding="utf-8")
-    (tmp_path / "kinds.txt").write_text(json.dumps({"results": [{"termKey": "QX", "termType": "entity", "entityType": "x", "reason": ""}]}), encoding="utf-8")
+    # sentences are shown by numbers; those that an answer names are its relation's evidence, if they were shown
+    ids = {r["term"]: r["context_ids"] for r in build.shown().collect()}
+    do("prompts", "--kind", "judge")
+    request = spark.read.text(f"{folder}/prompts/judge", wholetext=True).where("value LIKE '%pair QX||패밀리_오픈%'").first()["value"]
+    assert all(f"  - [{n}] " in request for n in (*ids["QX"], *ids["패밀리_오픈"]))
+    named = [ids["QX"][0], ids["패밀리_오픈"][-1], ids["QX"][0], 5]
+    do("export")
+    unjudged = spark.read.option("header", True).csv(f"{folder}/relations_sheet")
+    assert len(unjudged.columns) == 17 and {r["state"] for r in unjudged.collect()} == {"UNJUDGED"}
+    (tmp_path / "judged.txt").write_text("```json\n" + json.dumps({"results": [{"pairId": "QX||패밀리_오픈", "termA": "패밀리_오픈", "termB": "QX", "relationType": "EXACT_ALIAS", "confidence": "HIGH", "safeAToB": True, "safeBToA": True, "reason": "same", "evidenceContextIds": named}]}) + "\n```", encoding="utf-8")
+    (tmp_path / "kinds.txt").write_text(json.dumps({"results": [{"termKey": "QX", "termType": "entity", "entityType": "system", "reason": ""}, {"termKey": "패밀리_오픈", "termType": "ENTITY", "entityType": "x", "reason": ""}]}), encoding="utf-8")
     build.judge(build.replay("judge", str(tmp_path / "judged.txt")), build.replay("classify", str(tmp_path / "kinds.txt")))
     build.rebuild()
     written = [json.loads(r[0]) for r in spark.read.text(f"{folder}/dictionary_json").collect()]
     assert any(e["term"] == "QX" and e["relations"][0]["termKey"] == "패밀리_오픈" for e in written)
+    offered = sorted(set(named) - {5})
+    assert all(e["relations"][0]["evidenceContextIds"] == offered for e in written if e["relations"])
+    evidence = build.get("evidence").collect()
+    assert len(evidence) == 2 * len(offered) and {r["context_id"] for r in evidence} == set(offered) and {r["relation_id"] for r in evidence} == {r["relation_id"] for r in build.get("relations").collect()}
+    assert {r["term"]: r["entity_type"] for r in build.get("typed_terms").where("entity_type IS NOT NULL").collect()} == {"QX": "SYSTEM", "패밀리_오픈": "OTHER"}
+    # sheets: terms of pairs with both kinds, relations with what was decided
+    sheets = Build(spark, str(tmp_path / "sheets"))
+    for name in ("typed_terms", "candidates", "relations", "patterns", "contexts"):
+        sheets.put(build.get(name), name)
+    cli.export(sheets)
+    rows = spark.read.option("header", True).csv(f"{sheets.folder}/terms_sheet").collect()
+    assert len(rows[0]) == 12 and {r["term"]: (r["term_type"], r["entity_type"]) for r in rows}["QX"] == ("ENTITY", "SYSTEM")
+    row = spark.read.option("header", True).csv(f"{sheets.folder}/relations_sheet").where("pair_key = 'QX||패밀리_오픈'").first()
+    assert (row["display_b"], row["relation_type"], row["state"], row["expandable"], row["hint"]) == ("패밀리 오픈", "EXACT_ALIAS", "ACTIVE", "yes", None)
+    # a context that goes takes its evidence with it
+    sheets.put(build.get("evidence"), "evidence")
+    sheets.put(build.get("contexts").where("term <> 'QX'"), "contexts")
+    sheets.cascade()
+    assert {r["context_id"] for r in sheets.get("evidence").collect()} == {ids["패밀리_오픈"][-1]}
     assert ("패밀리 오픈", "NNP") in {tuple(r) for r in rd.read_user_dictionary(spark, f"{folder}/user_dictionary").collect()}
     # gold labels
     do("gold-sample", "--out", str(tmp_path / "gold"), "--size", "4")
@@ -130,7 +158,7 @@ def test_requests_answers_and_review(spark, tmp_path):
     (impact,) = do("apply", "--terms", str(tmp_path / "terms.csv"), "--dry-run")
     assert impact.first()["by_term"] == 2 and build.get("relations").count() == 2
     do("apply", "--terms", str(tmp_path / "terms.csv"), "--relations", str(tmp_path / "pairs.csv"))
-    assert build.get("relations").count() == 0 and [r[0] for r in spark.read.text(f"{folder}/stopwords").collect()] == ["QX"]
+    assert build.get("relations").count() == 0 == build.get("evidence").count() and [r[0] for r in spark.read.text(f"{folder}/stopwords").collect()] == ["QX"]
     assert {r["active"] for r in build.get("typed_terms").where("term = 'QX'").collect()} == {False} and build.get("typed_terms").where("active").count() > 0
     # the next build leaves out what the sheets have removed, and what the command's lists have
     do("build", "--skip-collect")
