@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.functions import variants as va
 from lexiloom.operators import evaluate as ev
 from lexiloom.operators import judgement as ju
 from lexiloom.operators import sync as sy
@@ -20,6 +21,7 @@ from lexiloom.sources import writers as wr
 OPTIONS = {
     "build": ("pages", "answers", "types", "neighbors", "proposals", "stopwords", "excluded"), "collect": ("pages",), "rebuild": (), "runs": (), "export": (), "impact": ("terms!", "pairs!"),
     "prompts": ("kind!",), "replay": ("kind!", "answers!"), "apply": ("terms", "relations"), "gold-sample": ("out!", "size"), "gold": ("labels!",), "tune": ("neighbors!",), "validate": ("docs!", "key", "title", "category"),
+    "variants": ("docs!", "out!", "rules", "column"),
 }
 FLAGS = {"build": ("skip-collect", "skip-llm", "skip-classification"), "apply": ("dry-run",)}
 #: Columns of the sheet of relations.
@@ -30,7 +32,7 @@ SHEET = (
 HELP = {
     "pages": "a table of pages", "answers": "a table (build) or folder (replay) of stored answers", "types": "a table of term types", "neighbors": "a table of neighbours (term, other, similarity, rank)",
     "proposals": "a table of proposed pairs (a, b, score)", "kind": "classify, propose or judge", "terms": "a sheet or list of terms", "relations": "a sheet of relations", "pairs": "a list of pairs",
-    "stopwords": "a list of words that are no terms", "excluded": "a list of pairs that are never candidates",
+    "rules": "a JSON list of rules of variants", "docs": "a table of documents", "stopwords": "a list of words that are no terms", "excluded": "a list of pairs that are never candidates",
 }
 
 
@@ -98,6 +100,9 @@ def run(build: Build, args: argparse.Namespace) -> list[DataFrame]:
         return [review.gold_figures(build, args.labels)]
     if args.command == "tune":
         return list(review.tune(build, read(args.neighbors)))
+    if args.command == "variants":
+        rules = "\n".join(r[0] for r in build.spark.read.text(args.rules).collect()) if args.rules else None  # a file that people make
+        return [review.vary(read(args.docs), args.out, va.rules_of(rules), args.column or "body")]
     return [review.validate(read(args.docs), args.key or "doc_id", args.title, args.category)]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import policy as po
 from lexiloom.functions import text as tx
+from lexiloom.functions import variants as va
 from lexiloom.operators import candidates as ca
 from lexiloom.operators import evaluate as ev
 from lexiloom.operators import sync as sy
@@ -69,6 +70,12 @@ def tune(build: Build, neighbors: DataFrame, grid: Sequence[tuple[float, int, in
     return ev.threshold_shares(near, "similarity", THRESHOLDS), ev.grid_counts(neighbors, terms.select("term", F.col("frequency").alias("n")), grid)
 
 
+def vary(docs: DataFrame, path: str, rules: list[va.Variant], column: str = "body") -> DataFrame:
+    """Writes documents with spelling variants in place of canonical terms; gives what each rule has changed."""
+    va.with_variants(docs, rules, column).write.mode("errorifexists").parquet(path)
+    return va.variant_counts(docs.sparkSession.read.parquet(path))
+
+
 def validate(docs: DataFrame, key: str = "doc_id", title: str | None = None, category: str | None = None, targets: dict[str, int] | None = None) -> DataFrame:
     """(problem, value, n) of a corpus: repeated and missing ids, repeated titles, categories off their targets."""
     problem = lambda name, rows, value, n: rows.select(F.lit(name).alias("problem"), F.col(value).cast("string").alias("value"), F.col(n).cast("long").alias("n"))
