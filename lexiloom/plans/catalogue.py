@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.plans import candidate_queries, relation_queries, text_queries
+from lexiloom.plans import candidate_queries, relation_queries, source_queries, text_queries
 
-MODULES = (text_queries, candidate_queries, relation_queries)
+MODULES = (text_queries, source_queries, candidate_queries, relation_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

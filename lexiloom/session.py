@@ -27,12 +27,17 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
-    """``put(df, name)``: writes a table in a folder of this call under the shared folder, and reads it.
-    The folder goes when the application ends."""
+def workplace(spark: SparkSession) -> str:
+    """A new folder under the shared folder, which goes when the application ends."""
     folder = f"{shared_root(spark)}/tables-{uuid.uuid4().hex}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return folder
+
+
+def written(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+    """``put(df, name)``: writes a table in a folder of this call under the shared folder, and reads it."""
+    folder = workplace(spark)
 
     def put(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
