@@ -111,6 +111,15 @@ def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced(spark, sf_dir, tx.normalize_protected)
 
 
+#: Protected spans as one pattern; a span gets a character of its own (of the private use area), unless it is a date.
+_SPAN = r"(?:[A-Za-z]*[A-Z]{2}[0-9]+(?:\.[0-9]+)+|[A-Za-z]*(?:[A-Z]{2}[0-9]+|K8s)(?:[A-Za-z]+[0-9]+(?:\.[0-9]+)*)*[A-Za-z]*|[A-Za-z]+[0-9]+(?:\.[0-9]+)*|[0-9]+(?:\.[0-9]+)+)+"
+NORMALIZE_FULL = rf"""WITH p AS (SELECT doc_id, string_split_regex(text, '{_SPAN}') AS gaps, regexp_extract_all(text, '{_SPAN}') AS held FROM documents),
+h AS (SELECT doc_id, held, array_to_string(list_transform(gaps, lambda g, i: g || CASE WHEN i > len(held) THEN '' WHEN regexp_full_match(held[i], '{_LONG_DATE}') THEN held[i] ELSE chr(57344 + i::INT) END), '') AS text FROM p),
+n AS (SELECT doc_id, held, regexp_replace({_CLOCK.format(_CLOCK.format(_DATED))}, '\b[0-9]{{2,}}(?:,[0-9]{{3}})*(?:\.[0-9]+)?\b', '<NUMBER>', 'g') AS text FROM h),
+r AS (SELECT doc_id, held, string_split_regex(text, '[\x{{E000}}-\x{{F8FF}}]') AS gaps, regexp_extract_all(text, '[\x{{E000}}-\x{{F8FF}}]') AS ids FROM n)
+SELECT doc_id, array_to_string(list_transform(gaps, lambda g, i: g || CASE WHEN i > len(ids) THEN '' ELSE held[unicode(ids[i]) - 57344] END), '') AS normalized FROM r"""
+
+
 def placeholder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = tx.normalize_times(tx.normalize_emails(tx.normalize_urls(F.col("text"))))
     rows = texts(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(text, F.lit("(<(?:URL|EMAIL|TIME)>)"), F.lit(1))).alias("placeholder"))
