@@ -18,7 +18,7 @@ from lexiloom.llm.pii import find_spans, redact
 from lexiloom.llm.pretok import vocab_path
 from lexiloom.llm.quality import accepted
 from lexiloom.llm.simhash import near_dedup
-from lexiloom.llm.store import Shelf, small_batches
+from lexiloom.llm.store import Shelf, narrowed, small_batches
 
 
 def _with_text(docs: DataFrame, text: object, columns: list[str]) -> DataFrame:
@@ -44,8 +44,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that with the smallest id: an id's rows share the verdict."""
-    go = near_dedup(docs).where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__go")).distinct()
-    return docs.join(go, docs["doc_id"] == go["__go"], "left_anti")
+    shelf = Shelf(spark, "copies")
+    go = near_dedup(docs).where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    go = shelf.put(go, "go")
+    # only documents that a filter says may go are shuffled; the others stay where they are
+    may, stay = narrowed(docs, go, go.count(), shelf, "may_go", "doc_id")
+    kept = may.join(go, "doc_id", "left_anti")
+    return (kept if stay is None else kept.unionByName(stay)).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
