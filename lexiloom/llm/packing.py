@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.pretok import library_memo
-from lexiloom.llm.store import Shelf, small_batches, whole_text
+from lexiloom.llm.store import Shelf, small_batches, trimmed, whole_text
 
 #: Items of a shard (on average), islands, epochs, and the population and generations of an epoch.
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 10
@@ -189,7 +189,7 @@ def pieces_of(docs: DataFrame, vocab: str, end_id: int = 0, capacity: int = 2048
         from pyspark import TaskContext
 
         slot = TaskContext.get().partitionId() << 36
-        for b in batches:
+        for b in trimmed(batches):
             flat, counts = library_memo(vocab)(b.column(1).to_pylist())
             flat = flat.astype("<u4")
             rows, parts, places, at = [], [], [], 0

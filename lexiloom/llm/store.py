@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +88,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def trimmed(batches: Iterator[pa.RecordBatch], every: int = 4) -> Iterator[pa.RecordBatch]:
+    """The batches of a Python worker's task. What was freed, by other operators in this worker too, goes back
+    to the system before the first and then every few batches, so that it isn't the executor's any longer."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    for k, batch in enumerate(batches):
+        if k % every == 0:
+            pa.default_memory_pool().release_unused()
+            if trim is not None:
+                trim(0)
+        yield batch
+
+
 def whole_text(text: Column) -> Column:
     """The text for a Python operator: null is the empty text, and bytes that aren't UTF-8 are U+FFFD
     (Python can't take them)."""
