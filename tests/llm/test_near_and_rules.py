@@ -293,6 +293,36 @@ def test_language_without_reference(spark, monkeypatch):
     assert sum(not r["kept"] for r in got.values()) == 1
 
 
+@pytest.mark.parametrize("langs", [1, 3])
+def test_rare_languages_are_judged_alike(spark, monkeypatch, langs):
+    """Languages under the bound have references too: verdicts don't hang on the bound."""
+    rng = random.Random(15)
+    rows = [(i, " ".join(rng.choice([*EN, *EN, f"some{rng.randint(0, 999)}"]) for _ in range(150)) + ".", "en") for i in range(90)]
+    rows += [(90 + k, t, lang) for k, (t, lang) in enumerate([(rows[0][1], "it"), (rows[1][1], None), ("%%% ".join(rows[2][1].split(" ")), "it"), ("%%% ".join(rows[3][1].split(" ")), None), (None, "it"), ("", "none"), ("1 2 " * 5, "digits")])]
+    junk = set()
+    for j, (lang, letters) in enumerate(ALPHABETS.items()):
+        word = lambda few, many, a=letters: "".join(rng.choice(a) for _ in range(rng.randint(few, many)))
+        common = [word(1, 3) for _ in range(12)]
+        say = lambda n, c=common, w=word: " ".join(rng.choice([*c, w(3, 8)]) for _ in range(n)) + "."
+        first = 1000 * (j + 1)
+        rows += [(first + i, say(120), lang) for i in range(25 if j % 2 else 4)] + [(first + 500, say(60), None), (first + 501, say(60), "en")]
+        rows += [(first + 600, "%%% ".join(say(120).split(" ")), lang), (first + 601, " ".join(word(6, 9) for _ in range(200)), lang), (first + 602, " ".join(word(6, 9) for _ in range(200)), None)]
+        junk |= {first + 600, first + 601} if j % 2 else set()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told = lambda: {r["id"]: r for r in quality.quality(docs).collect()}
+    wide = told()
+    few = quality.common_words
+    monkeypatch.setattr(quality, "common_words", lambda *a: few(*a, langs=langs))
+    got = told()
+    assert len(few(docs, langs=langs)) == (langs > 1) and got.keys() == wide.keys() and len(got) == len(rows)
+    assert {i for i, r in got.items() if r["kept"]} == {i for i, r in wide.items() if r["kept"]}
+    assert junk <= {i for i, r in got.items() if not r["kept"]}
+    # what no reference keeps has the nearest's distances, and all else the same figures
+    same = lambda r: [r[c] for c in quality.BASE] + ([] if r["kept"] or r["base_failed"] else [round(r[c], 9) for c in quality.DISTANCES])
+    assert {i: same(r) for i, r in got.items()} == {i: same(r) for i, r in wide.items()}
+    assert {r["doc_id"] for r in quality.accepted(docs).collect()} == {i for i, r in wide.items() if r["kept"]}
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
