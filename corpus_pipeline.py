@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.line_dedup import line_dedup
 from lexiloom.llm.packing import pack_documents
-from lexiloom.llm.pii import find_spans, redact
+from lexiloom.llm.pii import redacted
 from lexiloom.llm.pretok import vocab_path
 from lexiloom.llm.quality import accepted
 from lexiloom.llm.simhash import near_dedup
@@ -56,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data are replaced by their kind."""
     small_batches(spark)
-    return _with_text(docs, redact(F.col("text"), find_spans(F.col("text"))), docs.columns)
+    return _with_text(docs, redacted(F.col("text")), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -413,6 +413,19 @@ def test_spans(spark, field):
         assert [(pii.KINDS.index(s["kind"]), s["start"], s["end"]) for s in got[i]["found"] if s["base"]] == plain_spans(t or "")
 
 
+def test_redacted_is_one_python_step(spark, field):
+    """The same text as by spans, from one Python worker for a task."""
+    texts = [None, "", "no data", "a@b.co and (212) 555-2671 now", "+1 212 555 2671 or 10.0.0.1\nmail x_y@z.org.", "é 4111 1111 1111 1111"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    out = df.select("i", "text", pii.redacted(F.col("text"), field).alias("new"))
+    want = df.select("i", pii.redact(F.col("text"), pii.find_spans(F.col("text"), field)).alias("new"))
+    assert {r["i"]: r["new"] for r in out.collect()} == {r["i"]: r["new"] for r in want.collect()} and "[PHONE]" in out.where("i = 3").first()["new"]
+    import corpus_pipeline
+
+    stage = corpus_pipeline.personal_data(spark, df, "")
+    assert stage._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_meeting_spans_are_one(spark):
     df = spark.sql("SELECT 'abcdef' AS t, array(named_struct('kind', 'card', 'start', 1, 'end', 4, 'base', true), named_struct('kind', 'phone', 'start', 2, 'end', 5, 'base', true)) AS s")
     assert df.select(pii.redact(F.col("t"), F.col("s")).alias("r")).first()["r"] == "a[CARD]f"
