@@ -437,19 +437,20 @@ class PieceMemo:
 
 
 class LibraryFill:
-    """Ids of pieces by the library itself, for PieceMemo."""
+    """Ids of pieces by the library's own model, for PieceMemo: a piece isn't split again, and no threads are started."""
 
     def __init__(self, pre: Pretokenizer):
-        self.library = pre.library
+        self.special, self.model = pre.special, pre.library.model
+        self.chars = {b: ord(c) for c, b in byte_of_char().items()}
 
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat: list[int] = []
         size: list[int] = []
-        for k in range(0, len(pieces), 4096):
-            for e in self.library.encode_batch_fast(pieces[k : k + 4096], add_special_tokens=False):
-                ids = e.ids
-                flat += ids
-                size.append(len(ids))
+        tokenize, chars = self.model.tokenize, self.chars
+        for p in pieces:
+            ids = [self.special[p]] if p in self.special else [t.id for t in tokenize(p.encode().decode("latin-1").translate(chars))]
+            flat += ids
+            size.append(len(ids))
         return np.array(flat, np.uint32), np.array(size, np.int64)
 
 
