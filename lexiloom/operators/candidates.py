@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as tx
+from lexiloom.operators import blocks as bl
 from lexiloom.session import written
 
 ACRONYM = "^[A-Z][A-Z0-9]{1,7}$"
@@ -146,39 +147,50 @@ def top_neighbors(pairs: DataFrame, top: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
-def vector_neighbors(vectors: DataFrame, key: str = "term", vector: str = "vector", top: int = 10, block: int = 2048, rounded: int = 6) -> DataFrame:
+def vector_neighbors(vectors: DataFrame, key: str = "term", vector: str = "vector", top: int = 10, block: int = 2048, rounded: int = 6, asked: DataFrame | None = None) -> DataFrame:
     """(term, other, similarity, rank): exact cosine, blocks of terms against blocks of terms.
 
-    Terms are dealt into blocks by hash; a task multiplies two blocks and gives the top of each
-    of its terms, so what is shuffled on is ``top`` rows for each term and block. Zero vectors
-    have similarity 0."""
-    n = vectors.count()
-    blocks = max(1, -(-n // block))
-    own = vectors.select(F.col(key).alias("term"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("blk"))
-    ids = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    left = own.select("term", "v", F.col("blk").alias("i"), F.explode(ids).alias("j"))
-    right = own.select(F.col("term").alias("term"), F.col("v").alias("v"), F.explode(ids).alias("i"), F.col("blk").alias("j"))
-    kind = dict(own.dtypes)["term"]
-
-    def unit(rows: pd.DataFrame) -> np.ndarray:
-        m = np.array(rows["v"].tolist(), float).reshape(len(rows), -1)
-        size = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        return m / np.where(size == 0, 1, size)
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"term": a["term"][:0], "other": a["term"][:0], "similarity": np.zeros(0)})
-        if not len(a) or not len(b):
-            return none
-        b = b.sort_values("term", kind="stable")
-        s = np.round(unit(a) @ unit(b).T, rounded)
-        s[a["term"].to_numpy()[:, None] == b["term"].to_numpy()[None]] = -np.inf
-        at = np.argsort(-s, axis=1, kind="stable")[:, :top]
-        score = np.take_along_axis(s, at, axis=1)
-        out = pd.DataFrame({"term": np.repeat(a["term"].to_numpy(), at.shape[1]), "other": b["term"].to_numpy()[at.ravel()], "similarity": score.ravel()})
-        return out[np.isfinite(out["similarity"])]
-
-    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(best, f"term {kind}, other {kind}, similarity double")
-    return top_neighbors(found, top)
+    A task has a block of terms and reads all blocks one after another (blocks.py), so what is shuffled is the vectors once and
+    ``top`` rows for each term. Products are made in short floats first; what can't be among the best by their
+    error's bound goes, the rest is scored in doubles. Zero vectors have similarity 0. asked: a table of the terms to answer
+    for, if not for all."""
+    put = written(vectors.sparkSession)
+    rows = vectors.select(F.col(key).alias("term"), F.col(vector).alias("v")).where("term is not null")
+    table = put(bl.packed(rows, rows.count(), block, "term"), "blocks")
+    queries, parts = table, 1
+    if asked is not None:
+        own = put(rows.join(asked.select(F.col(asked.columns[0]).alias("term")), "term", "left_semi"), "asked")
+        queries = put(bl.packed(own, own.count(), block, "term"), "queries")
+        parts = max(1, 2 * vectors.sparkSession.sparkContext.defaultParallelism // max(1, queries.count()))
+    scale = 10.0**rounded
+
+    def look(a: bl.Block, b: bl.Block, best: bl.Best) -> None:
+        slack = 0.5 / scale + (a.unit.shape[1] + 8) * 2.0**-23  # of rounding, and of sums in short floats
+        same_row, same_col = bl.own_places(a, b)
+        for k in range(0, len(a.terms), bl.STRIP):
+            own = slice(*np.searchsorted(same_row, [k, k + bl.STRIP]))
+            s = a.short[k : k + bl.STRIP] @ b.short.T
+            s[same_row[own] - k, same_col[own]] = -np.inf
+            row, col, many = bl.hits_in(s >= (best.score[k : k + bl.STRIP, -1:] - slack).astype(np.float32))
+            score = np.rint(bl.dots(a.unit, b.unit, row + k, col) * scale) / scale
+            score[s[row, col] == -np.inf] = -np.inf
+            if many.size:
+                whole = np.rint(a.unit[many + k] @ b.unit.T * scale)
+                whole[s[many] == -np.inf] = -np.inf
+                n = min(top, whole.shape[1])
+                at = np.argpartition(np.arange(whole.shape[1]) - whole * whole.shape[1], n - 1, axis=1)[:, :n]  # of equal ones the first
+                row, col = np.concatenate([row, np.repeat(many, n)]), np.concatenate([col, at.ravel()])
+                score = np.concatenate([score, np.take_along_axis(whole, at, axis=1).ravel() / scale])
+            row = row + k
+            good = np.isfinite(score) & best.enters(row, score, b.no[col])
+            if good.any():
+                best.add(row[good], score[good], b.no[col[good]], b.terms[col[good]])
+
+    def told(best: bl.Best) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, place = np.nonzero(np.isfinite(best.score))
+        return row, best.more[0][row, place], best.score[row, place]
+
+    return top_neighbors(bl.swept(table, queries, lambda a: bl.Best(len(a.terms), top, a.terms.dtype), look, told, parts), top)
 
 
 # ---------------------------------------------------------------- neighbours to pairs

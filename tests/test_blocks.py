@@ -1,8 +1,11 @@
 """All-pairs operators by blocks: what they write to disk, and their answers against numpy."""
 
+from functools import partial
+
 import numpy as np
 import pytest
 
+import __spark_entry__ as entry
 from lexiloom.operators import candidates as ca
 from lexiloom.operators import index as ix
 
@@ -59,3 +62,22 @@ def test_ties_and_odd_vectors_by_blocks(spark, block):
         want = {(names[i], names[j], s, k) for i, j, s, k in nearest(m, 6, 4, sorted(range(420), key=names.__getitem__))}
     got = {(r["term"], r["other"], r["similarity"] + 0.0, r["rank"]) for r in ca.vector_neighbors(df, top=6, block=block, rounded=4).collect()}
     assert got == want and len(got) == 419 * 6
+
+
+#: Queries of neighbours.
+SOME = ["vector_neighbors"]
+
+
+@pytest.mark.parametrize("query", SOME)
+def test_queries_copy_no_vector_for_a_block(spark, monkeypatch, query):
+    monkeypatch.setattr(ca, "vector_neighbors", partial(ca.vector_neighbors, block=16))
+    written, rows = shuffled(spark, lambda: entry.queries()[query](spark, "/root/testdata/sf0.01").count())
+    assert rows and written <= 2_000_000  # 500 vectors of 64 floats are 128,000 bytes; 32 blocks
+
+
+def test_neighbours_of_asked_terms_only(spark):
+    df = table(spark, np.random.default_rng(8).normal(size=(200, 8)))
+    asked = spark.createDataFrame([(3,), (77,), (999,)], "term long")
+    want = [r for r in ca.vector_neighbors(df, top=4, block=16).collect() if r["term"] in (3, 77)]
+    assert sorted(ca.vector_neighbors(df, top=4, block=16, asked=asked).collect()) == sorted(want) and len(want) == 8
+    assert ca.vector_neighbors(df, top=4, asked=asked.where("term = 999")).count() == 0 == ca.vector_neighbors(df.limit(0), top=4).count()
