@@ -265,11 +265,16 @@ def top_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     return pairs.orderBy(F.desc("priority"), "a", "b").limit(limit)
 
 
+def most_frequent(terms: DataFrame, most: int) -> DataFrame:
+    """(term) of the most frequent eligible terms."""
+    return terms.where("excluded_reason = ''").orderBy(F.desc("frequency"), "term").limit(most).select("term")
+
+
 def probe(terms: DataFrame, neighbors: DataFrame, most: int = 400, top: int = 10) -> DataFrame:
     """(term, other, similarity, rank): the nearest eligible neighbours of the most frequent eligible terms,
-    for looking at how similarities are spread. The limits are the feature."""
+    for looking at how similarities are spread. The limits are the feature. Neighbours of other terms aren't needed."""
     good = terms.where("excluded_reason = ''")
-    first = good.orderBy(F.desc("frequency"), "term").limit(most).select("term")
+    first = most_frequent(terms, most)
     return neighbors.where(F.col("rank") <= top).join(first, "term", "left_semi").join(good.select(F.col("term").alias("other")), "other", "left_semi").select("term", "other", "similarity", "rank")
 
 

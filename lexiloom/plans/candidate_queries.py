@@ -154,7 +154,8 @@ FROM vn WHERE other % 7 >= 2 AND other % 5 <> 0"""
 def neighbor_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report of fixed size: neighbours of the 40 most frequent terms."""
     terms = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("term"), (F.col("vec_id") * 37 % 101).alias("frequency"), F.when(F.col("vec_id") % 5 == 0, "short").otherwise("").alias("excluded_reason"))
-    return ca.probe(terms, vector_neighbors(spark, sf_dir), most=40, top=5)
+    near = ca.vector_neighbors(_vectors(spark, sf_dir), top=10, rounded=5, asked=ca.most_frequent(terms, 40))
+    return ca.probe(terms, near, most=40, top=5)
 
 
 NEIGHBOR_PROBE = f"""WITH {_VN}, p AS (SELECT vec_id FROM embeddings WHERE vec_id % 5 <> 0 ORDER BY vec_id * 37 % 101 DESC, vec_id LIMIT 40)
