@@ -163,7 +163,8 @@ SELECT term, other, similarity, rank::INT AS rank FROM vn WHERE rank <= 5 AND ot
 
 
 def mutual_rank_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ca.neighbor_pairs(vector_neighbors(spark, sf_dir), "FASTTEXT", 0.2)
+    near = written(spark)(vector_neighbors(spark, sf_dir), "near")  # ranks and rows are read from it
+    rows = ca.neighbor_pairs(near, "FASTTEXT", 0.2)
     return ca.mutual_pairs(rows, 5, 2).groupBy("a", "b").agg(F.max("similarity").alias("similarity"), F.min("rank_ab").alias("rank_ab"), F.min("rank_ba").alias("rank_ba"))
 
 
