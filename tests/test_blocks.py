@@ -65,7 +65,7 @@ def test_ties_and_odd_vectors_by_blocks(spark, block):
 
 
 #: Queries of neighbours.
-SOME = ["vector_neighbors", "indexed_recall", "neighbor_probe", "valid_neighbors", "degree_capped", "mutual_rank_pairs"]
+SOME = ["vector_neighbors", "indexed_recall", "neighbor_probe", "valid_neighbors", "degree_capped", "mutual_rank_pairs", "similarity_thresholds"]
 
 
 @pytest.mark.parametrize("query", SOME)
