@@ -1,6 +1,9 @@
-"""All-pairs operators by blocks: what they write to disk, and their answers against numpy."""
+"""All-pairs operators by blocks, and phrases: what they write to disk, and their answers against numpy."""
 
+from collections import Counter
 from functools import partial
+from itertools import pairwise
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from lexiloom.operators import candidates as ca
 from lexiloom.operators import index as ix
+from lexiloom.operators import terms as te
 
 
 def shuffled(spark, action):
@@ -81,3 +85,24 @@ def test_neighbours_of_asked_terms_only(spark):
     want = [r for r in ca.vector_neighbors(df, top=4, block=16).collect() if r["term"] in (3, 77)]
     assert sorted(ca.vector_neighbors(df, top=4, block=16, asked=asked).collect()) == sorted(want) and len(want) == 8
     assert ca.vector_neighbors(df, top=4, asked=asked.where("term = 999")).count() == 0 == ca.vector_neighbors(df.limit(0), top=4).count()
+
+
+def test_phrases_shuffle_no_sentence(spark):
+    size = Path("/root/testdata/sf0.01/documents.parquet").stat().st_size
+    written, rows = shuffled(spark, lambda: entry.queries()["phrase_merge"](spark, "/root/testdata/sf0.01").count())
+    assert rows and written <= 5 * size  # the documents themselves, dealt to all cores, are one of it
+
+
+def test_pairs_are_counted_by_buckets(spark, monkeypatch):
+    monkeypatch.setattr(te, "BUCKET", 50)
+    rng = np.random.default_rng(4)
+    lists = [[["가", "b", "", "c c", "d"][k] for k in rng.integers(0, 5, n)] for n in rng.integers(0, 9, 300)]
+    rows = spark.createDataFrame([(x,) for x in [*lists, None, [], ["b"]]], "tokens array<string>").repartition(3)
+    want = Counter(p for x in lists for p in pairwise(x))
+    got = te.pair_counts(rows, "tokens", 40).collect()
+    assert {(r["a"], r["b"]): r["n"] for r in got if r["a"] is not None} == {p: n for p, n in want.items() if n >= 40}
+    assert sum(r["n"] for r in got if r["a"] is None) == len(want) and sum(r["a"] is None for r in got) > 1
+    words = Counter(w for x in [*lists, ["b"]] for w in x)
+    scores = {(r["a"], r["b"]): r["score"] for r in te.phrase_scores(rows, min_count=40, threshold=0.0).collect()}
+    assert scores == {(a, b): pytest.approx((n - 40) / (words[a] * words[b]) * (len(words) + len(want)), abs=1e-6) for (a, b), n in want.items() if n > 40}
+    assert te.pair_counts(rows.limit(0), "tokens", 1).count() == 0 == te.phrase_scores(rows.where("size(tokens) = 1"), min_count=1).count()
