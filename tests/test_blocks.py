@@ -106,3 +106,12 @@ def test_pairs_are_counted_by_buckets(spark, monkeypatch):
     scores = {(r["a"], r["b"]): r["score"] for r in te.phrase_scores(rows, min_count=40, threshold=0.0).collect()}
     assert scores == {(a, b): pytest.approx((n - 40) / (words[a] * words[b]) * (len(words) + len(want)), abs=1e-6) for (a, b), n in want.items() if n > 40}
     assert te.pair_counts(rows.limit(0), "tokens", 1).count() == 0 == te.phrase_scores(rows.where("size(tokens) = 1"), min_count=1).count()
+
+
+def test_many_phrases_shuffle_no_sentence(spark, monkeypatch):
+    monkeypatch.setattr(te, "MOST_SENT", 100)
+    rows = spark.createDataFrame([(k, [f"w{k % 50}", f"v{k % 40}", "x"]) for k in range(4000)], "k int, tokens array<string>")
+    phrases = spark.createDataFrame([(f"w{k}", f"v{j}") for k in range(20) for j in range(40)], "a string, b string")
+    written, out = shuffled(spark, lambda: {r["k"]: r["tokens"] for r in te.merged_tokens(rows, phrases, ["k"]).collect()})
+    assert all(out[k] == ([f"w{k % 50}_v{k % 40}", "x"] if k % 50 < 20 else [f"w{k % 50}", f"v{k % 40}", "x"]) for k in range(4000))
+    assert len(out) == 4000 and written <= 30_000  # the distinct phrases; sentences and places took more
